@@ -1,6 +1,6 @@
 """Collects the query modules into one registry."""
 
-from checks import datamart_queries  # noqa: F401
+from checks import datamart_queries, pit_queries  # noqa: F401
 from checks.views import REGISTRY
 
 __all__ = ["REGISTRY"]
