@@ -1,6 +1,11 @@
 """Collects the query modules into one registry."""
 
-from checks import datamart_queries, pit_queries  # noqa: F401
+from checks import (  # noqa: F401
+    datamart_queries,
+    metric_queries,
+    pit_queries,
+    profile_queries,
+)
 from checks.views import REGISTRY
 
 __all__ = ["REGISTRY"]

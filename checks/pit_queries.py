@@ -15,7 +15,7 @@ CUTOFF = "CAST(label_snapshot_date - INTERVAL 5 MONTH AS DATE)"
 BATCH = f"(SELECT loan_id, Customer_ID, snapshot_date AS label_snapshot_date FROM ({LABELS}))"
 KEYS = f"(SELECT DISTINCT Customer_ID, label_snapshot_date FROM {BATCH})"
 MEANS = ", ".join(
-    f"CAST(round(CAST(avg(fe_{i}) AS DECIMAL(28, 10)), 2) AS DOUBLE) AS fe_{i}_mean" for i in range(1, 21)
+    f"CAST(round(CAST(avg(fe_{i}) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS fe_{i}_mean" for i in range(1, 21)
 )
 CLICK_MEANS = f"""
 SELECT Customer_ID, label_snapshot_date, {MEANS}

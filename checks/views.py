@@ -170,14 +170,20 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._known: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._known:
+            self._known[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._known[name]
 
     def view(self, name: str) -> DataFrame:
-        text = VIEWS[name]
-        used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
-        return self.spark.sql(text, **used)
+        key = "view " + name
+        if key not in self._known:
+            text = VIEWS[name]
+            used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
+            self._known[key] = self.spark.sql(text, **used)
+        return self._known[key]
 
 
 class Registry:

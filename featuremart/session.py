@@ -22,6 +22,8 @@ def build_session(app: str = "featuremart", master: str | None = None, **conf: s
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # recording the Python call site of every column costs more than planning itself
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
