@@ -5,6 +5,7 @@ from checks import (  # noqa: F401
     metric_queries,
     pit_queries,
     profile_queries,
+    source_queries,
 )
 from checks.views import REGISTRY
 

@@ -24,6 +24,11 @@ FROM (SELECT *, CASE WHEN installments_missed > 0
                    installment_num AS mob, {MISSED} AS installments_missed
             FROM $loan))
 """
+# the same over single-precision amounts, as the silver table stores them
+SILVER_LOAN_FLOAT = SILVER_LOAN.replace("$loan", """(SELECT * REPLACE (CAST(loan_amt AS FLOAT) AS loan_amt,
+   CAST(due_amt AS FLOAT) AS due_amt, CAST(paid_amt AS FLOAT) AS paid_amt,
+   CAST(overdue_amt AS FLOAT) AS overdue_amt, CAST(balance AS FLOAT) AS balance) FROM $loan)""").replace(
+    "overdue_amt / NULLIF(due_amt, 0)", "CAST(overdue_amt AS DOUBLE) / NULLIF(CAST(due_amt AS DOUBLE), 0)")
 LABELS = f"""
 SELECT loan_id, Customer_ID, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label,
        '30dpd_6mob' AS label_def, snapshot_date
@@ -302,11 +307,7 @@ REGISTRY.add("silver_loans", f"""
 SELECT * REPLACE (round(loan_amt, 0) AS loan_amt, round(due_amt, 0) AS due_amt,
                   round(paid_amt, 0) AS paid_amt, round(balance, 0) AS balance,
                   round(overdue_amt, 0) AS overdue_amt)
-FROM ({SILVER_LOAN.replace('$loan', '''(SELECT * REPLACE (CAST(loan_amt AS FLOAT) AS loan_amt,
-   CAST(due_amt AS FLOAT) AS due_amt, CAST(paid_amt AS FLOAT) AS paid_amt,
-   CAST(overdue_amt AS FLOAT) AS overdue_amt, CAST(balance AS FLOAT) AS balance) FROM $loan)''').replace(
-   'overdue_amt / NULLIF(due_amt, 0)',
-   'CAST(overdue_amt AS DOUBLE) / NULLIF(CAST(due_amt AS DOUBLE), 0)')})
+FROM ({SILVER_LOAN_FLOAT})
 """)(lambda t: silver.silver_loans(t.view("loan")).withColumns({
     c: F.round(c, 0) for c in ["loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"]}))
 

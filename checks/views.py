@@ -128,7 +128,7 @@ VIEWS["monitoring"] = f"""
 SELECT {_MONTH('o_orderdate')} AS month,
        COUNT(*) AS sample_size,
        round(AVG(o_totalprice) / 600000, 6) AS predicted_default_risk_mean,
-       round(AVG(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       round(AVG(CASE WHEN o_orderstatus = 'F' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS accuracy,
        CASE WHEN COUNT(*) % 5 = 0 THEN NULL
             ELSE CAST(CAST(COUNT(*) % 89 AS DOUBLE) / 89 AS STRING) END AS macro_f1
 FROM {{orders}} GROUP BY 1

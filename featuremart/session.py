@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,3 +46,18 @@ def materialise(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for written intermediates, below the session's checkpoint folder.
+
+    Only where no such folder is configured, as in local tests, one is made and set.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        context.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
