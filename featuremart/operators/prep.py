@@ -57,14 +57,15 @@ def _stat(c: str) -> Column:
     return F.try_element_at("_stats", F.lit(c))
 
 
-def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    stats = _by_column(medians(df, columns), F.col("median"))
+def filled_number(c: str, default: Column) -> Column:
+    """Number as double, with NULL and NaN replaced."""
+    value = F.col(c).cast("double")
+    return F.coalesce(F.when(~F.isnan(value), value), default)
 
-    def filled(c: str) -> Column:
-        value = F.col(c).cast("double")
-        return F.coalesce(F.when(~F.isnan(value), value), _stat(c))
 
-    return _replace(df, {c: filled(c) for c in columns}, stats)
+def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    stats = _by_column(medians(df, columns), F.col("median"))
+    return _replace(df, {c: filled_number(c, _stat(c)) for c in columns}, stats)
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -166,7 +167,7 @@ class Preprocessor:
         self.medians_ = dict(medians(df, self.numeric).collect()) if self.numeric else {}
         # deviations are taken after imputation, as the scaler sees imputed values
         imputed = df.select(
-            *[F.coalesce(F.col(c).cast("double"), F.lit(self.medians_.get(c))).alias(c) for c in self.numeric]
+            *[filled_number(c, F.lit(self.medians_.get(c))).alias(c) for c in self.numeric]
         )
         self.moments_ = {
             r["column"]: (r["mean"], r["std"]) for r in moments(imputed, self.numeric).collect()
@@ -189,7 +190,7 @@ class Preprocessor:
         features: list[Column] = []
         for c in self.numeric:
             mean, std = self.moments_.get(c, (0.0, 0.0))
-            value = F.coalesce(F.col(c).cast("double"), F.lit(self.medians_.get(c)))
+            value = filled_number(c, F.lit(self.medians_.get(c)))
             features.append(scaled(value, F.lit(mean), F.lit(std)).alias(c))
         for c in self.categorical:
             value = F.coalesce(F.col(c), F.lit(self.modes_.get(c)))
