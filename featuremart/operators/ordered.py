@@ -23,7 +23,16 @@ def range_count(df: DataFrame) -> int:
 
 
 def range_index(edges: Column, count: int, value: Column) -> Column:
-    """Number of sorted edges that are <= value, by binary search in a built-in fold."""
+    """Number of sorted edges that are <= value.
+
+    A few edges are compared one by one in generated code; more are searched by halving
+    in a built-in fold.
+    """
+    if count <= 32:
+        passed = F.lit(0)
+        for i in range(count):
+            passed = passed + F.when(F.get(edges, i) <= value, 1).otherwise(0)
+        return passed
     steps = [1 << k for k in reversed(range(count.bit_length()))]
     found = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),

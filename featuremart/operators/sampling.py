@@ -31,13 +31,15 @@ def _assign(
     df: DataFrame,
     stratum: str,
     cuts_of: Callable[[DataFrame], DataFrame],
+    cut_count: int,
     name: str,
     columns: Sequence[str] | None,
     seed: int,
 ) -> DataFrame:
     """Add ``name``: how many cut ranks of its class lie at or before the row's rank.
 
-    ``cuts_of`` turns the table ``_class, n`` into ``_class, cuts`` (array of ranks).
+    ``cuts_of`` turns the table ``_class, n`` into ``_class, cuts``, an array of
+    ``cut_count`` ranks.
     """
     data_columns = df.columns
     hashed = df.select(
@@ -49,59 +51,55 @@ def _assign(
     histogram = hashed.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("n"))
     cuts = cuts_of(histogram.groupBy("_class").agg(F.sum("n").alias("n")))
     before = F.sum("n").over(W.partitionBy("_class").orderBy("_prefix")) - F.col("n")
-    # one short array per class: under which prefix each cut falls, and whether inside it
+    # per class and cut: under which prefix it falls, how far into it, and whether it splits it
     marks = (
         histogram.select("*", before.alias("before"))
         .join(cuts, "_class")
-        .select("_class", "_prefix", "n", "before", F.explode("cuts").alias("cut"), "cuts")
+        .select("_class", "_prefix", "n", "before", F.posexplode("cuts").alias("i", "cut"))
         .filter((F.col("before") <= F.col("cut")) & (F.col("cut") < F.col("before") + F.col("n")))
+        .select("_class", "i", F.struct("_prefix", (F.col("cut") - F.col("before")).alias("offset")).alias("mark"))
         .groupBy("_class")
-        .agg(
-            F.collect_list(
-                F.struct(
-                    F.col("_prefix").alias("prefix"),
-                    (F.col("cut") > F.col("before")).alias("inside"),
-                    "before",
-                    "cut",
-                )
-            ).alias("marks")
-        )
+        .agg(*[F.max(F.when(F.col("i") == i, F.col("mark"))).alias(f"c{i}") for i in range(cut_count)])
     )
-    marks_by_class = marks.agg(
-        F.map_from_entries(F.collect_list(F.struct("_class", "marks"))).alias("m")
-    ).scalar()
-    located = hashed.select("*", marks_by_class.alias("_all")).select(
-        *data_columns, "_class", "_hash", "_prefix", F.try_element_at("_all", F.col("_class")).alias("_marks")
+    split_prefixes = F.array_compact(
+        F.array(*[F.when(F.col(f"c{i}.offset") > 0, F.col(f"c{i}._prefix")) for i in range(cut_count)])
     )
-    contested = F.coalesce(
-        F.exists("_marks", lambda m: (m["prefix"] == F.col("_prefix")) & m["inside"]), F.lit(False)
+    marks_by_class = (
+        marks.select("_class", F.struct("*", split_prefixes.alias("split")).alias("m"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("_class", "m"))).alias("m"))
+        .scalar()
     )
-    passed = F.size(
-        F.filter(
-            F.coalesce("_marks", F.array()),
-            lambda m: (m["prefix"] < F.col("_prefix"))
-            | ((m["prefix"] == F.col("_prefix")) & ~m["inside"]),
-        )
+    located = hashed.select("*", marks_by_class.alias("_all")).select(
+        *data_columns, "_class", "_hash", "_prefix", F.try_element_at("_all", F.col("_class")).alias("_marks")
     )
+    # The filter names the hash once: Spark pushes it to the scan with the hash written out
+    # in place, so every further mention would compute it again for each row.
+    contested = F.coalesce(F.array_contains("_marks.split", F.col("_prefix")), F.lit(False))
+    passed = F.lit(0)
+    for i in range(cut_count):
+        prefix, offset = F.col(f"_marks.c{i}._prefix"), F.col(f"_marks.c{i}.offset")
+        behind = (prefix < F.col("_prefix")) | ((prefix == F.col("_prefix")) & (offset == 0))
+        passed = passed + F.when(behind, 1).otherwise(0)
     settled = located.filter(~contested).select(*data_columns, passed.alias(name))
 
     # Contested prefixes: exact copies are counted, ranked by hash, divided, written out again.
     copies = (
         located.filter(contested)
         .groupBy(*data_columns, "_class", "_hash", "_prefix")
-        .agg(F.count(F.lit(1)).alias("n"), F.any_value("_marks").alias("_marks"), passed_max(passed))
+        .agg(F.count(F.lit(1)).alias("n"), F.any_value("_marks").alias("_marks"), F.max(passed).alias("_passed"))
     )
     in_prefix = W.partitionBy("_class", "_prefix").orderBy("_hash", *data_columns)
     start = F.sum("n").over(in_prefix.rowsBetween(W.unboundedPreceding, 0)) - F.col("n")
-    ranked = copies.select("*", start.alias("_start")).select(
-        "*",
-        F.array_sort(
-            F.transform(
-                F.filter("_marks", lambda m: (m["prefix"] == F.col("_prefix")) & m["inside"]),
-                lambda m: m["cut"] - m["before"],
+    inner_cuts = F.array_compact(
+        F.array(*[
+            F.when(
+                (F.col(f"_marks.c{i}._prefix") == F.col("_prefix")) & (F.col(f"_marks.c{i}.offset") > 0),
+                F.col(f"_marks.c{i}.offset"),
             )
-        ).alias("_cuts"),
+            for i in range(cut_count)
+        ])
     )
+    ranked = copies.select("*", start.alias("_start"), F.array_sort(inner_cuts).alias("_cuts"))
     # regions between cuts: [0, c1), [c1, c2), ... ; how many copies fall in each
     regions = ranked.select(
         *data_columns, "_start", "n", "_passed",
@@ -122,10 +120,6 @@ def _assign(
     return settled.unionByName(write_out_copies(regions, "_copies"))
 
 
-def passed_max(passed: Column) -> Column:
-    return F.max(passed).alias("_passed")
-
-
 def write_out_copies(df: DataFrame, count: str) -> DataFrame:
     """Repeat each row ``count`` times; large counts are spread over tasks in chunks."""
     kept = [c for c in df.columns if c != count]
@@ -167,7 +161,7 @@ def stratified_split(
     def cuts(totals: DataFrame) -> DataFrame:
         return _train_sizes(totals, ratio).select("_class", F.array("cut").alias("cuts"))
 
-    assigned = _assign(df, label, cuts, "_part", columns, seed)
+    assigned = _assign(df, label, cuts, 1, "_part", columns, seed)
     return assigned.select(
         *df.columns, F.when(F.col("_part") == 0, F.lit("train")).otherwise(F.lit("test")).alias("split")
     )
@@ -186,4 +180,4 @@ def stratified_folds(
         bounds = [F.ceil(F.col("n") * k / folds).cast("bigint") for k in range(1, folds)]
         return totals.select("_class", F.array(*bounds).alias("cuts"))
 
-    return _assign(df, label, cuts, "fold", columns, seed)
+    return _assign(df, label, cuts, folds - 1, "fold", columns, seed)
