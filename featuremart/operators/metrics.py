@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from featuremart import fixed_values as fixed
 from featuremart.functions.numeric import clean_score, decide
 from featuremart.functions.text import _col
-from featuremart.operators.ordered import exact_quantiles, prefix_sum, range_index
+from featuremart.operators.ordered import exact_quantiles, prefix_sum, quantiles_of_counts, range_index
 
 
 def _ratio_or_zero(top: Column, bottom: Column) -> Column:
@@ -165,8 +165,7 @@ def monthly_drift(
     # edges of the month before; one short array per calendar month
     names = _inner_edges(buckets)
     by_month = (
-        exact_quantiles(predictions.select(F.trunc(month, "month").alias("month"), clean_score(score).alias("_score"))
-                        .filter(F.col("month").isNotNull()), ["_score"], names, ["month"])
+        quantiles_of_counts(counted.withColumnRenamed("_score", "value"), names, ["month"])
         .agg(F.map_from_entries(F.collect_list(F.struct(F.add_months("month", 1), F.array(*names)))).alias("m"))
         .scalar()
     )

@@ -7,7 +7,7 @@ summed on its own; only one total per range is combined globally.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -111,6 +111,23 @@ def unpivot_numbers(df: DataFrame, columns: Sequence[str], groups: Sequence[str]
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def column_stats(df: DataFrame, columns: Sequence[str], **stats: Callable[[Column], Column]) -> DataFrame:
+    """Named aggregates of several numeric columns, one row per column, from one wide aggregate."""
+
+    def usable(c: str) -> Column:
+        value = F.col(f"`{c}`").cast("double")
+        return F.when(~F.isnan(value), value)
+
+    row = df.agg(
+        *[F.struct(*[f(usable(c)).alias(n) for n, f in stats.items()]).alias(f"_{i}") for i, c in enumerate(columns)]
+    )
+    entries = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"_{i}.{n}").alias(n) for n in stats])
+        for i, c in enumerate(columns)
+    ]
+    return row.select(F.inline(F.array(*entries)))
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -124,7 +141,15 @@ def exact_quantiles(
     """
     groups = list(groups)
     counted = unpivot_numbers(df, columns, groups).select("*", F.lit(1).cast("bigint").alias("n"))
-    ranked = prefix_sum(counted, "value", ["n"], [*groups, "column"])
+    return quantiles_of_counts(counted, probabilities, [*groups, "column"])
+
+
+def quantiles_of_counts(
+    counted: DataFrame, probabilities: dict[str, float], groups: Sequence[str] = ()
+) -> DataFrame:
+    """The same from rows ``groups, value, n`` that say how often each value occurs."""
+    groups = list(groups)
+    ranked = prefix_sum(counted, "value", ["n"], groups)
     first, behind, total = F.col("cum_n") - F.col("n"), F.col("cum_n"), F.col("total_n")
     aggregates = [F.max("total_n").alias("n")]
     for name, p in probabilities.items():
@@ -132,7 +157,7 @@ def exact_quantiles(
         for side, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
             holds = (first <= rank) & (rank < behind)
             aggregates.append(F.max(F.when(holds, F.col("value"))).alias(f"_{side}_{name}"))
-    picked = ranked.groupBy(*groups, "column").agg(*aggregates)
+    picked = ranked.groupBy(*groups).agg(*aggregates)
 
     def interpolate(name: str, p: float) -> Column:
         place = F.lit(float(p)) * (F.col("n") - 1)
@@ -140,5 +165,5 @@ def exact_quantiles(
         return (low + (high - low) * (place - F.floor(place))).alias(name)
 
     return picked.select(
-        *groups, "column", "n", *[interpolate(name, p) for name, p in probabilities.items()]
+        *groups, "n", *[interpolate(name, p) for name, p in probabilities.items()]
     )

@@ -7,9 +7,10 @@ cutoff, ``add_months(label_date, 1 - months_on_book)``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -58,19 +59,72 @@ def point_in_time_join(
     )
 
 
-def _timeline(labels: DataFrame, rows: DataFrame, months_on_book: int) -> tuple[DataFrame, W]:
-    """Label cutoffs and source rows of a customer as one ordered sequence.
+@dataclass(frozen=True)
+class Latest:
+    """Take the newest row of ``source`` before the cutoff."""
 
-    On equal days the label comes first, so a row exactly at the cutoff is not seen.
-    Both inputs hold at most one row per customer and day, which bounds the sequence of
-    a single customer by the number of snapshots, however many raw rows there are.
+    source: DataFrame
+    columns: Sequence[str]
+    date_as: str
+
+
+@dataclass(frozen=True)
+class Mean:
+    """Take the mean of ``features`` over all rows of ``source`` before the cutoff."""
+
+    source: DataFrame
+    features: Sequence[str]
+    digits: int = 2
+
+
+def point_in_time_features(
+    labels: DataFrame, months_on_book: int, parts: Sequence[Latest | Mean]
+) -> DataFrame:
+    """Features of several sources per customer and label date, in one pass.
+
+    Every source is first reduced to one row per customer and day.  Reduced rows and
+    label cutoffs then form one ordered sequence per customer, over which the newest
+    rows and the running sums are carried forward to each label.  So there is a single
+    shuffle by customer for all sources, no label-by-row pairs and no join, and the
+    sequence of one customer is bounded by the number of snapshots, however many raw
+    rows the customer has.  On equal days the label comes first, so a row exactly at the
+    cutoff is not seen.  A label without usable rows in every source is left out.
     """
     wanted = labels.select(KEY, LABEL_DATE).distinct().select(
         "*", feature_cutoff(LABEL_DATE, months_on_book).alias("_day"), F.lit(0).alias("_kind")
     )
-    events = rows.withColumnRenamed(SOURCE_DATE, "_day").withColumn("_kind", F.lit(1))
     order = W.partitionBy(KEY).orderBy("_day", "_kind").rowsBetween(W.unboundedPreceding, 0)
-    return wanted.unionByName(events, allowMissingColumns=True), order
+    sequence, carried, found, output = wanted, [], F.col(LABEL_DATE).isNotNull(), []
+    for i, part in enumerate(parts):
+        usable = before_last_cutoff(part.source, labels, months_on_book)
+        if isinstance(part, Latest):
+            row = f"_row{i}"
+            per_day = latest_per_key(
+                usable.select(KEY, SOURCE_DATE, *part.columns), [KEY, SOURCE_DATE], []
+            ).select(
+                KEY, SOURCE_DATE,
+                F.struct(*part.columns, F.col(SOURCE_DATE).alias(part.date_as)).alias(row),
+            )
+            carried.append(F.last(row, ignorenulls=True).over(order).alias(row))
+            found = found & F.col(row).isNotNull()
+            output.append(F.col(f"{row}.*"))
+        else:
+            expect_columns(part.source, [KEY, SOURCE_DATE, *part.features])
+            sums = {f"_sum{i}_{f}": F.sum(f) for f in part.features}
+            sums.update({f"_count{i}_{f}": F.count(f) for f in part.features})
+            sums[f"_rows{i}"] = F.count(F.lit(1))
+            per_day = usable.groupBy(KEY, SOURCE_DATE).agg(*[s.alias(n) for n, s in sums.items()])
+            carried += [F.sum(name).over(order).alias(name) for name in sums]
+            found = found & (F.col(f"_rows{i}") > 0)
+            output += [
+                F.round(
+                    F.try_divide(F.col(f"_sum{i}_{f}").cast("double"), F.col(f"_count{i}_{f}")), part.digits
+                ).alias(f"{f}_mean")
+                for f in part.features
+            ]
+        events = per_day.withColumnRenamed(SOURCE_DATE, "_day").withColumn("_kind", F.lit(1))
+        sequence = sequence.unionByName(events, allowMissingColumns=True)
+    return sequence.select(KEY, LABEL_DATE, *carried).filter(found).select(KEY, LABEL_DATE, *output)
 
 
 def as_of_latest(
@@ -80,52 +134,15 @@ def as_of_latest(
     columns: Sequence[str],
     date_as: str,
 ) -> DataFrame:
-    """Newest source row before the cutoff, per customer and label date.
-
-    Equals the point-in-time join followed by "keep the latest", but no label-by-row
-    pairs are formed: one shuffle by customer and one pass over the ordered sequence.
-    """
-    usable = before_last_cutoff(source, labels, months_on_book).select(KEY, SOURCE_DATE, *columns)
-    per_day = latest_per_key(usable, [KEY, SOURCE_DATE], [])
-    packed = per_day.select(
-        KEY, SOURCE_DATE, F.struct(*columns, F.col(SOURCE_DATE).alias(date_as)).alias("_row")
-    )
-    sequence, order = _timeline(labels, packed, months_on_book)
-    return (
-        sequence.select(KEY, LABEL_DATE, F.last("_row", ignorenulls=True).over(order).alias("_row"))
-        .filter(F.col(LABEL_DATE).isNotNull() & F.col("_row").isNotNull())
-        .select(KEY, LABEL_DATE, "_row.*")
-    )
+    """Newest source row before the cutoff: the point-in-time join, then the latest row."""
+    return point_in_time_features(labels, months_on_book, [Latest(source, columns, date_as)])
 
 
 def pit_mean_features(
     labels: DataFrame, source: DataFrame, months_on_book: int, features: Sequence[str], digits: int = 2
 ) -> DataFrame:
-    """Mean of each feature over all rows before the cutoff, per customer and label date.
-
-    Rows are summed per customer and day before the shuffle by customer; the means come
-    from running sums, so several label dates of a customer share one pass.
-    """
-    expect_columns(source, [KEY, SOURCE_DATE, *features])
-    usable = before_last_cutoff(source, labels, months_on_book)
-    per_day = usable.groupBy(KEY, SOURCE_DATE).agg(
-        *[F.sum(f).alias(f"_sum_{f}") for f in features],
-        *[F.count(f).alias(f"_count_{f}") for f in features],
-        F.count(F.lit(1)).alias("_rows"),
-    )
-    sequence, order = _timeline(labels, per_day, months_on_book)
-    running = sequence.select(
-        KEY, LABEL_DATE,
-        *[F.sum(f"_sum_{f}").over(order).alias(f"_sum_{f}") for f in features],
-        *[F.sum(f"_count_{f}").over(order).alias(f"_count_{f}") for f in features],
-        F.sum("_rows").over(order).alias("_rows"),
-    ).filter(F.col(LABEL_DATE).isNotNull() & (F.col("_rows") > 0))
-
-    def mean(f: str) -> Column:
-        value = F.try_divide(F.col(f"_sum_{f}").cast("double"), F.col(f"_count_{f}"))
-        return F.round(value, digits).alias(f"{f}_mean")
-
-    return running.select(KEY, LABEL_DATE, *[mean(f) for f in features])
+    """Rounded mean of each feature over all rows before the cutoff."""
+    return point_in_time_features(labels, months_on_book, [Mean(source, features, digits)])
 
 
 def latest_per_key(

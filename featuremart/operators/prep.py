@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.functions.text import WHITESPACE, _col
-from featuremart.operators.ordered import exact_quantiles, unpivot_numbers
+from featuremart.operators.ordered import column_stats, exact_quantiles
 
 MAX_VOCABULARY = 2000
 
@@ -39,9 +39,7 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean and population deviation per column: ``column, mean, std``."""
-    return unpivot_numbers(df, columns).groupBy("column").agg(
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")
-    )
+    return column_stats(df, columns, mean=F.avg, std=F.stddev_pop)
 
 
 def _by_column(stats: DataFrame, value: Column) -> Column:
@@ -91,9 +89,7 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Map each column to [0, 1]; a constant column becomes 0."""
-    bounds = unpivot_numbers(df, columns).groupBy("column").agg(
-        F.min("value").alias("low"), F.max("value").alias("high")
-    )
+    bounds = column_stats(df, columns, low=F.min, high=F.max)
     stats = _by_column(bounds, F.struct("low", "high"))
 
     def rescaled(c: str) -> Column:

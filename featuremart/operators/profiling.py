@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from featuremart.functions.dates import feature_cutoff
 from featuremart.functions.text import _col
-from featuremart.operators.ordered import exact_quantiles, unpivot_numbers
+from featuremart.operators.ordered import column_stats, exact_quantiles, unpivot_numbers
 from featuremart.operators.schema import numeric_columns
 
 
@@ -82,16 +82,8 @@ def describe_numbers(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """count, mean, sample std, min, exact quartiles and max, one row per column."""
     columns = list(columns or numeric_columns(df))
     quartiles = exact_quantiles(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    moments = (
-        unpivot_numbers(df, columns)
-        .groupBy("column")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
+    moments = column_stats(
+        df, columns, count=F.count, mean=F.avg, std=F.stddev_samp, min=F.min, max=F.max
     )
     return moments.join(quartiles.drop("n"), "column").select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
@@ -183,8 +175,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
     numbers = unpivot_numbers(df, columns)
     # a constant column gets one unit of width around its value
     bounds = (
-        numbers.groupBy("column")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
+        column_stats(df, columns, low=F.min, high=F.max)
+        .filter(F.col("low").isNotNull())
         .select(
             "column",
             F.when(F.col("low") == F.col("high"), F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),

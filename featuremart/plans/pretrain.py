@@ -37,13 +37,20 @@ def pretrain_features(
     if strategy not in ("latest", "none"):
         raise ValueError("strategy must be 'latest' or 'none'")
     batch = pit.label_batch(labels)
-    select_rows = pit.as_of_latest if strategy == "latest" else pit.point_in_time_join
     money = financial_feature_names(financials)
-    merged = pit.merge_features([
-        pit.pit_mean_features(batch, clickstream, months_on_book, fixed.CLICK_FEATURES),
-        select_rows(batch, attributes, months_on_book, ATTRIBUTE_FEATURES, "attributes_snapshot_date"),
-        select_rows(batch, financials, months_on_book, money, "financials_snapshot_date"),
-    ])
+    clicks = pit.Mean(clickstream, fixed.CLICK_FEATURES)
+    if strategy == "latest":
+        merged = pit.point_in_time_features(batch, months_on_book, [
+            clicks,
+            pit.Latest(attributes, ATTRIBUTE_FEATURES, "attributes_snapshot_date"),
+            pit.Latest(financials, money, "financials_snapshot_date"),
+        ])
+    else:
+        merged = pit.merge_features([
+            pit.point_in_time_features(batch, months_on_book, [clicks]),
+            pit.point_in_time_join(batch, attributes, months_on_book, ATTRIBUTE_FEATURES, "attributes_snapshot_date"),
+            pit.point_in_time_join(batch, financials, months_on_book, money, "financials_snapshot_date"),
+        ])
     coded = add_ordinal_codes(merged)
     if drop_nulls:
         coded = drop_null_features(coded, fixed.PRETRAIN_METADATA)
