@@ -15,6 +15,8 @@ TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
+FACT_TABLES = ["orders", "lineitem"]
+
 _MONTH = "CAST(date_trunc('month', CAST({} AS DATE)) AS DATE)".format
 
 VIEWS: dict[str, str] = {}
@@ -174,9 +176,19 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._known:
-            self._known[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._known[name] = self._spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"), name)
         return self._known[name]
 
+    def _spread(self, df: DataFrame, name: str) -> DataFrame:
+        """Let all cores work on a fact table that is stored as a single row group.
+
+        A table with at least as many splits as cores, as any large one has, is left alone.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        if name not in FACT_TABLES or df.rdd.getNumPartitions() >= cores:
+            return df
+        return df.repartition(cores)
+
     def view(self, name: str) -> DataFrame:
         key = "view " + name
         if key not in self._known:
