@@ -103,6 +103,17 @@ SELECT * FROM $attributes QUALIFY row_number() OVER (PARTITION BY Customer_ID
 
 REGISTRY.add("pretrain_features", PRETRAIN)(lambda t: features(t))
 
+REGISTRY.add("pretrain_every_snapshot", f"""
+SELECT Customer_ID, label_snapshot_date, count(*) AS rows, min(financials_snapshot_date) AS oldest,
+       CAST(sum(high_utilization_flag) AS BIGINT) AS high
+FROM ({CLICK_MEANS})
+JOIN ({pit_sql(GOLD_ATTRIBUTES, ATTRIBUTES, 'attributes_snapshot_date', BATCH)}) USING (Customer_ID, label_snapshot_date)
+JOIN ({pit_sql(GOLD_FINANCIALS, MONEY, 'financials_snapshot_date', BATCH)}) USING (Customer_ID, label_snapshot_date)
+GROUP BY 1, 2
+""")(lambda t: features(t, strategy="none").groupBy("Customer_ID", "label_snapshot_date").agg(
+    F.count(F.lit(1)).alias("rows"), F.min("financials_snapshot_date").alias("oldest"),
+    F.sum("high_utilization_flag").alias("high")))
+
 REGISTRY.add("pretrain_features_no_nulls", f"""
 SELECT * FROM ({PRETRAIN}) WHERE {' AND '.join(
     f'{c} IS NOT NULL' for c in fixed.PRETRAIN_COLUMNS if c not in fixed.PRETRAIN_METADATA)}

@@ -43,13 +43,6 @@ def range_index(edges: Column, count: int, value: Column) -> Column:
     return F.coalesce(found, F.lit(0))
 
 
-def same_groups(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
-
-
 def prefix_sum(
     df: DataFrame, order_by: str, values: Sequence[str], groups: Sequence[str] = ()
 ) -> DataFrame:
@@ -71,17 +64,22 @@ def prefix_sum(
             *[F.sum(v).alias(v) for v in values],
         ).alias("sketch")
     ).scalar()
-    ranged = distinct.select("*", sketch["edges"].alias("_edges")).select(
-        *groups, order_by, *values,
-        range_index(F.col("_edges"), ranges - 1, F.col(order_by)).alias("_range"),
+    # One key for window and join: the rows stay where the window put them.  A struct also
+    # compares NULL groups as equal.
+    ranged = (
+        distinct.select("*", sketch["edges"].alias("_edges"))
+        .select(
+            *groups, order_by, *values,
+            range_index(F.col("_edges"), ranges - 1, F.col(order_by)).alias("_range"),
+        )
+        .select("*", F.struct(*groups, "_range").alias("_key"))
     )
     by_range = W.partitionBy(*groups).orderBy("_range")
     offsets = (
         ranged.groupBy(*groups, "_range")
         .agg(*[F.sum(v).alias(f"_r_{v}") for v in values])
         .select(
-            *[F.col(c).alias(f"_g_{c}") for c in groups],
-            F.col("_range").alias("_g_range"),
+            F.struct(*groups, "_range").alias("_key"),
             *[
                 F.coalesce(
                     F.sum(f"_r_{v}").over(by_range.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
@@ -91,12 +89,11 @@ def prefix_sum(
             *[F.sum(f"_r_{v}").over(W.partitionBy(*groups)).alias(f"total_{v}") for v in values],
         )
     )
-    inside = W.partitionBy(*groups, "_range").orderBy(order_by).rowsBetween(W.unboundedPreceding, 0)
+    if not groups:
+        offsets = F.broadcast(offsets)  # at most MAX_RANGES rows
+    inside = W.partitionBy("_key").orderBy(order_by).rowsBetween(W.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(v).over(inside).alias(f"_local_{v}") for v in values])
-    matches = F.col("_range") == F.col("_g_range")
-    for c in groups:
-        matches = matches & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    return local.join(offsets, matches).select(
+    return local.join(offsets, "_key").select(
         *groups, order_by, *values,
         *[(F.col(f"_local_{v}") + F.col(f"_before_{v}")).alias(f"cum_{v}") for v in values],
         *[f"total_{v}" for v in values],

@@ -156,17 +156,25 @@ def flat_columns(schema: T.StructType, prefix: Sequence[str] = ()) -> list[Colum
 
 
 def read_json_summaries(
-    spark: SparkSession, path: str, pattern: str = "*.json", time_column: str = "evaluation_time"
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*.json",
+    time_column: str = "evaluation_time",
+    schema: str | T.StructType | None = None,
 ) -> DataFrame:
-    """JSON summary documents as flat rows, with the folder name as model version."""
+    """JSON summary documents as flat rows, with the folder name as model version.
+
+    A given schema saves the pass over the files that finds one.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
     files = (
-        spark.read.option("multiLine", True)
+        reader.option("multiLine", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .json(path)
     )
-    schema = T.StructType([f for f in files.schema.fields if f.name != "model_version"])
-    flat = files.select(*flat_columns(schema), parent_folder().alias("model_version"))
+    fields = T.StructType([f for f in files.schema.fields if f.name != "model_version"])
+    flat = files.select(*flat_columns(fields), parent_folder().alias("model_version"))
     if time_column not in flat.columns:
         return flat
     parsed = F.try_to_timestamp(F.col(time_column).cast("string"))

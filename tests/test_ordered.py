@@ -8,6 +8,15 @@ from featuremart.operators import metrics
 from featuremart.operators.ordered import exact_quantiles, prefix_sum
 
 
+@pytest.fixture(autouse=True, params=["4", "64"])
+def ranges(request, spark):
+    """Few ranges are compared one by one, many are searched."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def skewed(spark, n=3000, seed=1):
     draw = np.random.default_rng(seed)
     value = np.where(np.arange(n) % 3 == 0, 0.25, np.round(draw.random(n), 3))

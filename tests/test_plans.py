@@ -83,9 +83,21 @@ def test_running_sums_are_split_in_ranges(spark):
     df = spark.range(1000).select(F.rand(1).alias("s"), F.lit(1).alias("n"))
     text = plan(prefix_sum(df, "s", ["n"]))
     # one Exchange to a single partition for the range totals, one for the sketch; rows go by range
-    assert any("_range" in keys for keys in window_keys(text))
+    assert any("_key" in keys for keys in window_keys(text))
     local = [line for line in text.splitlines() if "_local_n" in line and "Window" in line]
-    assert local and all("_range" in line for line in local)
+    assert local and all("_key" in line for line in local)
+
+
+def test_grouped_running_sums_are_not_shuffled_again_for_the_totals(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.rand(1).alias("s"), F.lit(1).alias("n"))
+    for threshold in ("10MB", "-1"):  # also when the totals are too large to broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            text = plan(prefix_sum(df, "s", ["n"], ["g"]))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        local_side = text[: text.index("_local_n", text.index("Window ["))]
+        assert "Exchange" not in local_side.split("Join")[1]
 
 
 def test_shared_shuffle_is_read_once(spark):
