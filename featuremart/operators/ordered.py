@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MAX_RANGES = 4096
+VALUES_PER_EDGE = 50
 
 
 def range_count(df: DataFrame) -> int:
@@ -56,14 +57,23 @@ def prefix_sum(
     distinct = df.groupBy(*groups, order_by).agg(*[F.sum(v).alias(v) for v in values])
     ranges = range_count(df)
     probabilities = [k / ranges for k in range(1, ranges)]
-    # The sketch only decides how even the ranges are; any edges give the same result.
-    # Summing the values too makes the subquery share the shuffle of the main plan.
-    sketch = distinct.agg(
-        F.struct(
-            F.percentile_approx(order_by, probabilities, 20 * ranges).alias("edges"),
-            *[F.sum(v).alias(v) for v in values],
-        ).alias("sketch")
-    ).scalar()
+    # Edges come from a thinned set of the distinct values, chosen by hash, so that they are
+    # the same whenever they are computed.  They only decide how even the ranges are; all
+    # rows are summed.  Summing the values here too lets these subqueries read the shuffle
+    # of the main plan instead of the input.
+    kept = [F.sum(v).alias(v) for v in values]
+    size = distinct.agg(F.struct(F.count(F.lit(1)).alias("rows"), *kept).alias("size")).scalar()
+    every = F.greatest(F.lit(1), F.floor(size["rows"] / (VALUES_PER_EDGE * ranges))).cast("bigint")
+    chosen = F.pmod(F.xxhash64(order_by), F.col("_every")) == 0
+    sketch = (
+        distinct.select("*", every.alias("_every"))
+        .agg(
+            F.struct(
+                F.percentile(F.when(chosen, F.col(order_by)), probabilities).alias("edges"), *kept
+            ).alias("sketch")
+        )
+        .scalar()
+    )
     # One key for window and join: the rows stay where the window put them.  A struct also
     # compares NULL groups as equal.
     ranged = (

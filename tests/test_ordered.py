@@ -140,3 +140,19 @@ def test_binary_metrics_edges(spark):
     f1, f0 = 4 / 6, 2 / 4
     assert mixed["f1_macro"] == pytest.approx((f1 + f0) / 2)
     assert mixed["f1_weighted"] == pytest.approx((3 * f1 + 2 * f0) / 5)
+
+
+def test_many_values_and_no_subquery_reuse(spark):
+    """Ranges are the same in every part of the plan even when nothing is shared."""
+    n = 60000
+    df = spark.range(n).select((F.pmod(F.xxhash64("id"), 1000003) / 7.0).alias("s"), F.lit(1).alias("n"))
+    values = np.sort([r["s"] for r in df.collect()])
+    for key in ("spark.sql.execution.reuseSubquery", "spark.sql.exchange.reuse"):
+        spark.conf.set(key, "false")
+    try:
+        got = {r["s"]: (r["cum_n"], r["total_n"]) for r in prefix_sum(df, "s", ["n"]).collect()}
+    finally:
+        for key in ("spark.sql.execution.reuseSubquery", "spark.sql.exchange.reuse"):
+            spark.conf.unset(key)
+    distinct, last = np.unique(values, return_index=False), np.searchsorted(values, np.unique(values), side="right")
+    assert got == {v: (int(k), n) for v, k in zip(distinct, last)}
