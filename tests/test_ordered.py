@@ -8,7 +8,7 @@ from featuremart.operators import metrics
 from featuremart.operators.ordered import exact_quantiles, prefix_sum
 
 
-@pytest.fixture(autouse=True, params=["4", "64"])
+@pytest.fixture(params=["4", "64"])
 def ranges(request, spark):
     """Few ranges are compared one by one, many are searched."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
@@ -44,7 +44,7 @@ def psi(a, b, buckets=10):
     return float(np.sum((hb - ha) * np.log((hb + 1e-8) / (ha + 1e-8))))
 
 
-def test_prefix_sum(spark):
+def test_prefix_sum(spark, ranges):
     rows, df = skewed(spark)
     got = {(r["g"], r["score"]): (r["n"], r["cum_n"], r["total_n"])
            for r in prefix_sum(df.withColumn("n", F.lit(1)), "score", ["n"], ["g"]).collect()}
@@ -68,7 +68,7 @@ def test_quantiles_of_small_samples(spark, values):
     assert [row[n] for n in ps] == pytest.approx([np.percentile(values, 100 * p) for p in ps.values()])
 
 
-def test_quantiles_by_group_and_column(spark):
+def test_quantiles_by_group_and_column(spark, ranges):
     rows, df = skewed(spark)
     df = df.withColumn("neg", F.when(F.col("i") % 7 > 0, -F.col("score")))
     got = {(r["g"], r["column"]): r["q"] for r in exact_quantiles(df, ["score", "neg"], {"q": 0.37}, ["g"]).collect()}
@@ -97,7 +97,7 @@ def test_auc_edges(spark):
     assert metrics.roc_auc(missing, "label", "score").first()["auc_roc"] == 0.0
 
 
-def test_ks_and_psi(spark):
+def test_ks_and_psi(spark, ranges):
     rows, df = skewed(spark)
     a = np.array([r[2] for r in rows if r[0] < 1000])
     b = np.array([r[2] ** 2 for r in rows if r[0] >= 1000])
