@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from checks.views import REGISTRY
@@ -156,13 +158,13 @@ SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders
 """)(lambda t: schema.select_prefix(
     t.table("orders").drop("o_orderdate"), "o_order", keys=["o_orderkey"]))
 
+WINDOWS = dates.derive_windows(datetime.date(2000, 1, 1), 12, 2)
 REGISTRY.add("filter_window", """
 SELECT loan_id, snapshot_date, CASE WHEN snapshot_date >= DATE '1999-11-01' THEN 'oot'
        ELSE 'train_test' END AS split
 FROM $loan WHERE snapshot_date BETWEEN DATE '1998-11-01' AND DATE '1999-12-31'
-""")(lambda t: (lambda w: schema.filter_window(t.view("loan"), "snapshot_date", w).select(
-    "loan_id", "snapshot_date", dates.assign_split("snapshot_date", w).alias("split")
-))(dates.derive_windows(__import__("datetime").date(2000, 1, 1), 12, 2)))
+""")(lambda t: schema.filter_window(t.view("loan"), "snapshot_date", WINDOWS).select(
+    "loan_id", "snapshot_date", dates.assign_split("snapshot_date", WINDOWS).alias("split")))
 
 REGISTRY.add("fill_numeric_nulls", """
 SELECT loan_id, COALESCE(paid_amt, 0) AS paid_amt, COALESCE(balance, 0) AS balance,

@@ -230,7 +230,6 @@ SELECT o_orderkey, o_orderstatus, CAST(o_orderstatus = 'F' AS DOUBLE) AS o_order
        CAST(o_orderstatus = 'P' AS DOUBLE) AS o_orderstatus_P FROM orders
 """)(lambda t: prep.one_hot(t.table("orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus"))
 
-ITEMS = ["AutoLoan", "PaydayLoan"]
 REGISTRY.add("multi_hot", f"""
 SELECT Customer_ID, snapshot_date, Type_of_Loan, {', '.join(
     f"CASE WHEN list_contains(string_split(Type_of_Loan, '|'), '{v}') THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END "
