@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import decontaminate, mixing, sharding, simhash
-from featuremart.llm.common import table
+import corpus_pipeline
+from featuremart.llm import decontaminate, mixing, sharding, simhash, toxicity
+from featuremart.llm.common import crc_of_id, table
 
-QUERIES: dict = {}
+QUERIES: dict = {"pipeline": corpus_pipeline.run}
 ORACLES: dict = {}
 
 
@@ -34,6 +35,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", (crc_of_id("doc_id") % 3 == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"), "threshold", "rejected")
+
+
 @query
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
