@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from featuremart.llm import decontaminate, lm, mixing, sharding, simhash, toxicity
+from featuremart.llm import decontaminate, lm, mixing, repeats, sharding, simhash, toxicity
 from featuremart.llm.common import crc_of_id, table
 
 QUERIES: dict = {"pipeline": corpus_pipeline.run}
@@ -82,6 +82,11 @@ SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least
 """
 
 
+@query
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept", "removed")
+
+
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(
