@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from featuremart.llm import decontaminate, lm, mixing, repeats, sharding, simhash, toxicity
+from featuremart.llm import decontaminate, lm, mixing, neighbours, repeats, sharding, simhash, toxicity
 from featuremart.llm.common import crc_of_id, table
 
 QUERIES: dict = {"pipeline": corpus_pipeline.run}
@@ -29,6 +29,11 @@ def op1_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 @query
 def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.perplexity(table(spark, sf_dir, "documents"))
