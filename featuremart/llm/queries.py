@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from featuremart.llm import decontaminate, lm, mixing, neighbours, repeats, sharding, simhash, toxicity
+from featuremart.llm import chat, decontaminate, licenses, lm, mixing, neighbours, repeats, sharding, simhash, toxicity
 from featuremart.llm.common import crc_of_id, table
 
 QUERIES: dict = {"pipeline": corpus_pipeline.run}
@@ -29,6 +29,11 @@ def op1_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
@@ -39,6 +44,36 @@ def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.perplexity(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(
+        "conv_id", F.col("turn").cast("long").alias("turn"),
+        F.to_json(F.struct(*(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")))).alias("payload"))
+    words = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"),
+        F.to_json(F.struct(words.alias("prompt"), words.alias("response"))).alias("payload"))
+    turns = chat.canonical_turns(rows.union(extra)).select("conv_id", "turn", F.posexplode("turns").alias("part", "t"))
+    return chat.digests(chat.format_turns(turns.select("conv_id", "turn", "part", "t.role", "t.text")), ["turn", "part"])
+
+
+_ESCAPED = r"length(regexp_replace({}, '([<\[])(\\*)(/?(?:s>|INST\]|ROLE\]))', '\1\\\2\3', 'g'))"
+ORACLES["op5_chat"] = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(length('<s>[ROLE][/ROLE]</s>') + {_ESCAPED.format("role")} + {_ESCAPED.format("text")}) AS BIGINT)
+         AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
