@@ -203,7 +203,8 @@ def fit(train: DataFrame, counts: DataFrame, text: str = "text", classes: int =
     """Model of the texts of ``train``, whose (word, n) are ``counts``."""
     whole = counts.agg(F.sum("n"), F.count("*")).first()
     tokens, types = int(whole[0] or 0), int(whole[1])
-    common = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
+    is_end = F.col("word") == F.lit(END)
+    common = counts.where(~is_end).orderBy(F.desc("n"), "word").limit(KNOWN).collect() + counts.where(is_end).collect()
     words = [(bytes(r["word"]), r["n"]) for r in common]
     units = Units({w: i for i, w in enumerate(
         dict.fromkeys([END, *(w for w, _ in words if w != END)][:FREQUENT]))})

@@ -159,7 +159,7 @@ def set_probes(router: Router, indexed: np.ndarray, trials: np.ndarray, recall:
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return values.reshape(len(flat), -1)
+    return values.reshape(len(flat), -1) if len(flat) else np.empty((0, 0))
 
 
 def usable(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:

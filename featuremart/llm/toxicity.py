@@ -93,22 +93,28 @@ class Model:
     def logits(self, texts: list[np.ndarray], pieces: np.ndarray) -> np.ndarray:
         """Whole texts; long ones in overlapping chunks, of which the largest response counts."""
         best = np.full((len(texts), len(WIDTHS) * FILTERS), -np.inf, np.float32)
-        group, owner, size = [], [], 0
+        group, counted, owner, size = [], [], [], 0
         for i, words in enumerate(texts):
             for start in range(0, max(1, len(words)), CHUNK):
                 group.append(words[start:start + CHUNK + max(WIDTHS) - 1])
+                counted.append(max(1, min(CHUNK, len(words) - start)))
                 owner.append(i)
                 size += len(group[-1]) + 2
                 if size >= CHUNK:
-                    np.maximum.at(best, owner, self._pooled(group, pieces))
-                    group, owner, size = [], [], 0
+                    np.maximum.at(best, owner, self._pooled(group, counted, pieces))
+                    group, counted, owner, size = [], [], [], 0
         if group:
-            np.maximum.at(best, owner, self._pooled(group, pieces))
+            np.maximum.at(best, owner, self._pooled(group, counted, pieces))
         return np.maximum(best + self.bias, 0) @ self.weight + self.offset
 
-    def _pooled(self, texts: list[np.ndarray], pieces: np.ndarray) -> np.ndarray:
-        """Largest response of every filter in each text; responses are looked up by different word."""
+    def _pooled(self, texts: list[np.ndarray], counted: list[int], pieces: np.ndarray) -> np.ndarray:
+        """Largest response of every filter at the first ``counted`` words of each text.
+
+        Responses are computed by different word and looked up.
+        """
         words, starts = laid_out(texts)
+        position = np.arange(len(words)) - np.repeat(starts, np.diff(np.r_[starts, len(words)]))
+        outside = (position >= np.repeat(counted, np.diff(np.r_[starts, len(words)])))[: len(words) - max(WIDTHS) + 1]
         different, words = np.unique(words, return_inverse=True)
         vectors = self.embedding[pieces[different]].sum(axis=1)
         valid = len(words) - max(WIDTHS) + 1
@@ -117,6 +123,7 @@ class Model:
             response = (vectors @ places[0])[words[:valid]]
             for k in range(1, width):
                 response += (vectors @ places[k])[words[k:valid + k]]
+            response[outside] = -np.inf
             found.append(np.maximum.reduceat(response, starts, axis=0))
         return np.concatenate(found, axis=1)
 
