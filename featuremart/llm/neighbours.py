@@ -37,10 +37,10 @@ def parts_for(rows: int) -> int:
 def neighbour_graph(vectors: np.ndarray, k: int) -> np.ndarray:
     """Numbers of the k nearest other vectors of each, by inner product."""
     out = []
-    for at in range(0, len(vectors), 1_024):
-        scores = vectors[at:at + 1_024] @ vectors.T
-        scores[np.arange(len(scores)), at + np.arange(len(scores))] = -np.inf
-        out.append(np.argpartition(-scores, k - 1, axis=1)[:, :k])
+    for at in range(0, len(vectors), 128):  # some 8 MB of scores at a time
+        scores = vectors[at:at + 128] @ -vectors.T
+        scores[np.arange(len(scores)), at + np.arange(len(scores))] = np.inf
+        out.append(np.argpartition(scores, k - 1, axis=1)[:, :k].astype(np.int32))
     return np.concatenate(out)
 
 
@@ -149,7 +149,8 @@ def set_probes(router: Router, indexed: np.ndarray, trials: np.ndarray, recall:
         return
     k = min(NEAREST, len(indexed))
     home = router.ranked(indexed)[:, 0]
-    near = np.argpartition(-(trials @ indexed.T), k - 1, axis=1)[:, :k]
+    near = np.concatenate([np.argpartition(part @ -indexed.T, k - 1, axis=1)[:, :k]
+                           for part in np.array_split(trials, max(1, len(trials) // 128))])
     rank = np.argsort(router.ranked(trials), axis=1)  # place of each part in a trial's ranking
     places = np.take_along_axis(rank, home[near], axis=1).ravel()
     shares = np.cumsum(np.bincount(places, minlength=router.parts)) / len(places)
