@@ -156,7 +156,11 @@ MONITORING_METRICS = [
 REGISTRY_SCHEMA = (
     "model_version string not null, train_start date, train_end date, "
     "oot_start date, oot_end date, auc_train double, auc_test double, auc_oot double, "
-    "promoted_flag boolean, promoted_at timestamp"
+    "promoted_flag boolean, promoted_at timestamp, "
+    "run_id string, status string, train_date date, flavor string, model_name string, "
+    "version bigint, stage string, model_uri string, description string, "
+    "gini_train double, gini_test double, gini_oot double, accuracy_test double, "
+    "precision_weighted_test double, recall_weighted_test double, f1_weighted_test double"
 )
 SNAPSHOT_METRICS = [
     "auc_train", "auc_test", "auc_oot", "gini_train", "gini_test", "gini_oot",

@@ -90,13 +90,14 @@ def point_in_time_features(
     rows the customer has.  On equal days the label comes first, so a row exactly at the
     cutoff is not seen.  A label without usable rows in every source is left out.
     """
-    wanted = labels.select(KEY, LABEL_DATE).distinct().select(
+    # a row without a customer belongs to nobody: it never matches
+    wanted = labels.select(KEY, LABEL_DATE).filter(F.col(KEY).isNotNull()).distinct().select(
         "*", feature_cutoff(LABEL_DATE, months_on_book).alias("_day"), F.lit(0).alias("_kind")
     )
     order = W.partitionBy(KEY).orderBy("_day", "_kind").rowsBetween(W.unboundedPreceding, 0)
     sequence, carried, found, output = wanted, [], F.col(LABEL_DATE).isNotNull(), []
     for i, part in enumerate(parts):
-        usable = before_last_cutoff(part.source, labels, months_on_book)
+        usable = before_last_cutoff(part.source, labels, months_on_book).filter(F.col(KEY).isNotNull())
         if isinstance(part, Latest):
             row = f"_row{i}"
             per_day = latest_per_key(

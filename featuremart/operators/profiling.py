@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from featuremart.functions.dates import feature_cutoff
+from featuremart.functions.numeric import clean_score
 from featuremart.functions.text import _col
 from featuremart.operators.ordered import column_stats, exact_quantiles, unpivot_numbers
 from featuremart.operators.schema import numeric_columns
@@ -216,8 +217,9 @@ def score_by_snapshot(
 ) -> DataFrame:
     """Mean and quartiles of the score per snapshot."""
     quartiles = exact_quantiles(predictions, [score], {"p25": 0.25, "p50": 0.5, "p75": 0.75}, [snapshot])
+    usable = clean_score(score)
     means = predictions.groupBy(snapshot).agg(
-        F.count(score).alias("scored"), F.avg(score).alias("score_mean")
+        F.count(usable).alias("scored"), F.avg(usable).alias("score_mean")
     )
     return means.join(quartiles.drop("column", "n"), snapshot, "left").orderBy(snapshot)
 
@@ -228,14 +230,23 @@ def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def tail_by(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """Last ``n`` rows in the given order, shown in that order."""
-    last = df.orderBy(*[F.desc_nulls_last(c) for c in order]).limit(n)
-    return last.orderBy(*[F.asc_nulls_first(c) for c in order])
+    """Last ``n`` rows in the given order, NULL last, shown in that order."""
+    last = df.orderBy(*[F.desc_nulls_first(c) for c in order]).limit(n)
+    return last.orderBy(*[F.asc_nulls_last(c) for c in order])
 
 
 def rolling_mean(
     df: DataFrame, order: str, columns: Sequence[str], rows: int = 3, groups: Sequence[str] = ()
 ) -> DataFrame:
-    """Mean over the last ``rows`` rows for tables with one row per month (and group)."""
+    """Mean over the last ``rows`` months for tables with one row per month (and group).
+
+    Rows are reduced to months first, so that the ordered part never holds more than the
+    calendar; rows of one month share the mean of their month's means.
+    """
+    keys = [*groups, order]
+    monthly = df.groupBy(*keys).agg(*[F.avg(_col(c)).alias(f"_{c}") for c in columns])
     recent = W.partitionBy(*groups).orderBy(order).rowsBetween(1 - rows, 0)
-    return df.select("*", *[F.avg(_col(c)).over(recent).alias(f"{c}_rolling") for c in columns])
+    rolled = monthly.select(
+        F.struct(*keys).alias("_month"), *[F.avg(f"_{c}").over(recent).alias(f"{c}_rolling") for c in columns])
+    # a struct as key also compares NULL months and groups as equal
+    return df.select("*", F.struct(*keys).alias("_month")).join(rolled, "_month").drop("_month")

@@ -77,18 +77,43 @@ def transition_stage(
     """Move chosen versions into a stage and archive the versions they replace.
 
     ``chosen`` has one ``version`` per ``model_name``.  The chosen rows get the listed
-    columns as JSON text in ``description``.
+    columns as JSON text in ``description``; other rows keep theirs.
     """
     pick = chosen.select("model_name", F.col("version").alias("_chosen"))
     is_chosen = F.col("version") == F.col("_chosen")
     replaced = F.col("_chosen").isNotNull() & (F.col("stage") == stage) & F.lit(archive_existing)
     new_stage = F.when(is_chosen, stage).when(replaced, "Archived").otherwise(F.col("stage"))
+    noted = [c for c in snapshot or registry.columns if c != "description"]
+    old = F.col("description") if "description" in registry.columns else F.lit(None).cast("string")
+    note = F.when(is_chosen, F.to_json(F.struct(*noted))).otherwise(old)
     return registry.join(pick, "model_name", "left").select(
-        *[new_stage.alias("stage") if c == "stage" else F.col(c) for c in registry.columns],
-        F.when(is_chosen, F.to_json(F.struct(*(snapshot or registry.columns)))).alias("description"),
+        *[new_stage.alias("stage") if c == "stage" else F.col(c) for c in registry.columns if c != "description"],
+        note.alias("description"),
     )
 
 
+def promotion_note(prefix: str = "") -> Column:
+    """Nested JSON of what is known at promotion: ``metrics`` and ``params`` of a run."""
+    metrics = F.struct(*[F.col(f"{prefix}{m}").alias(m) for m in fixed.SNAPSHOT_METRICS])
+    params = F.struct(*[F.col(f"{prefix}{p}").alias(p) for p in (
+        "flavor", "train_start", "train_end", "oot_start", "oot_end")])
+    return F.to_json(F.struct(F.col(f"{prefix}run_id").alias("run_id"), metrics.alias("metrics"), params.alias("params")))
+
+
+def promote(registry: DataFrame, chosen: DataFrame, at: Column | None = None) -> DataFrame:
+    """Registry after chosen versions went to production, with nested note, flag and time."""
+    moved = transition_stage(registry, chosen, snapshot=["version"])
+    pick = chosen.select("model_name", F.col("version").alias("_chosen"))
+    is_chosen = F.col("version") == F.col("_chosen")
+    new = {
+        "description": F.when(is_chosen, promotion_note()).otherwise(F.col("description")),
+        "promoted_flag": F.when(is_chosen, True).otherwise(F.col("promoted_flag")),
+        "promoted_at": F.when(is_chosen, F.current_timestamp() if at is None else at).otherwise(F.col("promoted_at")),
+    }
+    return moved.join(pick, "model_name", "left").select(
+        *[new[c].alias(c) if c in new else F.col(c) for c in moved.columns])
+
+
 def dedupe_runs(runs: DataFrame, flag: str = "promoted_flag", at: str = "promoted_at") -> DataFrame:
     """Of rows equal in everything else, the promoted and most recently promoted one."""
     keys = [c for c in runs.columns if c not in (flag, at)]
@@ -121,17 +146,19 @@ def run_decision(
     registry: DataFrame,
     dates: Sequence[DataFrame],
     run_date: date,
+    model_name: str,
     force: bool = False,
     retrain_after: int = fixed.RETRAIN_AFTER_MONTHS,
     minimum: int = fixed.MIN_HISTORY_MONTHS,
 ) -> DataFrame:
-    """``train`` or ``infer`` for a run date.
+    """``train`` or ``infer`` for a run date and one model.
 
     Training needs enough consecutive months before the run month, and either a forced
-    run, no production model, or a model at least ``retrain_after`` whole months old.
+    run, no production version of the model, or one at least ``retrain_after`` whole
+    months old.
     """
     today = F.lit(run_date)
-    newest = registry.filter(F.col("stage") == "Production").agg(
+    newest = registry.filter((F.col("stage") == "Production") & (F.col("model_name") == model_name)).agg(
         F.max_by("train_date", "version").alias("last_train_date")
     )
     coverage = month_coverage(dates, F.add_months(today, -1), minimum).select(

@@ -6,12 +6,16 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Estimator, Model
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart import fixed_values as fixed
-from featuremart.operators import metrics, pit
+from featuremart.functions.dates import TrainingWindows, assign_split
+from featuremart.operators import metrics, modelling, pit, registry, sampling
+from featuremart.operators.prep import Preprocessor
 from featuremart.plans import gold, pretrain, silver
+from featuremart.session import materialise
 from featuremart.sources import tables
 
 SILVER_STEPS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -47,14 +51,17 @@ class Datamart:
     # --- layers -------------------------------------------------------------------
     def build_bronze(self, raw: Mapping[str, str], start: date | None = None, end: date | None = None) -> None:
         """Land the raw extracts, all wanted months of a source in one scan."""
-        for name, frame in tables.ingest_all(self.spark, raw).items():
-            if tables.SNAPSHOT in frame.columns:
-                frame = _between(frame, tables.SNAPSHOT, start, end)
-            tables.write_snapshot(frame, self.path("bronze", name))
+        one_month = start if start is not None and start == end else None
+        for name, frame in tables.ingest_all(self.spark, raw, one_month).items():
+            if tables.SNAPSHOT not in frame.columns:
+                raise ValueError(f"{name} has no {tables.SNAPSHOT}; land it month by month, so that it gets the month's date")
+            tables.write_snapshot(
+                _between(frame, tables.SNAPSHOT, start, end), self.path("bronze", name), covered=(start, end))
 
     def build_silver(self, start: date | None = None, end: date | None = None) -> None:
         for name, step in SILVER_STEPS.items():
-            tables.write_snapshot(step(self.read("bronze", name, start, end)), self.path("silver", name))
+            tables.write_snapshot(
+                step(self.read("bronze", name, start, end)), self.path("silver", name), covered=(start, end))
 
     def build_gold(
         self, start: date | None = None, end: date | None = None, dpd: int = 30, mob: int = 6
@@ -62,7 +69,7 @@ class Datamart:
         for name, (source, step) in GOLD_STEPS.items():
             frame = self.read("silver", source, start, end)
             built = step(frame, dpd, mob) if name == "label_store" else step(frame)
-            tables.write_snapshot(built, self.path("gold", name))
+            tables.write_snapshot(built, self.path("gold", name), covered=(start, end))
 
     def build_pretrain(
         self,
@@ -83,7 +90,8 @@ class Datamart:
             self.read("gold", "feature_clickstream"),
             mob, strategy, drop_nulls,
         )
-        tables.write_snapshot(built, self.path("gold", "pretrain_features"), partition_by=[pit.LABEL_DATE])
+        tables.write_snapshot(
+            built, self.path("gold", "pretrain_features"), partition_by=[pit.LABEL_DATE], covered=(start, end))
 
     def build_training(
         self, start: date | None = None, end: date | None = None, drop_nulls: bool = False
@@ -93,7 +101,8 @@ class Datamart:
             self.read("gold", "label_store", start, end),
             drop_nulls,
         )
-        tables.write_snapshot(built, self.path("gold", "training"), partition_by=[pit.LABEL_DATE])
+        tables.write_snapshot(
+            built, self.path("gold", "training"), partition_by=[pit.LABEL_DATE], covered=(start, end))
 
     # --- runs ---------------------------------------------------------------------
     def backfill(
@@ -115,8 +124,79 @@ class Datamart:
         """The same for one new month; other months stay as they are."""
         self.backfill(raw, month, month)
 
-    def monitor(self, predictions: DataFrame, threshold: float = fixed.DECISION_THRESHOLD) -> DataFrame:
-        return metrics.monitor(predictions, self.read("gold", "label_store"), threshold=threshold)
+    # --- models -------------------------------------------------------------------
+    def runs(self) -> DataFrame:
+        """The run table; empty before the first training."""
+        return tables.read_runs(self.spark, self.path("models", "runs"))
+
+    def train(
+        self,
+        windows: TrainingWindows,
+        steps: Callable[[DataFrame], Preprocessor],
+        learner: Callable[[int], Estimator],
+        train_date: date,
+        model_name: str,
+        flavor: str,
+    ) -> str:
+        """Fit on the training window, judge all splits, store the model and append the run; its id."""
+        rows = self.read("gold", "training")
+        dated = materialise(rows.withColumn("_window", assign_split(pit.LABEL_DATE, windows))
+                            .filter(F.col("_window").isNotNull()), "training")
+        split = sampling.stratified_split(
+            dated.filter("_window = 'train_test'"), "label", columns=["loan_id", pit.KEY, pit.LABEL_DATE])
+        every = materialise(split.unionByName(dated.filter("_window = 'oot'").withColumn("split", F.lit("oot"))), "splits")
+        train = every.filter("split = 'train'").drop("_window", "split")
+        fitted, model = modelling.fit_rows(train, steps(train), learner)
+        scored = materialise(modelling.score_rows(model, fitted, every, ["label", "split"]), "scored")
+        quality = metrics.evaluate_splits(scored).agg(*[
+            F.max(F.when(F.col("split") == s, F.col(c))).alias(f"{n}_{s}")
+            for s in ("train", "test", "oot") for c, n in (("auc_roc", "auc"), ("gini", "gini"))
+        ], F.max(F.when(F.col("split") == "test", F.col("accuracy"))).alias("accuracy_test"),
+            F.max(F.when(F.col("split") == "test", F.col("f1_weighted"))).alias("f1_weighted_test"))
+        known = self.runs().filter(F.col("model_name") == model_name).agg(F.max("version").alias("v")).first()["v"]
+        version = (known or 0) + 1
+        run_id = f"{model_name}-{train_date.isoformat()}-{version}"
+        uri = self.path("models", run_id)
+        model.write().overwrite().save(uri)
+        fitted.save(self.spark, uri + "-steps")
+        tables.append_runs(quality.select(
+            "*", F.lit(str(version)).alias("model_version"), F.lit(version).alias("version"), F.lit(run_id).alias("run_id"),
+            F.lit("FINISHED").alias("status"), F.lit(train_date).alias("train_date"), F.lit(flavor).alias("flavor"),
+            F.lit(model_name).alias("model_name"), F.lit("None").alias("stage"), F.lit(uri).alias("model_uri"),
+            F.lit(False).alias("promoted_flag"), F.lit(windows.train_test_start).alias("train_start"),
+            F.lit(windows.train_test_end).alias("train_end"), F.lit(windows.oot_start).alias("oot_start"),
+            F.lit(windows.oot_end).alias("oot_end")), self.path("models", "runs"))
+        return run_id
+
+    def promote_best(self, train_date: date, min_test: float | None = fixed.MIN_TEST_AUC) -> DataFrame:
+        """Move the best run of a training date to production if it passes the guard; the outcome."""
+        runs = materialise(self.runs(), "runs")
+        outcome = materialise(registry.promotion_decision(
+            runs.filter(F.col("train_date") == F.lit(train_date)), min_test=min_test), "outcome")
+        chosen = runs.join(outcome.filter("outcome = 'promote'").select("run_id"), "run_id", "left_semi").select(
+            "model_name", "version")
+        changed = materialise(registry.promote(runs, chosen), "runs")
+        changed.write.mode("overwrite").parquet(self.path("models", "runs"))
+        return outcome
+
+    def score(self, day: date, model_name: str, load: Callable[[str], Model], scored_at: Column | None = None) -> None:
+        """Score one label date with the model in production and store the predictions."""
+        current = registry.latest_in_stage(self.runs().filter(F.col("model_name") == model_name)).first()
+        if current is None:
+            raise ValueError(f"no production version of {model_name}")
+        uri = current["model_uri"]
+        predictions = modelling.score_snapshot(
+            load(uri), Preprocessor.load(self.spark, uri + "-steps"), self.read("gold", "training"), day,
+            model_uri=uri, model_version=current["model_version"], model_stage=current["stage"], scored_at=scored_at)
+        tables.write_predictions(predictions, self.path("gold", "predictions"))
+
+    def predictions(self) -> DataFrame:
+        return tables.read_predictions(self.spark, self.path("gold", "predictions"))
+
+    def monitor(self, predictions: DataFrame | None = None, threshold: float = fixed.DECISION_THRESHOLD) -> DataFrame:
+        """Monitoring table of given, or of all stored, predictions against the labels."""
+        found = self.predictions() if predictions is None else predictions
+        return metrics.monitor(found, self.read("gold", "label_store"), threshold=threshold)
 
 
 def _between(df: DataFrame, column: str, start: date | None, end: date | None) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from featuremart import fixed_values as fixed
 from featuremart.operators import pit
@@ -61,10 +60,3 @@ def training_rows(features: DataFrame, labels: DataFrame, drop_nulls: bool = Fal
     joined = pit.training_table(features, labels)
     return drop_null_features(joined, fixed.TRAINING_METADATA) if drop_nulls else joined
 
-
-def leakage_free(features: DataFrame, months_on_book: int = 6) -> DataFrame:
-    """Rows that break the cutoff rule; empty for a correct feature store."""
-    cutoff = F.add_months(F.col(pit.LABEL_DATE), 1 - months_on_book)
-    return features.filter(
-        (F.col("attributes_snapshot_date") >= cutoff) | (F.col("financials_snapshot_date") >= cutoff)
-    )

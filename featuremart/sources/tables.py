@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from fnmatch import fnmatch
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from featuremart import fixed_values as fixed
 from featuremart.functions.dates import month_floor, to_date_safe
+from featuremart.session import file_system
 
 SNAPSHOT = "snapshot_date"
 
@@ -35,11 +37,11 @@ def ingest_snapshot(raw: DataFrame, day: date | None = None, optional_date: bool
     """Rows of one snapshot, or of all when no day is given, with a real date column.
 
     A source without the date column is an error unless ``optional_date``; then it is
-    taken whole.
+    taken whole, stamped with the day where one is given.
     """
     if SNAPSHOT not in raw.columns:
         if optional_date:
-            return raw
+            return raw if day is None else raw.withColumn(SNAPSHOT, F.lit(day))
         raise ValueError(f"missing columns: ['{SNAPSHOT}']")
     dated = raw.withColumn(SNAPSHOT, to_date_safe(SNAPSHOT))
     return dated if day is None else dated.filter(F.col(SNAPSHOT) == F.lit(day))
@@ -65,28 +67,66 @@ def write_snapshot(
     path: str,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (SNAPSHOT,),
+    covered: tuple[date | None, date | None] | None = None,
 ) -> str:
     """Write a table, replacing exactly the partitions present in ``df``.
 
-    Rows are rebalanced by partition first: small months become one file, a huge month
-    is divided over many tasks.
+    ``covered`` names the first and last date that ``df`` stands for (None: no bound);
+    partitions in that range that got no rows are removed, so that a month that has
+    become empty is empty after a re-run.  Rows are rebalanced by partition first: small
+    months become one file, a huge month is divided over many tasks.
     """
     keys = [c for c in partition_by if c in df.columns]
+    before = _partition_files(df.sparkSession, path, keys[0]) if covered and keys else {}
     writer = (df.hint("rebalance", *[F.col(c) for c in keys]) if keys else df).write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)
     if keys:
         writer = writer.partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
     writer.format(fmt).save(path)
+    if before:
+        after = _partition_files(df.sparkSession, path, keys[0])
+        start, end = covered
+        for value, files in before.items():
+            inside = (start is None or value >= start.isoformat()) and (end is None or value <= end.isoformat())
+            if inside and after.get(value) == files:  # a partition that was written has new files
+                system, place = file_system(df.sparkSession, f"{path}/{keys[0]}={value}")
+                system.delete(place, True)
     return path
 
 
+def _partition_files(spark: SparkSession, path: str, key: str) -> dict[str, set[str]]:
+    """Names of the files of each partition folder of a dated table."""
+    system, place = file_system(spark, path)
+    if not system.exists(place):
+        return {}
+    found: dict[str, set[str]] = {}
+    for folder in system.listStatus(place):
+        name, _, value = folder.getPath().getName().partition("=")
+        if name == key and folder.isDirectory():
+            files, names = system.listFiles(folder.getPath(), True), set()
+            while files.hasNext():
+                names.add(files.next().getPath().getName())
+            found[value] = names
+    return found
+
+
+#: Conditions under which a path holds no table yet; everything else is an error.
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def nothing_there(error: AnalysisException) -> bool:
+    return (error.getCondition() or "").split(".")[0] in NOTHING_THERE
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """A whole table; a missing or empty folder is reported by name."""
     reader = spark.read.options(**({"header": True} if fmt == "csv" else {}), **options)
     try:
         return reader.format(fmt).load(path)
     except AnalysisException as error:
+        if not nothing_there(error):
+            raise
         raise FileNotFoundError(f"no {fmt} files under {path}") from error
 
 
@@ -125,17 +165,36 @@ def parent_folder() -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
 
+def folder_value(name: str) -> Column:
+    """Value of a partition folder ``name=value`` in the file's path; NULL without one."""
+    path = F.url_decode(F.col("_metadata.file_path"))
+    return F.nullif(F.regexp_extract(path, rf"/{name}=([^/]*)/", 1), F.lit(""))
+
+
+def _nested_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Parquet files at any depth, columns merged by name.
+
+    Below partition folders the partitions stay columns, so that a month is pruned;
+    plain folders are searched.
+    """
+    system, place = file_system(spark, path)
+    partitioned = system.exists(place) and any(
+        "=" in s.getPath().getName() and s.isDirectory() for s in system.listStatus(place))
+    reader = spark.read.option("pathGlobFilter", pattern).option("mergeSchema", True)
+    return (reader if partitioned else reader.option("recursiveFileLookup", True)).parquet(path)
+
+
+def write_predictions(df: DataFrame, path: str) -> str:
+    """Predictions, partitioned by snapshot and model version; other snapshots and models stay."""
+    return write_snapshot(df, path, partition_by=[SNAPSHOT, "model_version"])
+
+
 def read_predictions(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """Prediction files of all models; the folder name stands in for a missing version."""
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .option("mergeSchema", True)
-        .parquet(path)
-    )
-    version = parent_folder()
+    files = _nested_files(spark, path, pattern)
+    version = F.coalesce(folder_value("model_version"), parent_folder())
     if "model_version" in files.columns:
-        version = F.coalesce(F.col("model_version").cast("string"), version)
+        version = F.coalesce(folder_value("model_version"), F.col("model_version").cast("string"), version)
     columns = [c for c in files.columns if c != "model_version"]
     return files.select(
         *[to_date_safe(c).alias(c) if c == SNAPSHOT else F.col(c) for c in columns],
@@ -192,26 +251,58 @@ def normalise_monitoring(df: DataFrame) -> DataFrame:
     return df.select(*columns, *added).orderBy("month")
 
 
-def read_monitoring(spark: SparkSession, path: str) -> DataFrame:
-    """Union of monthly metric files with differing columns; unreadable files are skipped."""
-    return normalise_monitoring(
-        spark.read.option("mergeSchema", True)
-        .option("ignoreCorruptFiles", True)
-        .option("recursiveFileLookup", True)
-        .parquet(path)
-    )
+def read_monitoring(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """Union of monthly metric files with differing columns; an unreadable file is an error."""
+    return normalise_monitoring(_nested_files(spark, path, pattern))
+
+
+def read_monitoring_leniently(
+    spark: SparkSession, path: str, pattern: str = "*.parquet"
+) -> tuple[DataFrame, DataFrame]:
+    """The readable monthly files, and ``file, reason`` of every file that was skipped.
+
+    There is one small file per run, so their footers are tried one by one.
+    """
+    system, place = file_system(spark, path)
+    files, good, bad = system.listFiles(place, True), [], []
+    while files.hasNext():
+        file = files.next().getPath()
+        if not fnmatch(file.getName(), pattern):
+            continue
+        try:
+            spark.read.parquet(file.toString())
+            good.append(file.toString())
+        except Exception as error:  # Spark wraps the footer's error in several classes
+            bad.append((file.toString(), str(error).splitlines()[0]))
+    skipped = spark.createDataFrame(bad, "file string, reason string")
+    if not good:
+        raise FileNotFoundError(f"no readable monitoring files under {path}")
+    return normalise_monitoring(spark.read.option("mergeSchema", True).parquet(*good)), skipped
+
+
+def run_schema(spark: SparkSession) -> T.StructType:
+    return spark.createDataFrame([], fixed.REGISTRY_SCHEMA).schema
+
+
+def append_runs(runs: DataFrame, path: str) -> None:
+    """Append run records with the fixed registry schema; absent columns are NULL."""
+    fields = run_schema(runs.sparkSession).fields
+    runs.select(*[
+        (F.col(f.name) if f.name in runs.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
+    ]).write.mode("append").parquet(path)
 
 
 def append_run(spark: SparkSession, rows: Sequence[Mapping], path: str) -> None:
-    """Append run records with the fixed registry schema."""
-    schema = spark.createDataFrame([], fixed.REGISTRY_SCHEMA).schema
-    records = [tuple(row.get(f.name) for f in schema.fields) for row in rows]
-    spark.createDataFrame(records, schema).write.mode("append").parquet(path)
+    """The same for a few records that a driver program holds."""
+    schema = run_schema(spark)
+    append_runs(spark.createDataFrame([tuple(row.get(f.name) for f in schema.fields) for row in rows], schema), path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """The run table, or an empty one with its schema before the first run."""
     try:
         return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not nothing_there(error):
+            raise
         return spark.createDataFrame([], fixed.REGISTRY_SCHEMA)
