@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from featuremart import fixed_values as fixed
 from featuremart.functions.numeric import clean_score, decide
 from featuremart.functions.text import _col
-from featuremart.operators.ordered import exact_quantiles, prefix_sum, quantiles_of_counts, range_index
+from featuremart.operators.ordered import passed_edges, prefix_sum, quantiles_of_counts
+from featuremart.session import materialise
 
 
 def _ratio_or_zero(top: Column, bottom: Column) -> Column:
@@ -30,13 +31,24 @@ def binary_metrics(
     Macro averages run over the classes present in labels or decisions; empty
     denominators give 0.
     """
+    return _rates(df, label, score, groups, threshold, F.lit(1))
+
+
+def _rates(
+    df: DataFrame, label: str, score: str, groups: Sequence[str], threshold: float, n: Column
+) -> DataFrame:
+    """The same from rows that stand for ``n`` rows each."""
     truth = _col(label).cast("int")
     hit = decide(F.coalesce(clean_score(score), F.lit(0.0)), threshold)
+
+    def rows_with(true: int, decided: int) -> Column:
+        return F.coalesce(F.sum(F.when((truth == true) & (hit == decided), n)), F.lit(0)).cast("bigint")
+
     counts = df.groupBy(*groups).agg(
-        F.count_if((truth == 1) & (hit == 1)).alias("tp"),
-        F.count_if((truth == 0) & (hit == 0)).alias("tn"),
-        F.count_if((truth == 0) & (hit == 1)).alias("fp"),
-        F.count_if((truth == 1) & (hit == 0)).alias("fn"),
+        rows_with(1, 1).alias("tp"),
+        rows_with(0, 0).alias("tn"),
+        rows_with(0, 1).alias("fp"),
+        rows_with(1, 0).alias("fn"),
     )
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
     rows = tp + tn + fp + fn
@@ -67,6 +79,11 @@ def roc_auc(
         F.when(_col(label).cast("int") == 1, 1).otherwise(0).cast("bigint").alias("pos"),
         F.when(_col(label).cast("int") == 0, 1).otherwise(0).cast("bigint").alias("neg"),
     )
+    return _area(rows, groups)
+
+
+def _area(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """AUC and Gini from rows ``groups, _score, pos, neg`` with counts of both labels."""
     ranked = prefix_sum(rows, "_score", ["pos", "neg"], groups)
     below = F.col("cum_neg") - F.col("neg")
     wins = F.col("pos").cast("double") * (below + F.col("neg") / 2)
@@ -132,10 +149,12 @@ def psi(
     sample has no scores.
     """
     names = _inner_edges(buckets)
-    scored = base.select(clean_score(score).alias("_score"))
-    edges = exact_quantiles(scored, ["_score"], names).select(F.array(*names).alias("e")).scalar()
-    placed = _both_sides(base, current, score).select("*", edges.alias("_edges")).select(
-        "base", "curr", range_index(F.col("_edges"), buckets - 1, F.col("_score")).alias("bucket")
+    counted = _both_sides(base, current, score).groupBy("_score").agg(
+        F.sum("base").alias("base"), F.sum("curr").alias("curr"))
+    of_base = counted.filter(F.col("base") > 0).select(F.col("_score").alias("value"), F.col("base").alias("n"))
+    edges = quantiles_of_counts(of_base, names).select(F.array(*names).alias("e")).scalar()
+    placed = counted.select("*", edges.alias("_edges")).select(
+        "base", "curr", passed_edges(F.col("_edges"), buckets - 1, F.col("_score")).alias("bucket")
     )
     return _index_sum(placed.groupBy("bucket").agg(F.sum("base").alias("base"), F.sum("curr").alias("curr")))
 
@@ -145,39 +164,49 @@ def monthly_drift(
     score: str = "default_proba",
     month: str = "snapshot_date",
     buckets: int = fixed.PSI_BUCKETS,
+    groups: Sequence[str] = (),
 ) -> DataFrame:
-    """PSI and KS of every month against the month before, all months in one job.
+    """PSI and KS of every month against the month before, per group, all months in one job.
 
     Rows are counted per month and score once; each count then serves as the current
     sample of its month and as the base sample of the next.
     """
     counted = (
-        predictions.select(F.trunc(month, "month").alias("month"), clean_score(score).alias("_score"))
+        predictions.select(*groups, F.trunc(month, "month").alias("month"), clean_score(score).alias("_score"))
         .filter(F.col("month").isNotNull() & F.col("_score").isNotNull())
-        .groupBy("month", "_score")
+        .groupBy(*groups, "month", "_score")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return _drift_of_counts(counted, buckets, list(groups))
+
+
+def _drift_of_counts(counted: DataFrame, buckets: int, groups: list[str]) -> DataFrame:
+    """Drift from rows ``groups, month, _score, n``."""
+    keys = [*groups, "month"]
     sides = F.array(
         F.struct(F.col("month").alias("month"), F.lit(0).cast("bigint").alias("base"), F.col("n").alias("curr")),
         F.struct(F.add_months("month", 1).alias("month"), F.col("n").alias("base"), F.lit(0).cast("bigint").alias("curr")),
     )
-    paired = counted.select("_score", F.inline(sides))
+    paired = counted.select(*groups, "_score", F.inline(sides))
     # edges of the month before; one short array per calendar month
     names = _inner_edges(buckets)
     by_month = (
-        quantiles_of_counts(counted.withColumnRenamed("_score", "value"), names, ["month"])
-        .agg(F.map_from_entries(F.collect_list(F.struct(F.add_months("month", 1), F.array(*names)))).alias("m"))
+        quantiles_of_counts(counted.withColumnRenamed("_score", "value"), names, keys)
+        .agg(F.map_from_entries(F.collect_list(
+            F.struct(F.struct(*groups, F.add_months("month", 1).alias("month")), F.array(*names)))).alias("m"))
         .scalar()
     )
     placed = paired.select("*", by_month.alias("_all")).select(
-        "month", "base", "curr", F.try_element_at("_all", F.col("month")).alias("_edges"), "_score"
-    ).select("month", "base", "curr", range_index(F.col("_edges"), buckets - 1, F.col("_score")).alias("bucket"))
-    by_bucket = placed.groupBy("month", "bucket").agg(F.sum("base").alias("base"), F.sum("curr").alias("curr"))
-    sizes = by_bucket.groupBy("month").agg(F.sum("curr").alias("sample_size")).filter(F.col("sample_size") > 0)
+        *keys, "base", "curr", F.try_element_at("_all", F.struct(*keys)).alias("_edges"), "_score"
+    ).select(*keys, "base", "curr", passed_edges(F.col("_edges"), buckets - 1, F.col("_score")).alias("bucket"))
+    by_bucket = placed.groupBy(*keys, "bucket").agg(F.sum("base").alias("base"), F.sum("curr").alias("curr"))
+    # one row per group and month from here on
+    stability = _index_sum(by_bucket, keys).select(F.struct(*keys).alias("_key"), "psi_stat")
+    distance = _largest_gap(paired, keys).select(F.struct(*keys).alias("_key"), "ks_stat")
+    sizes = by_bucket.groupBy(*keys).agg(F.sum("curr").alias("sample_size")).filter(F.col("sample_size") > 0)
     return (
-        sizes.join(_index_sum(by_bucket, ["month"]), "month", "left")
-        .join(_largest_gap(paired, ["month"]), "month", "left")
-        .orderBy("month")
+        sizes.select("*", F.struct(*keys).alias("_key"))
+        .join(stability, "_key", "left").join(distance, "_key", "left").drop("_key").orderBy("month", *groups)
     )
 
 
@@ -218,18 +247,55 @@ def monitor(
     labels: DataFrame,
     score: str = "default_proba",
     threshold: float = fixed.DECISION_THRESHOLD,
+    groups: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Monthly monitoring table: quality on labelled rows, score summary and drift."""
-    keys = ["Customer_ID", "snapshot_date"]
+    """Monthly monitoring table: quality on labelled rows, score summary and drift.
+
+    Model versions are kept apart: ``groups`` is ``model_version`` where predictions have
+    it.  Predictions and labelled rows are counted per month and score once and written;
+    quality, summary and drift come from those counts.
+    """
+    if groups is None:
+        groups = [c for c in ("model_version",) if c in predictions.columns]
+    groups = list(groups)
+    keys = [*groups, "month"]
     month = F.trunc("snapshot_date", "month").alias("month")
-    labelled = predictions.join(labels.select(*keys, "label"), keys).select("*", month)
-    scored = predictions.select("*", month)
-    return (
-        binary_metrics(labelled, "label", score, ["month"], threshold)
-        .join(roc_auc(labelled, "label", score, ["month"]), "month")
-        .join(score_summary(scored, score, ["month"]), "month")
-        .join(monthly_drift(predictions, score).drop("sample_size"), "month", "left")
-        .orderBy("month")
+    rows = predictions.select(*groups, "Customer_ID", "snapshot_date", month, clean_score(score).alias("_score"))
+    labelled = rows.join(labels.select("Customer_ID", "snapshot_date", "label"), ["Customer_ID", "snapshot_date"])
+    counted = materialise(rows.groupBy(*keys, "_score").agg(F.count(F.lit(1)).alias("n")), "scores")
+    judged = materialise(labelled.groupBy(*keys, "_score", "label").agg(F.count(F.lit(1)).alias("n")), "labelled-scores")
+    ranked = judged.select(
+        *keys, F.coalesce("_score", F.lit(0.0)).alias("_score"),
+        F.when(F.col("label").cast("int") == 1, F.col("n")).otherwise(0).alias("pos"),
+        F.when(F.col("label").cast("int") == 0, F.col("n")).otherwise(0).alias("neg"),
+    )
+    parts = [
+        _rates(judged.select(*keys, "_score", "label", "n"), "label", "_score", keys, threshold, F.col("n")),
+        _area(ranked, keys),
+        _summary_of_counts(counted, keys),
+    ]
+    usable = counted.filter(F.col("month").isNotNull() & F.col("_score").isNotNull())
+    drift = _drift_of_counts(usable, fixed.PSI_BUCKETS, groups).drop("sample_size")
+    joined, *others = [p.select(F.struct(*keys).alias("_key"), *[c for c in p.columns if c not in keys])
+                       for p in [*parts, drift]]
+    for other in others[:-1]:
+        joined = joined.join(other, "_key")
+    return joined.join(others[-1], "_key", "left").select("_key.*", *[
+        c for p in [*parts, drift] for c in p.columns if c not in keys]).orderBy("month", *groups)
+
+
+def _summary_of_counts(counted: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Score summary from rows ``groups, _score, n``; the deviation about the group's own mean."""
+    n = F.when(F.col("_score").isNotNull(), F.col("n")).otherwise(0)
+    every = W.partitionBy(*groups)
+    mean = F.try_divide(F.sum(F.col("_score") * F.col("n")).over(every), F.sum(n).over(every))
+    square = F.pow(F.col("_score") - F.col("_mean"), 2) * F.col("n")
+    return counted.select("*", mean.alias("_mean")).groupBy(*groups).agg(
+        F.sum(n).alias("sample_size"),
+        F.min("_score").alias("default_proba_min"),
+        F.max("_score").alias("default_proba_max"),
+        F.max("_mean").alias("default_proba_mean"),
+        F.sqrt(F.try_divide(F.sum(square), F.sum(n) - 1)).alias("default_proba_std"),
     )
 
 

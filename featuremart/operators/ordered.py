@@ -13,28 +13,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_RANGES = 4096
-VALUES_PER_EDGE = 50
+#: Distinct values in a range, on average; the number of ranges grows with the data.
+VALUES_PER_RANGE = 20_000
+#: The search for a value's range doubles its reach so often: up to 2**24 ranges.
+SEARCH_STEPS = 24
 
 
-def range_count(df: DataFrame) -> int:
-    """Number of ranges: one per shuffle partition, bounded."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_RANGES, partitions))
+def passed_edges(edges: Column, count: int, value: Column) -> Column:
+    """Number of ``count`` sorted edges, a fixed handful, that are <= value."""
+    passed = F.lit(0)
+    for i in range(count):
+        passed = passed + F.when(F.get(edges, i) <= value, 1).otherwise(0)
+    return passed
 
 
-def range_index(edges: Column, count: int, value: Column) -> Column:
-    """Number of sorted edges that are <= value.
-
-    A few edges are compared one by one in generated code; more are searched by halving
-    in a built-in fold.
-    """
-    if count <= 32:
-        passed = F.lit(0)
-        for i in range(count):
-            passed = passed + F.when(F.get(edges, i) <= value, 1).otherwise(0)
-        return passed
-    steps = [1 << k for k in reversed(range(count.bit_length()))]
+def range_index(edges: Column, value: Column) -> Column:
+    """Number of sorted edges, of any number, that are <= value, found by halving in a built-in fold."""
+    steps = [1 << k for k in reversed(range(SEARCH_STEPS))]
     found = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
@@ -55,32 +50,21 @@ def prefix_sum(
     """
     groups = list(groups)
     distinct = df.groupBy(*groups, order_by).agg(*[F.sum(v).alias(v) for v in values])
-    ranges = range_count(df)
-    probabilities = [k / ranges for k in range(1, ranges)]
-    # Edges come from a thinned set of the distinct values, chosen by hash, so that they are
-    # the same whenever they are computed.  They only decide how even the ranges are; all
-    # rows are summed.  Summing the values here too lets these subqueries read the shuffle
-    # of the main plan instead of the input.
+    # Edges are the values that a hash picks, one in so many: the same whenever they are
+    # computed, and more of them the more values there are.  They only decide how even the
+    # ranges are; all rows are summed.  Summing the values here too lets this subquery read
+    # the shuffle of the main plan instead of the input.
     kept = [F.sum(v).alias(v) for v in values]
-    size = distinct.agg(F.struct(F.count(F.lit(1)).alias("rows"), *kept).alias("size")).scalar()
-    every = F.greatest(F.lit(1), F.floor(size["rows"] / (VALUES_PER_EDGE * ranges))).cast("bigint")
-    chosen = F.pmod(F.xxhash64(order_by), F.col("_every")) == 0
-    sketch = (
-        distinct.select("*", every.alias("_every"))
-        .agg(
-            F.struct(
-                F.percentile(F.when(chosen, F.col(order_by)), probabilities).alias("edges"), *kept
-            ).alias("sketch")
-        )
-        .scalar()
-    )
+    chosen = F.pmod(F.xxhash64(order_by), F.lit(VALUES_PER_RANGE)) == 0
+    edges = F.array_sort(F.array_distinct(F.collect_list(F.when(chosen, F.col(order_by)))))
+    sketch = distinct.agg(F.struct(edges.alias("edges"), *kept).alias("sketch")).scalar()
     # One key for window and join: the rows stay where the window put them.  A struct also
     # compares NULL groups as equal.
     ranged = (
         distinct.select("*", sketch["edges"].alias("_edges"))
         .select(
             *groups, order_by, *values,
-            range_index(F.col("_edges"), ranges - 1, F.col(order_by)).alias("_range"),
+            range_index(F.col("_edges"), F.col(order_by)).alias("_range"),
         )
         .select("*", F.struct(*groups, "_range").alias("_key"))
     )
@@ -99,8 +83,6 @@ def prefix_sum(
             *[F.sum(f"_r_{v}").over(W.partitionBy(*groups)).alias(f"total_{v}") for v in values],
         )
     )
-    if not groups:
-        offsets = F.broadcast(offsets)  # at most MAX_RANGES rows
     inside = W.partitionBy("_key").orderBy(order_by).rowsBetween(W.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(v).over(inside).alias(f"_local_{v}") for v in values])
     return local.join(offsets, "_key").select(

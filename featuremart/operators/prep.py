@@ -2,23 +2,25 @@
 
 Every operator is a lazy DataFrame function whose statistics arrive as a scalar
 subquery, or, in :class:`Preprocessor`, a fitted object that holds them and can be
-applied to other data.  Statistics are a few numbers per column; vocabularies define
-output columns and are refused, not cut, when too large to be columns.
+applied to other data.  Statistics are a few numbers per column.  Wide forms have a
+column for each value; sparse forms (index rows, or the vectors of
+:class:`Preprocessor`) hold vocabularies of any size.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from featuremart.functions.text import WHITESPACE, _col
 from featuremart.operators.ordered import column_stats, exact_quantiles
-
-MAX_VOCABULARY = 2000
+from featuremart.session import materialise
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -99,16 +101,13 @@ def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _replace(df, {c: rescaled(c) for c in columns}, stats)
 
 
-def _checked_vocabulary(values: DataFrame, limit: int) -> list[str]:
-    """Sorted distinct values; refused when there are more than can become columns."""
-    found = [row[0] for row in values.distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} distinct values cannot become columns")
-    return sorted(found)
+def _vocabulary(values: DataFrame) -> list[str]:
+    """Sorted distinct values, all of them: they name the columns of the wide forms."""
+    return sorted(row[0] for row in values.distinct().collect())
 
 
-def categories(df: DataFrame, column: str, limit: int = MAX_VOCABULARY) -> list[str]:
-    return _checked_vocabulary(df.select(F.col(column)).filter(F.col(column).isNotNull()), limit)
+def categories(df: DataFrame, column: str) -> list[str]:
+    return _vocabulary(df.select(F.col(column)).filter(F.col(column).isNotNull()))
 
 
 def split_tokens(column: Column | str, separator: str = "|") -> Column:
@@ -118,8 +117,40 @@ def split_tokens(column: Column | str, separator: str = "|") -> Column:
     return F.filter(trimmed, lambda t: t != "")
 
 
-def tokens(df: DataFrame, column: str, separator: str = "|", limit: int = MAX_VOCABULARY) -> list[str]:
-    return _checked_vocabulary(df.select(F.explode(split_tokens(column, separator))), limit)
+def tokens(df: DataFrame, column: str, separator: str = "|") -> list[str]:
+    return _vocabulary(df.select(F.explode(split_tokens(column, separator))))
+
+
+def numbered_values(values: DataFrame, column: str = "value") -> DataFrame:
+    """``value, index``: distinct values numbered from 0 in sorted order, however many there are.
+
+    Values are cut into ranges by Spark's range partitioner; a range's first number is the
+    size of the ranges before it.
+    """
+    parts = materialise(values.select(F.col(column).alias("value")).filter(F.col("value").isNotNull()).distinct()
+                        .repartitionByRange("value").select("value", F.spark_partition_id().alias("_part")), "values")
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).select(
+        "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(W.partitionBy("_part").orderBy("value")) - 1
+    return parts.join(starts, "_part").select("value", (F.col("_start") + inside).cast("bigint").alias("index"))
+
+
+def one_hot_entries(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
+    """Sparse one-hot form: ``keys, index`` of each row's category, for any number of categories.
+
+    The entry's value is 1; a row without a category has no entry.
+    """
+    numbers = numbered_values(df, column)
+    rows = df.select(*keys, F.col(column).alias("value"))
+    return rows.join(numbers, "value").select(*keys, "index")
+
+
+def multi_hot_entries(df: DataFrame, column: str, keys: Sequence[str], separator: str = "|") -> DataFrame:
+    """Sparse multi-hot form: one ``keys, index`` for each different token of a row."""
+    items = F.array_distinct(split_tokens(column, separator))
+    rows = df.select(*keys, F.explode(items).alias("value"))
+    return rows.join(numbered_values(rows), "value").select(*keys, "index")
 
 
 def one_hot(df: DataFrame, column: str, vocabulary: Sequence[str] | None = None) -> DataFrame:
@@ -173,6 +204,17 @@ class Preprocessor:
         self.tokens_ = {c: tokens(df, c, self.separator) for c in self.multi_value}
         return self
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The fitted settings and statistics as one JSON text."""
+        spark.createDataFrame([(json.dumps(self.__dict__),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Preprocessor:
+        state = json.loads(spark.read.text(path, wholetext=True).first()["value"])
+        out = cls(state["numeric"], state["categorical"], state["multi_value"], state["separator"])
+        out.__dict__.update(state)
+        return out
+
     @property
     def feature_names(self) -> list[str]:
         return (
@@ -202,8 +244,21 @@ class Preprocessor:
         return df.select("*", *listed).select(*keep, *features)
 
     def assemble(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """The kept columns and one ``features`` vector for Spark ML."""
-        names = self.feature_names
-        safe = [f"_f{i}" for i in range(len(names))]
-        flat = self.transform(df, keep).toDF(*keep, *safe)
-        return VectorAssembler(inputCols=safe, outputCol="features").transform(flat).select(*keep, "features")
+        """The kept columns and one ``features`` vector for Spark ML, sparse in the encoded values."""
+        columns, parts, vocabularies = [], [], {}
+        for c in self.numeric:
+            mean, std = self.moments_.get(c, (0.0, 0.0))
+            parts.append(f"_f{len(parts)}")
+            columns.append(scaled(filled_number(c, F.lit(self.medians_.get(c))), F.lit(mean), F.lit(std)).alias(parts[-1]))
+        for c in self.categorical:
+            value = F.coalesce(F.col(c), F.lit(self.modes_.get(c)))
+            vocabularies[f"_c{len(vocabularies)}"] = (F.array_compact(F.array(value)), self.categories_[c])
+        for c in self.multi_value:
+            vocabularies[f"_c{len(vocabularies)}"] = (split_tokens(c, self.separator), self.tokens_[c])
+        ready = df.select(*keep, *columns, *[v.alias(n) for n, (v, _) in vocabularies.items()])
+        for name, (_, known) in vocabularies.items():
+            if known:  # sparse 0/1 vector; values unseen at fit time are left out
+                encoder = CountVectorizerModel.from_vocabulary(known, name, f"{name}_v", binary=True)
+                ready = encoder.transform(ready)
+                parts.append(f"{name}_v")
+        return VectorAssembler(inputCols=parts, outputCol="features").transform(ready).select(*keep, "features")

@@ -14,13 +14,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featuremart import fixed_values as fixed
+from featuremart.session import materialise
 
-PREFIX_DIGITS = 4
+#: Rows under one hash prefix, on average; prefixes get longer with the data.
+ROWS_PER_PREFIX = 4096
 COPIES_PER_CHUNK = 4096
 
 
+def stable_columns(df: DataFrame) -> list[str]:
+    """Columns that identify rows the same way whenever they are computed: no fractions."""
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+
+
 def row_hash(columns: Sequence[str], seed: int) -> Column:
     """Seeded MD5 of the given columns; NULL differs from empty text."""
     parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in columns]
@@ -39,14 +47,19 @@ def _assign(
     """Add ``name``: how many cut ranks of its class lie at or before the row's rank.
 
     ``cuts_of`` turns the table ``_class, n`` into ``_class, cuts``, an array of
-    ``cut_count`` ranks.
+    ``cut_count`` ranks.  The hashed rows are written once: the histogram, the settled and
+    the contested rows then read the same values, and the input is computed once.
     """
     data_columns = df.columns
-    hashed = df.select(
+    keyed = materialise(df.select(
         "*",
         F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit("\u0000")).alias("_class"),
-        row_hash(columns or data_columns, seed).alias("_hash"),
-    ).select("*", F.conv(F.substring("_hash", 1, PREFIX_DIGITS), 16, 10).cast("int").alias("_prefix"))
+        row_hash(columns or stable_columns(df) or data_columns, seed).alias("_hash"),
+    ), "split")
+    rows, digits = keyed.count(), 4
+    while 16 ** digits * ROWS_PER_PREFIX < rows and digits < 15:
+        digits += 1
+    hashed = keyed.select("*", F.conv(F.substring("_hash", 1, digits), 16, 10).cast("bigint").alias("_prefix"))
 
     histogram = hashed.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("n"))
     cuts = cuts_of(histogram.groupBy("_class").agg(F.sum("n").alias("n")))
@@ -155,7 +168,8 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split``: ``train`` for the given share of every class, else ``test``.
 
-    ``columns`` are hashed for the order (default: all); they should tell rows apart.
+    ``columns`` are hashed for the order (default: all but fractions); they should tell
+    rows apart.
     """
 
     def cuts(totals: DataFrame) -> DataFrame:

@@ -36,8 +36,22 @@ def expect_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df
 
 
-def missing_columns(df: DataFrame, columns: Iterable[str]) -> list[str]:
-    return [c for c in columns if c not in df.columns]
+def column_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, present, type`` for each expected column; reads only the schema."""
+    found = dict(df.dtypes)
+    entries = [F.struct(F.lit(c).alias("column"), F.lit(c in found).alias("present"),
+                        F.lit(found.get(c)).cast("string").alias("type")) for c in columns]
+    return df.sparkSession.range(1).select(F.inline(F.array(*entries)))
+
+
+def feature_report(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
+    """``column, kind, filled``: numeric and categorical features by type, with their non-NULL rows."""
+    numbers, categories = feature_columns(df, exclude)
+    row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate([*numbers, *categories])])
+    kinds = [*((c, "numeric") for c in numbers), *((c, "categorical") for c in categories)]
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.col(f"_{i}").alias("filled"))
+        for i, (c, k) in enumerate(kinds)])))
 
 
 def project_present(
