@@ -131,6 +131,21 @@ GOLD_FINANCIALS = f"""
 SELECT *, {FLAGS} FROM (SELECT *, {CODES}, {RATIOS} FROM ({SILVER_FINANCIALS}))
 """
 
+# what is stored: floating columns in single precision, arithmetic in double
+FLOATS = sorted(
+    {c for c, t in fixed.FINANCIAL_TYPES.items() if t == "float"} | set(fixed.DIRTY_FLOATS)
+    | {c for c, (_, _, kind) in fixed.FINANCIAL_RANGES.items() if kind == "float"})
+
+
+def cast_all(columns: list[str], kind: str, source: str) -> str:
+    return f"SELECT * REPLACE ({', '.join(f'CAST({c} AS {kind}) AS {c}' for c in columns)}) FROM ({source})"
+
+
+SILVER_FINANCIALS_FLOAT = cast_all(FLOATS, "FLOAT", SILVER_FINANCIALS)
+STORED_FINANCIALS = cast_all(FLOATS, "DOUBLE", SILVER_FINANCIALS_FLOAT)
+GOLD_FINANCIALS_FLOAT = cast_all(
+    FLOATS, "FLOAT", f"SELECT *, {FLAGS} FROM (SELECT *, {CODES}, {RATIOS} FROM ({STORED_FINANCIALS}))")
+
 # ---------------------------------------------------------------- typing and schema
 REGISTRY.add("enforce_schema", """
 SELECT CAST(trunc(CAST(o_totalprice AS DOUBLE)) AS INT) AS price_int,
@@ -305,13 +320,7 @@ FROM (SELECT *, (year(b) - year(a)) * 12 + month(b) - month(a) AS m
 # ---------------------------------------------------------------- silver tables
 REGISTRY.add("add_delinquency", SILVER_LOAN)(lambda t: silver.add_delinquency(t.view("loan")))
 
-REGISTRY.add("silver_loans", f"""
-SELECT * REPLACE (round(loan_amt, 0) AS loan_amt, round(due_amt, 0) AS due_amt,
-                  round(paid_amt, 0) AS paid_amt, round(balance, 0) AS balance,
-                  round(overdue_amt, 0) AS overdue_amt)
-FROM ({SILVER_LOAN_FLOAT})
-""")(lambda t: silver.silver_loans(t.view("loan")).withColumns({
-    c: F.round(c, 0) for c in ["loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"]}))
+REGISTRY.add("silver_loans", SILVER_LOAN_FLOAT)(lambda t: silver.silver_loans(t.view("loan")))
 
 REGISTRY.add("silver_clickstream", "SELECT * FROM $click")(
     lambda t: silver.silver_clickstream(t.view("click").withColumns(
@@ -320,8 +329,8 @@ REGISTRY.add("silver_clickstream", "SELECT * FROM $click")(
 REGISTRY.add("silver_attributes", SILVER_ATTRIBUTES)(
     lambda t: silver.silver_attributes(t.view("attributes")))
 
-REGISTRY.add("silver_financials", SILVER_FINANCIALS)(
-    lambda t: silver.silver_financials(t.view("financials"), real="double"))
+REGISTRY.add("silver_financials", SILVER_FINANCIALS_FLOAT)(
+    lambda t: silver.silver_financials(t.view("financials")))
 
 # ---------------------------------------------------------------- gold tables
 REGISTRY.add("label_store", LABELS)(lambda t: gold.label_store(silver.add_delinquency(t.view("loan"))))
@@ -349,5 +358,5 @@ SELECT Customer_ID, {FLAGS} FROM (SELECT *, {RATIOS} FROM ({SILVER_FINANCIALS}))
 """)(lambda t: gold.add_risk_flags(gold.add_ratios(
     silver.silver_financials(t.view("financials"), "double"))).select("Customer_ID", *fixed.FLAG_COLUMNS))
 
-REGISTRY.add("gold_financials", GOLD_FINANCIALS)(
-    lambda t: gold.gold_financials(silver.silver_financials(t.view("financials"), "double")))
+REGISTRY.add("gold_financials", GOLD_FINANCIALS_FLOAT)(
+    lambda t: gold.gold_financials(silver.silver_financials(t.view("financials"))))

@@ -121,35 +121,37 @@ SELECT {dec(f'sum({TERM})')} AS psi_stat
 FROM (SELECT nb / sum(nb) OVER () AS b, nc / sum(nc) OVER () AS c FROM hist)
 """)(lambda t: rounded(metrics.psi(*halves(t))))
 
-SCORES = "(SELECT snapshot_date AS month, default_proba AS s FROM $predictions WHERE default_proba IS NOT NULL)"
+SCORES = "(SELECT model_version, snapshot_date AS month, default_proba AS s FROM $predictions WHERE default_proba IS NOT NULL)"
 DRIFT = f"""
-WITH rows AS (SELECT month, s, 0 AS wb, 1 AS wc FROM {SCORES}
-              UNION ALL SELECT CAST(month + INTERVAL 1 MONTH AS DATE), s, 1, 0 FROM {SCORES}),
-sizes AS (SELECT month, sum(wb) AS tb, sum(wc) AS tc FROM rows GROUP BY 1),
-edges AS (SELECT CAST(month + INTERVAL 1 MONTH AS DATE) AS month, quantile_cont(s, [{DECILES}]) AS edges
-          FROM {SCORES} GROUP BY 1),
-psi AS (SELECT month, sum({TERM}) AS psi_stat
-        FROM (SELECT month, sum(wb) / any_value(tb) AS b, sum(wc) / any_value(tc) AS c
-              FROM rows JOIN edges USING (month) JOIN sizes USING (month)
-              GROUP BY month, len(list_filter(edges, lambda q: q <= s))) GROUP BY month),
-steps AS (SELECT month, s, sum(wb) AS nb, sum(wc) AS nc FROM rows GROUP BY 1, 2),
-ks AS (SELECT month, max(abs(fb - fc)) AS ks_stat
-       FROM (SELECT month, sum(nb) OVER w / NULLIF(tb, 0) AS fb, sum(nc) OVER w / NULLIF(tc, 0) AS fc
-             FROM steps JOIN sizes USING (month) WINDOW w AS (PARTITION BY month ORDER BY s)) GROUP BY month)
-SELECT month, CAST(tc AS BIGINT) AS sample_size,
+WITH rows AS (SELECT model_version, month, s, 0 AS wb, 1 AS wc FROM {SCORES}
+              UNION ALL SELECT model_version, CAST(month + INTERVAL 1 MONTH AS DATE), s, 1, 0 FROM {SCORES}),
+sizes AS (SELECT model_version, month, sum(wb) AS tb, sum(wc) AS tc FROM rows GROUP BY 1, 2),
+edges AS (SELECT model_version, CAST(month + INTERVAL 1 MONTH AS DATE) AS month, quantile_cont(s, [{DECILES}]) AS edges
+          FROM {SCORES} GROUP BY 1, 2),
+psi AS (SELECT model_version, month, sum({TERM}) AS psi_stat
+        FROM (SELECT model_version, month, sum(wb) / any_value(tb) AS b, sum(wc) / any_value(tc) AS c
+              FROM rows JOIN edges USING (model_version, month) JOIN sizes USING (model_version, month)
+              GROUP BY model_version, month, len(list_filter(edges, lambda q: q <= s))) GROUP BY 1, 2),
+steps AS (SELECT model_version, month, s, sum(wb) AS nb, sum(wc) AS nc FROM rows GROUP BY 1, 2, 3),
+ks AS (SELECT model_version, month, max(abs(fb - fc)) AS ks_stat
+       FROM (SELECT model_version, month, sum(nb) OVER w / NULLIF(tb, 0) AS fb, sum(nc) OVER w / NULLIF(tc, 0) AS fc
+             FROM steps JOIN sizes USING (model_version, month)
+             WINDOW w AS (PARTITION BY model_version, month ORDER BY s)) GROUP BY 1, 2)
+SELECT model_version, month, CAST(tc AS BIGINT) AS sample_size,
        {dec('CASE WHEN tb > 0 THEN psi_stat END')} AS psi_stat,
        {dec('CASE WHEN tb > 0 THEN ks_stat END')} AS ks_stat
-FROM sizes LEFT JOIN psi USING (month) LEFT JOIN ks USING (month) WHERE tc > 0
+FROM sizes LEFT JOIN psi USING (model_version, month) LEFT JOIN ks USING (model_version, month) WHERE tc > 0
 """
-REGISTRY.add("monthly_drift", DRIFT)(lambda t: rounded(metrics.monthly_drift(t.view("predictions"))))
+REGISTRY.add("monthly_drift", DRIFT)(lambda t: rounded(metrics.monthly_drift(
+    t.view("predictions"), groups=["model_version"])))
 
 REGISTRY.add("drift_band", f"""
-SELECT month, CASE WHEN psi_stat < CAST(0.1 AS DOUBLE) THEN 'stable'
+SELECT model_version, month, CASE WHEN psi_stat < CAST(0.1 AS DOUBLE) THEN 'stable'
                    WHEN psi_stat <= CAST(0.25 AS DOUBLE) THEN 'moderate'
                    WHEN psi_stat > CAST(0.25 AS DOUBLE) THEN 'significant' END AS band
 FROM ({DRIFT})
-""")(lambda t: metrics.monthly_drift(t.view("predictions")).select(
-    "month", metrics.drift_band("psi_stat").alias("band")))
+""")(lambda t: metrics.monthly_drift(t.view("predictions"), groups=["model_version"]).select(
+    "model_version", "month", metrics.drift_band("psi_stat").alias("band")))
 
 REGISTRY.add("auc_band", f"""
 SELECT snapshot_date, CASE WHEN auc_roc < CAST(0.7 AS DOUBLE) THEN 'poor'
@@ -164,14 +166,14 @@ SUMMARY = f"""count(default_proba) AS sample_size, min(default_proba) AS default
 REGISTRY.add("score_summary", f"SELECT {SUMMARY} FROM $predictions")(
     lambda t: rounded(metrics.score_summary(t.view("predictions")), 6, "default_proba_min", "default_proba_max"))
 
-LABELLED = f"""(SELECT p.Customer_ID, p.snapshot_date AS month, p.default_proba, l.label FROM $predictions p
+LABELLED = f"""(SELECT p.Customer_ID, p.model_version, p.snapshot_date AS month, p.default_proba, l.label FROM $predictions p
                JOIN (SELECT Customer_ID, snapshot_date, label FROM ({LABELS})) l
                ON p.Customer_ID = l.Customer_ID AND p.snapshot_date = l.snapshot_date)"""
 REGISTRY.add("monitor", f"""
-SELECT * FROM ({metric_sql(LABELLED, 'default_proba', 'month')})
-JOIN ({auc_sql(LABELLED, 'default_proba', 'month')}) USING (month)
-JOIN (SELECT snapshot_date AS month, {SUMMARY} FROM $predictions GROUP BY 1) USING (month)
-LEFT JOIN (SELECT month, psi_stat, ks_stat FROM ({DRIFT})) USING (month)
+SELECT * FROM ({metric_sql(LABELLED, 'default_proba', 'model_version, month')})
+JOIN ({auc_sql(LABELLED, 'default_proba', 'model_version, month')}) USING (model_version, month)
+JOIN (SELECT model_version, snapshot_date AS month, {SUMMARY} FROM $predictions GROUP BY 1, 2) USING (model_version, month)
+LEFT JOIN (SELECT model_version, month, psi_stat, ks_stat FROM ({DRIFT})) USING (model_version, month)
 """)(lambda t: rounded(metrics.monitor(
     t.view("predictions").drop("label"), labels(t)), 6, "default_proba_min", "default_proba_max"))
 
@@ -263,15 +265,25 @@ FROM (SELECT * FROM $runs WHERE stage = 'Staging') c LEFT JOIN ({LATEST}) p ON c
 """)(lambda t: registry.champion_challenger(
     t.view("runs").filter("stage = 'Staging'").select("run_id", "model_name", "auc_oot"), t.view("runs")))
 
+# two promotions in a row: the newest staged versions, then the newest archived ones
 REGISTRY.add("transition_stage", """
-WITH pick AS (SELECT model_name, max(version) AS chosen FROM $runs WHERE stage = 'Staging' GROUP BY 1)
-SELECT run_id, r.model_name, version, CASE WHEN version = chosen THEN 'Production'
+WITH pick AS (SELECT model_name, max(version) AS chosen FROM $runs WHERE stage = 'Staging' GROUP BY 1),
+again AS (SELECT model_name, max(version) AS chosen FROM $runs WHERE stage = 'Archived' GROUP BY 1),
+first AS (
+  SELECT run_id, r.model_name, version, CASE WHEN version = chosen THEN 'Production'
+         WHEN chosen IS NOT NULL AND stage = 'Production' THEN 'Archived' ELSE stage END AS stage,
+         CASE WHEN version = chosen THEN '{"run_id":"' || run_id || '","version":' || version || '}' END AS description
+  FROM $runs r LEFT JOIN pick ON r.model_name = pick.model_name)
+SELECT run_id, f.model_name, version, CASE WHEN version = chosen THEN 'Production'
        WHEN chosen IS NOT NULL AND stage = 'Production' THEN 'Archived' ELSE stage END AS stage,
-       CASE WHEN version = chosen THEN '{"run_id":"' || run_id || '","version":' || version || '}' END AS description
-FROM $runs r LEFT JOIN pick ON r.model_name = pick.model_name
+       CASE WHEN version = chosen THEN '{"run_id":"' || run_id || '","version":' || version || '}'
+            ELSE description END AS description
+FROM first f LEFT JOIN again ON f.model_name = again.model_name
 """)(lambda t: registry.transition_stage(
-    t.view("runs").select("run_id", "model_name", "version", "stage"),
-    registry.latest_in_stage(t.view("runs"), "Staging"), snapshot=["run_id", "version"]))
+    registry.transition_stage(
+        t.view("runs").select("run_id", "model_name", "version", "stage"),
+        registry.latest_in_stage(t.view("runs"), "Staging"), snapshot=["run_id", "version"]),
+    registry.latest_in_stage(t.view("runs"), "Archived"), snapshot=["run_id", "version"]))
 
 REGISTRY.add("dedupe_runs", """
 SELECT flavor, train_date, promoted_flag, promoted_at
@@ -300,9 +312,26 @@ SELECT DATE '2001-07-01' AS run_date, last_train_date, CAST(months AS INT) AS mo
        CASE WHEN enough AND COALESCE(months >= 3, TRUE) THEN 'train' ELSE 'infer' END AS next_step
 FROM (SELECT max_by(train_date, version) AS last_train_date,
              -1 * date_sub('month', DATE '2001-07-01', max_by(train_date, version)) AS months
-      FROM (SELECT version, CAST(train_date - INTERVAL 23 YEAR AS DATE) AS train_date FROM $runs WHERE stage = 'Production')),
+      FROM (SELECT version, CAST(train_date - INTERVAL 23 YEAR AS DATE) AS train_date FROM $runs
+            WHERE stage = 'Production' AND model_name = 'Brand#11')),
      ({COVERAGE})
 """)(lambda t: registry.run_decision(
     t.view("runs").withColumn("train_date", F.add_months("train_date", -23 * 12)),
     [t.table("orders").select("o_orderdate"), t.table("lineitem").select("l_shipdate")],
-    datetime.date(2001, 7, 1)))
+    datetime.date(2001, 7, 1), "Brand#11"))
+
+# ---------------------------------------------------------------- encodings of any size
+REGISTRY.add("one_hot_entries", """
+SELECT o_orderkey, CAST(index AS BIGINT) AS index FROM orders
+JOIN (SELECT key, row_number() OVER (ORDER BY key) - 1 AS index
+      FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS key FROM orders)) ON CAST(o_custkey AS VARCHAR) = key
+""")(lambda t: prep.one_hot_entries(
+    t.table("orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer")), "customer", ["o_orderkey"]))
+
+REGISTRY.add("multi_hot_entries", """
+WITH items AS (SELECT o_orderkey, unnest(['c' || o_custkey, 'd' || o_orderkey // 3]) AS token FROM orders)
+SELECT o_orderkey, CAST(index AS BIGINT) AS index FROM items
+JOIN (SELECT token, row_number() OVER (ORDER BY token) - 1 AS index FROM (SELECT DISTINCT token FROM items)) USING (token)
+""")(lambda t: prep.multi_hot_entries(
+    t.table("orders").select("o_orderkey", F.expr(
+        "concat('c', o_custkey, ' | d', o_orderkey DIV 3, '|c', o_custkey)").alias("tokens")), "tokens", ["o_orderkey"]))

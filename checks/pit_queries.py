@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.datamart_queries import GOLD_ATTRIBUTES, GOLD_FINANCIALS, LABELS, SILVER_LOAN
+from checks.datamart_queries import GOLD_ATTRIBUTES, GOLD_FINANCIALS_FLOAT, LABELS, SILVER_LOAN
 from checks.views import REGISTRY, Inputs
 from featuremart import fixed_values as fixed
 from featuremart.operators import pit, sampling
@@ -43,7 +43,7 @@ PRETRAIN = f"""
 SELECT {', '.join(fixed.PRETRAIN_COLUMNS)} FROM ({CLICK_MEANS})
 JOIN ({latest_sql(GOLD_ATTRIBUTES, ATTRIBUTES, 'attributes_snapshot_date')})
      USING (Customer_ID, label_snapshot_date)
-JOIN ({latest_sql(GOLD_FINANCIALS, MONEY, 'financials_snapshot_date')})
+JOIN ({latest_sql(GOLD_FINANCIALS_FLOAT, MONEY, 'financials_snapshot_date')})
      USING (Customer_ID, label_snapshot_date)
 """
 
@@ -61,7 +61,7 @@ def attributes(t: Inputs) -> DataFrame:
 
 
 def financials(t: Inputs) -> DataFrame:
-    return gold.gold_financials(silver.silver_financials(t.view("financials"), "double"))
+    return gold.gold_financials(silver.silver_financials(t.view("financials")))
 
 
 def features(t: Inputs, **options) -> DataFrame:
@@ -71,7 +71,7 @@ def features(t: Inputs, **options) -> DataFrame:
 REGISTRY.add("point_in_time_join", pit_sql(GOLD_ATTRIBUTES, ATTRIBUTES, "attributes_snapshot_date", BATCH))(
     lambda t: pit.point_in_time_join(batch(t), attributes(t), 6, ATTRIBUTES, "attributes_snapshot_date"))
 
-REGISTRY.add("as_of_latest", latest_sql(GOLD_FINANCIALS, MONEY, "financials_snapshot_date"))(
+REGISTRY.add("as_of_latest", latest_sql(GOLD_FINANCIALS_FLOAT, MONEY, "financials_snapshot_date"))(
     lambda t: pit.as_of_latest(batch(t), financials(t), 6, MONEY, "financials_snapshot_date"))
 
 REGISTRY.add("pit_mean_features", CLICK_MEANS)(
@@ -87,13 +87,13 @@ JOIN ({pit_sql(GOLD_ATTRIBUTES, ATTRIBUTES, 'attributes_snapshot_date')})
                            attributes(t), 6, ATTRIBUTES, "attributes_snapshot_date")]))
 
 REGISTRY.add("merge_features_by_customer", f"""
-SELECT Customer_ID, fe_1_mean, Age_bin, attributes_snapshot_date
-FROM (SELECT Customer_ID, fe_1_mean FROM ({CLICK_MEANS}))
+SELECT c.* EXCLUDE (label_snapshot_date), Age_bin, Occupation, attributes_snapshot_date
+FROM ({CLICK_MEANS}) c
 JOIN ({latest_sql(GOLD_ATTRIBUTES, ATTRIBUTES, 'attributes_snapshot_date')}) USING (Customer_ID)
 """)(lambda t: pit.merge_features([
-    pit.pit_mean_features(batch(t), t.view("click"), 6, ["fe_1"]).drop("label_snapshot_date"),
+    pit.pit_mean_features(batch(t), t.view("click"), 6, fixed.CLICK_FEATURES).drop("label_snapshot_date"),
     pit.as_of_latest(batch(t), attributes(t), 6, ATTRIBUTES, "attributes_snapshot_date")
-    .drop("label_snapshot_date", "Occupation")], on=["Customer_ID"]))
+    .drop("label_snapshot_date")], on=["Customer_ID"]))
 
 REGISTRY.add("latest_per_key", """
 SELECT * FROM $attributes QUALIFY row_number() OVER (PARTITION BY Customer_ID
@@ -108,7 +108,7 @@ SELECT Customer_ID, label_snapshot_date, count(*) AS rows, min(financials_snapsh
        CAST(sum(high_utilization_flag) AS BIGINT) AS high
 FROM ({CLICK_MEANS})
 JOIN ({pit_sql(GOLD_ATTRIBUTES, ATTRIBUTES, 'attributes_snapshot_date', BATCH)}) USING (Customer_ID, label_snapshot_date)
-JOIN ({pit_sql(GOLD_FINANCIALS, MONEY, 'financials_snapshot_date', BATCH)}) USING (Customer_ID, label_snapshot_date)
+JOIN ({pit_sql(GOLD_FINANCIALS_FLOAT, MONEY, 'financials_snapshot_date', BATCH)}) USING (Customer_ID, label_snapshot_date)
 GROUP BY 1, 2
 """)(lambda t: features(t, strategy="none").groupBy("Customer_ID", "label_snapshot_date").agg(
     F.count(F.lit(1)).alias("rows"), F.min("financials_snapshot_date").alias("oldest"),
@@ -129,7 +129,7 @@ SELECT * FROM ({LABELS}) LEFT JOIN $click USING (Customer_ID, snapshot_date)
 """)(lambda t: pit.label_left_features(labels(t), t.view("click")))
 
 SPLIT_ROWS = f"SELECT loan_id, Customer_ID, snapshot_date, mob, CAST(dpd >= 30 AS INT) AS label FROM ({SILVER_LOAN})"
-SPLIT_HASH = ("md5(loan_id || '|' || Customer_ID || '|' || CAST(snapshot_date AS VARCHAR) || '|' || "
+SPLIT_HASH = ("md5(loan_id || '|' || COALESCE(Customer_ID, chr(0)) || '|' || CAST(snapshot_date AS VARCHAR) || '|' || "
               "CAST(mob AS VARCHAR) || '|' || COALESCE(CAST(label AS VARCHAR), chr(0)) || '|88')")
 
 

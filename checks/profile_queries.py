@@ -32,12 +32,14 @@ REGISTRY.add("row_count", "SELECT count(*) AS rows FROM lineitem")(
 FINANCIAL_COLUMNS = [
     "Customer_ID", "Annual_Income", "Monthly_Inhand_Salary", "Num_Bank_Accounts", "Num_Credit_Card",
     "Interest_Rate", "Num_of_Loan", "Type_of_Loan", "Delay_from_due_date", "Num_of_Delayed_Payment",
-    "Credit_History_Age", "snapshot_date"]
+    "Changed_Credit_Limit", "Num_Credit_Inquiries", "Credit_Mix", "Outstanding_Debt", "Credit_Utilization_Ratio",
+    "Credit_History_Age", "Payment_of_Min_Amount", "Total_EMI_per_month", "Amount_invested_monthly",
+    "Monthly_Balance", "Payment_Behaviour", "snapshot_date"]
 REGISTRY.add("null_profile", " UNION ALL ".join(
     f'SELECT \'{c}\' AS "column", count(*) - count({c}) AS null_count, '
     f'{dec(f"(count(*) - count({c})) / count(*)", 4)} AS null_rate FROM $financials'
     for c in FINANCIAL_COLUMNS))(
-    lambda t: profiling.null_profile(t.view("financials").select(*FINANCIAL_COLUMNS)))
+    lambda t: profiling.null_profile(t.view("financials")))
 
 REGISTRY.add("duplicate_keys", """
 SELECT loan_id, snapshot_date, count(*) AS rows FROM $loan GROUP BY ALL HAVING count(*) > 1
@@ -63,7 +65,7 @@ SELECT DISTINCT Annual_Income FROM $financials
 WHERE trim(Annual_Income) <> '' AND TRY_CAST(Annual_Income AS DOUBLE) IS NULL
 """)(lambda t: profiling.non_numeric_values(t.view("financials"), "Annual_Income"))
 
-DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
+DESCRIBED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 REGISTRY.add("describe_numbers", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count({c}) AS "count", {dec(f'avg({c})', 4)} AS mean,
         {dec(f'stddev_samp({c})', 4)} AS std, CAST(min({c}) AS DOUBLE) AS min,
@@ -74,12 +76,12 @@ REGISTRY.add("describe_numbers", " UNION ALL ".join(
         "column", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min",
         *[F.round(q, 6).alias(q) for q in ("p25", "p50", "p75")], "max"))
 
-TEXTS = ["o_orderstatus", "o_orderpriority"]
+TEXTS = ["l_returnflag", "l_linestatus"]
 REGISTRY.add("describe_text", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", CAST(sum(n) AS BIGINT) AS "count", count(*) AS "unique",
         first(v ORDER BY n DESC, v) AS top, max(n) AS freq
-        FROM (SELECT {c} AS v, count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY 1)"""
-    for c in TEXTS))(lambda t: profiling.describe_text(t.table("orders"), TEXTS))
+        FROM (SELECT {c} AS v, count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY 1)"""
+    for c in TEXTS))(lambda t: profiling.describe_text(t.table("lineitem"), TEXTS))
 
 REGISTRY.add("rule_violations", """
 SELECT 'Interest_Rate>100' AS rule, count(*) FILTER (Interest_Rate > 100) AS violations FROM $financials
@@ -119,7 +121,7 @@ FROM ({SILVER_LOAN}) WHERE loan_start_date < DATE '2000-01-01' AND installment_n
     silver.add_delinquency(t.view("loan")), 7, datetime.date(2000, 1, 1)).select(
     "loan_id", "Customer_ID", "snapshot_date", "dpd_flag"))
 
-HISTOGRAMS = ["l_extendedprice", "l_quantity"]
+HISTOGRAMS = DESCRIBED
 REGISTRY.add("histogram", " UNION ALL ".join(f"""
 SELECT '{c}' AS "column", CAST(b AS INT) AS bin, {dec('low + (high - low) / 50 * b', 4)} AS bin_start,
        {dec('low + (high - low) / 50 * (b + 1)', 4)} AS bin_end, COALESCE(n, 0) AS rows
@@ -140,13 +142,24 @@ SELECT snapshot_date, count(default_proba) AS scored, {dec('avg(default_proba)')
 FROM $predictions GROUP BY 1
 """)(lambda t: rounded(profiling.score_by_snapshot(t.view("predictions"))))
 
-REGISTRY.add("sample_rows")(lambda t: profiling.sample_rows(t.table("orders"), 5))
+# any rows will do: as many as asked for, and all from the table
+REGISTRY.add("sample_rows", """
+SELECT CAST(least(5, count(*)) AS BIGINT) AS sampled, CAST(least(5, count(*)) AS BIGINT) AS from_table FROM orders
+""")(lambda t: sampled(t.table("orders"), 5))
+
+
+def sampled(df, n: int):
+    rows = profiling.sample_rows(df, n).select(F.struct(*df.columns).alias("row"))
+    known = df.select(F.struct(*df.columns).alias("row"), F.lit(1).alias("known"))
+    return rows.join(known, "row", "left").agg(F.count(F.lit(1)).alias("sampled"), F.count("known").alias("from_table"))
+
 
 REGISTRY.add("tail_by", """
-SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders
-ORDER BY day DESC NULLS LAST, o_orderkey DESC NULLS LAST LIMIT 20
+SELECT o_orderkey, CASE WHEN o_orderkey % 1000 <> 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders
+ORDER BY day DESC NULLS FIRST, o_orderkey DESC LIMIT 40
 """)(lambda t: profiling.tail_by(
-    t.table("orders").select("o_orderkey", F.to_date("o_orderdate").alias("day")), ["day", "o_orderkey"], 20))
+    t.table("orders").select("o_orderkey", F.expr(
+        "CASE WHEN o_orderkey % 1000 <> 0 THEN CAST(o_orderdate AS DATE) END").alias("day")), ["day", "o_orderkey"], 40))
 
 REGISTRY.add("rolling_mean", f"""
 SELECT {MONTH} AS month, count(*) AS sample_size, {dec('''avg(count(*)) OVER (ORDER BY ''' + MONTH + '''

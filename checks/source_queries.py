@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
-from checks.datamart_queries import GOLD_ATTRIBUTES, SILVER_LOAN_FLOAT
-from checks.pit_queries import (
-    ATTRIBUTES, CLICK_MEANS, KEYS, LABELS, features, labels, latest_sql,
-)
+from checks.datamart_queries import SILVER_LOAN_FLOAT
+from checks.pit_queries import LABELS, PRETRAIN, features, labels
 from checks.profile_queries import dec, rounded
 from checks.views import REGISTRY, Inputs
 from featuremart import fixed_values as fixed
 from featuremart.functions import dates
-from featuremart.operators import metrics, modelling, prep, registry, sampling
+from featuremart.operators import metrics, modelling, prep, registry, sampling, schema
 from featuremart.plans import pretrain, silver
 from featuremart.plans.datamart import Datamart
 from featuremart.session import materialise, shared_folder
@@ -37,42 +36,72 @@ SELECT CAST(unnest(generate_series(date_trunc('month', min(o_orderdate)), max(o_
 
 
 @REGISTRY.add("ingest_snapshot", """
-SELECT loan_id, Customer_ID, CAST(installment_num AS VARCHAR) AS installment_num, snapshot_date
+SELECT loan_id, Customer_ID, strftime(loan_start_date, '%Y-%m-%d') AS loan_start_date, CAST(tenure AS VARCHAR) AS tenure,
+       CAST(installment_num AS VARCHAR) AS installment_num, round(loan_amt, 4) AS loan_amt, round(due_amt, 4) AS due_amt,
+       round(paid_amt, 4) AS paid_amt, round(overdue_amt, 4) AS overdue_amt, round(balance, 4) AS balance, snapshot_date
 FROM $loan WHERE snapshot_date = DATE '1998-06-01'
 """)
 def ingest_one(t: Inputs):
     raw = tables.read_raw(t.spark, csv_of(t, "loan"))
-    return tables.ingest_snapshot(raw, JUNE).select("loan_id", "Customer_ID", "installment_num", "snapshot_date")
+    return tables.ingest_snapshot(raw, JUNE).withColumns({
+        c: F.round(F.col(c).cast("double"), 4) for c in ("loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance")})
 
 
-@REGISTRY.add("ingest_optional_date", "SELECT Customer_ID, NULLIF(Age, '') AS Age, Occupation FROM $attributes")
+@REGISTRY.add("ingest_optional_date", """
+SELECT Customer_ID, NULLIF(Age, '') AS Age, Occupation, DATE '1998-06-01' AS snapshot_date FROM $attributes
+""")
 def ingest_undated(t: Inputs):
     paths = {"attributes": csv_of(t, "attributes", drop=("snapshot_date",))}
-    return tables.ingest_all(t.spark, paths, JUNE)["attributes"].select("Customer_ID", "Age", "Occupation")
+    return tables.ingest_all(t.spark, paths, JUNE)["attributes"].select(
+        "Customer_ID", "Age", "Occupation", "snapshot_date")
 
 
-@REGISTRY.add("read_snapshot", "SELECT loan_id, due_amt, snapshot_date FROM $loan WHERE snapshot_date = DATE '1998-06-01'")
+@REGISTRY.add("read_snapshot", "SELECT * FROM $loan WHERE snapshot_date = DATE '1998-06-01'")
 def read_one(t: Inputs):
     path = tables.write_snapshot(t.view("loan"), shared_folder(t.spark, "loan"))
-    return tables.read_snapshot(t.spark, path, JUNE).select("loan_id", "due_amt", "snapshot_date")
+    return tables.read_snapshot(t.spark, path, JUNE)
 
 
+# the re-run covers June to August; July has become empty
 @REGISTRY.add("write_snapshot", """
-SELECT snapshot_date, CASE WHEN snapshot_date = DATE '1998-06-01' THEN 'second' ELSE 'first' END AS run, count(*) AS rows
-FROM $loan GROUP BY ALL
+SELECT *, CASE WHEN snapshot_date BETWEEN DATE '1998-06-01' AND DATE '1998-08-01' THEN 'second' ELSE 'first' END AS run
+FROM $loan WHERE snapshot_date <> DATE '1998-07-01'
 """)
-def rewrite_one(t: Inputs):
-    rows = t.view("loan").select("loan_id", "snapshot_date")
+def rewrite_some(t: Inputs):
+    rows = t.view("loan")
     path = shared_folder(t.spark, "loan")
     tables.write_snapshot(rows.withColumn("run", F.lit("first")), path)
-    tables.write_snapshot(rows.filter(F.col("snapshot_date") == F.lit(JUNE)).withColumn("run", F.lit("second")), path)
-    return tables.read_table(t.spark, path).groupBy("snapshot_date", "run").agg(F.count(F.lit(1)).alias("rows"))
+    august = datetime.date(1998, 8, 1)
+    again = rows.filter(F.col("snapshot_date").isin(JUNE, august)).withColumn("run", F.lit("second"))
+    tables.write_snapshot(again, path, covered=(JUNE, august))
+    return tables.read_table(t.spark, path).select(*rows.columns, "run")
 
 
-@REGISTRY.add("read_table_csv", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders")
+@REGISTRY.add("write_predictions", """
+SELECT Customer_ID, snapshot_date, default_proba, model_version FROM $predictions
+WHERE model_version <> 'm2' OR snapshot_date <> DATE '1998-06-01'
+""")
+def predictions_round_trip(t: Inputs):
+    """The sink's own partitions read back; a re-run that has become empty for one model and month."""
+    path = shared_folder(t.spark, "predictions")
+    rows = t.view("predictions").drop("label")
+    for model in ("m0", "m1", "m2"):
+        own = rows.filter(F.col("model_version") == model)
+        tables.write_predictions(own if model != "m2" else own.filter(F.col("snapshot_date") != F.lit(JUNE)), path)
+    return tables.read_predictions(t.spark, path).select(
+        "Customer_ID", "snapshot_date", "default_proba", "model_version")
+
+
+@REGISTRY.add("read_table_csv", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS cents,
+       strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders
+""")
 def read_csv_table(t: Inputs):
     path = shared_folder(t.spark, "orders")
-    tables.write_snapshot(t.table("orders").select("o_orderkey", "o_orderpriority"), path, fmt="csv")
+    tables.write_snapshot(t.table("orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+        F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority"), path, fmt="csv")
     return tables.read_table(t.spark, path + "/*.csv", "csv")
 
 
@@ -121,10 +150,9 @@ QUALIFY row_number() OVER (PARTITION BY train_date ORDER BY auc_oot DESC, run_id
 """)
 def append_best_runs(t: Inputs):
     path = shared_folder(t.spark, "runs")
-    best = registry.best_run(t.view("runs")).select(
+    tables.append_runs(registry.best_run(t.view("runs")).select(
         F.col("run_id").alias("model_version"), F.col("train_date").alias("train_start"),
-        "auc_test", "auc_oot", F.lit(False).alias("promoted_flag"))
-    tables.append_run(t.spark, [row.asDict() for row in best.collect()], path)  # one run per training date
+        "auc_test", "auc_oot", F.lit(False).alias("promoted_flag")), path)
     return tables.read_runs(t.spark, path).select("model_version", "train_start", "auc_test", "auc_oot", "promoted_flag")
 
 
@@ -144,31 +172,42 @@ FROM ({SILVER_LOAN_FLOAT}) WHERE mob = 6
 
 
 @REGISTRY.add("backfill", f"""
-SELECT l.loan_id, l.label, a.*, c.* EXCLUDE (Customer_ID, label_snapshot_date)
-FROM ({latest_sql(GOLD_ATTRIBUTES, ATTRIBUTES, 'attributes_snapshot_date')}) a
-JOIN ({CLICK_MEANS}) c ON a.Customer_ID = c.Customer_ID AND a.label_snapshot_date = c.label_snapshot_date
-JOIN ({FLOAT_LABELS}) l ON l.Customer_ID = a.Customer_ID AND l.snapshot_date = a.label_snapshot_date
+SELECT p.*, loan_id, label, label_def FROM ({PRETRAIN}) p
+JOIN ({FLOAT_LABELS}) l ON l.Customer_ID = p.Customer_ID AND l.snapshot_date = p.label_snapshot_date
 """)
 def backfill_everything(t: Inputs):
     mart = Datamart(t.spark, shared_folder(t.spark, "mart"))
     mart.backfill({
         "loan_daily": csv_of(t, "loan"), "clickstream": csv_of(t, "click"),
         "attributes": csv_of(t, "attributes"), "financials": csv_of(t, "financials")})
-    return mart.read("gold", "training").select(
-        "loan_id", "label", "Customer_ID", "label_snapshot_date", "Age_bin", "Occupation",
-        "attributes_snapshot_date", *[f"{c}_mean" for c in fixed.CLICK_FEATURES])
+    return mart.read("gold", "training")
 
 
 # ---------------------------------------------------------------- model jobs
 WINDOWS = dates.derive_windows(datetime.date(2001, 1, 1), 36, 6)
-MODEL_NUMBERS = [
-    "Annual_Income", "Num_of_Loan", "Interest_Rate", "Delay_from_due_date", "Num_Credit_Inquiries",
-    "Outstanding_Debt", "Credit_History_Age", "Total_EMI_per_month", "Monthly_Balance",
-    *fixed.ENCODED_COLUMNS, *fixed.FLAG_COLUMNS, "fe_1_mean", "fe_2_mean", "fe_3_mean"]
-
-
-def preprocessor() -> prep.Preprocessor:
-    return prep.Preprocessor(MODEL_NUMBERS, ["Occupation", "Age_bin"], ["Type_of_Loan"])
+NOT_FEATURES = {*fixed.TRAINING_METADATA, "loan_id", "label", "label_def", "split", "fold"}
+MULTI = ["Type_of_Loan"]
+TRAINING = f"""(SELECT p.*, loan_id, label, label_def FROM ({PRETRAIN}) p
+JOIN ({LABELS}) l ON p.Customer_ID = l.Customer_ID AND p.label_snapshot_date = l.snapshot_date)"""
+IN_WINDOW = "label_snapshot_date BETWEEN DATE '{}' AND DATE '{}'"
+TRAIN_TEST = IN_WINDOW.format(WINDOWS.train_test_start, WINDOWS.train_test_end)
+OUT_OF_TIME = IN_WINDOW.format(WINDOWS.oot_start, WINDOWS.oot_end)
+#: Every training-table row of the two windows with its split, as a chain of common table expressions.
+SPLIT_CTES = f"""
+rows AS (SELECT * FROM {TRAINING} WHERE {TRAIN_TEST}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(loan_id || '|' || Customer_ID || '|'
+             || CAST(label_snapshot_date AS VARCHAR) || '|88')) - 1 AS place,
+           count(*) OVER (PARTITION BY label) AS n, count(*) OVER () AS every FROM rows),
+sizes AS (SELECT DISTINCT label, n, every - CAST(ceil(every * (CAST(1 AS DOUBLE) - CAST(0.8 AS DOUBLE))) AS BIGINT) AS train,
+          CAST(n AS DOUBLE) * (every - CAST(ceil(every * (CAST(1 AS DOUBLE) - CAST(0.8 AS DOUBLE))) AS BIGINT)) / every AS exact
+          FROM ranked),
+cuts AS (SELECT label, floor(exact) + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, label)
+         <= train - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS cut FROM sizes),
+splits AS (SELECT ranked.* EXCLUDE (place, n, every), CASE WHEN place < cut THEN 'train' ELSE 'test' END AS split
+           FROM ranked JOIN cuts USING (label)
+           UNION ALL SELECT *, 'oot' FROM {TRAINING} WHERE {OUT_OF_TIME})
+"""
+SPLIT_COUNTS = "SELECT split, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM splits GROUP BY split"
 
 
 def model_rows(t: Inputs):
@@ -182,53 +221,162 @@ def model_rows(t: Inputs):
         dated.filter("window = 'oot'").drop("window").withColumn("split", F.lit("oot"))))
 
 
-def fitted(t: Inputs, estimator):
-    rows = model_rows(t)
-    train = rows.filter("split = 'train'")
-    steps = preprocessor().fit(train)
-    ready = materialise(modelling.with_class_weights(steps.assemble(train, ["loan_id", "label"])))
-    return rows, steps, ready, estimator.fit(ready) if estimator is not None else None
-
-
-def quality(rows, steps, model):
-    scored = modelling.score_rows(model, steps, rows, ["loan_id", "label", "split"])
-    return rounded(metrics.evaluate_splits(scored))
-
-
-@REGISTRY.add("write_feature_matrix")
+def preprocessor(rows) -> prep.Preprocessor:
+    """Every numeric column, every category, and the list of loans."""
+    numbers, categories = schema.feature_columns(rows, NOT_FEATURES)
+    return prep.Preprocessor(numbers, [c for c in categories if c not in MULTI], MULTI)
+
+
+def quality(rows, steps, model, floor: float):
+    """Counts per split and whether the learner's quality is plausible."""
+    scored = materialise(modelling.score_rows(model, steps, rows, ["loan_id", "label", "split"]))
+    counts = scored.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.sum("label").cast("bigint").alias("positives"))
+    auc = F.col("auc_roc")
+    fine = F.when(F.col("split") == "train", auc >= floor).otherwise((auc >= 0) & (auc <= 1))
+    return counts.join(metrics.evaluate_splits(scored), "split").select(
+        "split", "rows", "positives", (fine & F.col("accuracy").between(0, 1)).alias("plausible"))
+
+
+PLAUSIBLE = f"WITH {SPLIT_CTES} SELECT *, TRUE AS plausible FROM ({SPLIT_COUNTS})"
+
+
+def matrix_sql() -> str:
+    """Medians, modes, scales and vocabularies of the training rows, written out."""
+    other = {*NOT_FEATURES, *TEXT_FEATURES, *MULTI}
+    numbers = [c for c in fixed.PRETRAIN_COLUMNS if c not in other and not c.endswith("snapshot_date")]
+    fill = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in numbers)
+    modes = ", ".join(
+        f"(SELECT {c} FROM train WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1) AS m_{c}"
+        for c in TEXT_FEATURES)
+    filled = ", ".join([*[f"COALESCE(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in numbers],
+                        *[f"COALESCE({c}, m_{c}) AS {c}" for c in TEXT_FEATURES]])
+    stats = ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in numbers)
+    scaled = ", ".join(
+        f"{dec(f'({c} - a_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END', 5)} AS {c}" for c in numbers)
+    flag = "CASE WHEN {} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS \"{}\"".format
+    one = [flag(f"{c} = '{v}'", f"{c}_{v}") for c, values in TEXT_FEATURES.items() for v in values]
+    many = [flag(f"list_contains(string_split(Type_of_Loan, '|'), '{v}')", f"Type_of_Loan__{v}") for v in LOANS]
+    return f"""
+WITH {SPLIT_CTES}, train AS (SELECT * FROM splits WHERE split = 'train'),
+meds AS (SELECT {fill}, {modes} FROM train),
+filled AS (SELECT loan_id, label, Type_of_Loan, {filled} FROM train, meds),
+stats AS (SELECT {stats} FROM filled)
+SELECT loan_id, label, {scaled}, {", ".join([*one, *many])} FROM filled, stats"""
+
+
+TEXT_FEATURES = {
+    "Age_bin": ["18_24", "25_34", "35_49", "50_64", "65_plus"],
+    "Occupation": [f"{v} clerk" for v in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")],
+}
+LOANS = ["Auto Loan", "HIGH Loan", "LOW Loan", "MEDIUM Loan", "NOTSPECIFIED Loan", "Payday Loan", "URGENT Loan"]
+
+
+@REGISTRY.add("write_feature_matrix", matrix_sql())
 def feature_matrix(t: Inputs):
     train = model_rows(t).filter("split = 'train'")
-    steps = preprocessor().fit(train)
+    steps = preprocessor(train).fit(train)
     path = shared_folder(t.spark, "matrix")
     tables.write_feature_matrix(steps.transform(train, ["loan_id", "label"]), path, ["loan_id", "label"])
-    return tables.read_table(t.spark, path)
+    return rounded(tables.read_table(t.spark, path), 5)
 
 
-@REGISTRY.add("train_logreg")
+@REGISTRY.add("train_logreg", PLAUSIBLE)
 def train_logreg(t: Inputs):
-    rows, steps, _, model = fitted(t, modelling.logistic_regression(regParam=0.01, maxIter=50))
-    return quality(rows, steps, model)
+    rows = model_rows(t)
+    train = rows.filter("split = 'train'")
+    steps, model = modelling.fit_rows(
+        train, preprocessor(train), lambda n: modelling.logistic_regression(maxIter=1000, **modelling.penalty(1.0, n)))
+    return quality(rows, steps, model, 0.55)
 
 
-@REGISTRY.add("train_gbt")
+@REGISTRY.add("train_gbt", PLAUSIBLE)
 def train_gbt(t: Inputs):
-    rows, steps, _, model = fitted(t, modelling.boosted_trees(maxIter=10, maxDepth=3))
-    return quality(rows, steps, model)
+    rows = model_rows(t)
+    train = rows.filter("split = 'train'")
+    steps, model = modelling.fit_rows(
+        train, preprocessor(train), lambda n: modelling.boosted_trees(maxIter=100, maxDepth=3, stepSize=0.1))
+    return quality(rows, steps, model, 0.7)
 
 
-@REGISTRY.add("tune")
+@REGISTRY.add("tune", f"""
+WITH {SPLIT_CTES} SELECT *, TRUE AS plausible, 15 AS trials, TRUE AS best_is_best FROM ({SPLIT_COUNTS})
+""")
 def tune_logreg(t: Inputs):
-    rows, steps, ready, _ = fitted(t, None)
-    folded = materialise(sampling.stratified_folds(
-        ready, "label", modelling.TUNING_FOLDS, columns=["loan_id"]))
-    size = folded.count()
-    trials = [modelling.penalty(d["C"], size) for d in modelling.draw_parameters(modelling.LOGREG_SEARCH, 3)]
-    search = modelling.tune(modelling.logistic_regression(maxIter=20), folded, trials)
-    return quality(rows, steps, search.bestModel)
-
-
-@REGISTRY.add("score_snapshot")
+    """All draws of the search over all folds, preprocessing refitted in each."""
+    rows = model_rows(t)
+    train = rows.filter("split = 'train'")
+    folded = materialise(sampling.stratified_folds(train, "label", modelling.TUNING_FOLDS, columns=["loan_id"]))
+    draws = modelling.draw_parameters(modelling.LOGREG_SEARCH, modelling.TUNING_TRIALS)
+    found = modelling.tune(modelling.logistic_trial, preprocessor(train), folded, draws)
+    chosen = found.mean_auc[found.draws.index(found.best)]
+    return quality(rows, found.steps, found.model, 0.55).select(
+        "*", F.lit(len(found.draws)).alias("trials"), F.lit(chosen >= max(found.mean_auc)).alias("best_is_best"))
+
+
+@REGISTRY.add("score_snapshot", f"""
+WITH {SPLIT_CTES}, newest AS (SELECT max(label_snapshot_date) AS day FROM splits WHERE split = 'oot')
+SELECT Customer_ID, label_snapshot_date, TRUE AS decided, label_snapshot_date AS snapshot_date,
+       '2001-02-01 08:00:00' AS scored_at, 'models/logreg' AS model_uri, '1' AS model_version, 'None' AS model_stage
+FROM splits, newest WHERE label_snapshot_date = day
+""")
 def score_one(t: Inputs):
-    rows, steps, _, model = fitted(t, modelling.logistic_regression(regParam=0.01, maxIter=50))
+    rows = model_rows(t)
+    train = rows.filter("split = 'train'")
+    steps, model = modelling.fit_rows(
+        train, preprocessor(train), lambda n: modelling.logistic_regression(maxIter=100, **modelling.penalty(1.0, n)))
     newest = rows.filter("split = 'oot'").agg(F.max("label_snapshot_date")).first()[0]
-    return modelling.score_snapshot(model, steps, rows, newest, model_uri="models/logreg", model_version="1")
+    scored = modelling.score_snapshot(
+        model, steps, rows, newest, model_uri="models/logreg", model_version="1",
+        scored_at=F.lit(datetime.datetime(2001, 2, 1, 8)))
+    decided = F.col("default_proba").between(0, 1) & (F.col("default") == (F.col("default_proba") >= 0.5).cast("int"))
+    return scored.select("Customer_ID", "label_snapshot_date", decided.alias("decided"), "snapshot_date", "scored_at",
+                         "model_uri", "model_version", "model_stage")
+
+
+# ---------------------------------------------------------------- schema reports
+REPORTED = [*fixed.PRETRAIN_COLUMNS, "Credit_Mix", "SSN"]
+REGISTRY.add("column_report", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {c in fixed.PRETRAIN_COLUMNS} AS present FROM (SELECT count(*) FROM orders)"
+    for c in REPORTED))(lambda t: schema.column_report(features(t), REPORTED).select("column", "present"))
+
+TYPES = {"l_orderkey": "numeric", "l_partkey": "numeric", "l_suppkey": "numeric", "l_linenumber": "numeric",
+         "l_quantity": "numeric", "l_extendedprice": "numeric", "l_discount": "numeric", "l_tax": "numeric",
+         "l_returnflag": "categorical", "l_linestatus": "categorical"}
+REGISTRY.add("feature_report", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{k}' AS kind, count({c}) AS filled FROM lineitem" for c, k in TYPES.items()))(
+    lambda t: schema.feature_report(t.table("lineitem")))
+
+
+# ---------------------------------------------------------------- from training to monitoring
+@REGISTRY.add("model_lifecycle", f"""
+WITH {SPLIT_CTES},
+scored AS (SELECT label_snapshot_date AS month, Customer_ID, count(*) AS n FROM splits WHERE split = 'oot' GROUP BY 1, 2),
+labelled AS (SELECT snapshot_date AS month, Customer_ID, count(*) AS n FROM ({LABELS}) GROUP BY 1, 2)
+SELECT month, '2' AS model_version, CAST(sum(s.n) AS BIGINT) AS sample_size, CAST(sum(s.n * l.n) AS BIGINT) AS judged,
+       'Production' AS stage, 'Archived' AS first_version, 'infer' AS next_step
+FROM scored s JOIN labelled l USING (month, Customer_ID) GROUP BY month
+""")
+def lifecycle(t: Inputs):
+    """Two trainings and promotions, scoring, reading back, monitoring and the next run's decision."""
+    mart = Datamart(t.spark, shared_folder(t.spark, "mart"))
+    found = materialise(labels(t))
+    tables.write_snapshot(found, mart.path("gold", "label_store"))
+    tables.write_snapshot(pretrain.training_rows(features(t), found), mart.path("gold", "training"),
+                          partition_by=["label_snapshot_date"])
+    for day in (datetime.date(2000, 12, 1), datetime.date(2001, 1, 1)):
+        mart.train(WINDOWS, lambda rows: preprocessor(rows), lambda n: modelling.logistic_regression(
+            maxIter=50, **modelling.penalty(1.0, n)), day, "default", "logreg")
+        mart.promote_best(day, min_test=0.0)
+    months = mart.read("gold", "training", WINDOWS.oot_start, WINDOWS.oot_end).select("label_snapshot_date").distinct()
+    for row in months.collect():  # one run a month, as a scheduler would start it
+        mart.score(row[0], "default", LogisticRegressionModel.load)
+    runs = mart.runs()
+    decided = registry.run_decision(
+        runs, [found.select("snapshot_date")], datetime.date(2001, 3, 1), "default", minimum=1)
+    state = F.struct(F.max(F.when(F.col("version") == 2, F.col("stage"))).alias("stage"),
+                     F.max(F.when(F.col("version") == 1, F.col("stage"))).alias("first_version"))
+    judged = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
+    return mart.monitor().select(
+        "month", "model_version", "sample_size", judged.alias("judged"), runs.agg(state.alias("s")).scalar().alias("s"),
+        decided.select("next_step").scalar().alias("next_step")).select(
+        "month", "model_version", "sample_size", "judged", "s.stage", "s.first_version", "next_step")

@@ -15,15 +15,13 @@ TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-FACT_TABLES = ["orders", "lineitem"]
-
 _MONTH = "CAST(date_trunc('month', CAST({} AS DATE)) AS DATE)".format
 
 VIEWS: dict[str, str] = {}
 
 VIEWS["loan"] = f"""
 SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS loan_id,
-       CAST(o_custkey AS STRING) AS Customer_ID,
+       CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS Customer_ID,
        CAST(o_orderdate AS DATE) AS loan_start_date,
        7 AS tenure,
        l_linenumber AS installment_num,
@@ -38,7 +36,7 @@ FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
 """
 
 VIEWS["click"] = f"""
-SELECT CAST(o_custkey AS STRING) AS Customer_ID,
+SELECT CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS Customer_ID,
        {_MONTH('o_orderdate')} AS snapshot_date,
        {", ".join(
            f"CASE WHEN (o_orderkey + {i}) % 13 = 0 THEN NULL "
@@ -48,7 +46,7 @@ FROM {{orders}}
 """
 
 VIEWS["attributes"] = f"""
-SELECT CAST(o_custkey AS STRING) AS Customer_ID,
+SELECT CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS Customer_ID,
        '  ' || lower(replace(c_name, '#', ' ')) || ' ' AS Name,
        CASE WHEN o_orderkey % 17 = 0 THEN '-500'
             WHEN o_orderkey % 19 = 0 THEN '45.5'
@@ -65,7 +63,7 @@ FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey
 """
 
 VIEWS["financials"] = f"""
-SELECT CAST(o_custkey AS STRING) AS Customer_ID,
+SELECT CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS Customer_ID,
        CASE WHEN o_orderkey % 29 = 0 THEN '-'
             ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING) || '.25_' END AS Annual_Income,
        o_totalprice / 12 AS Monthly_Inhand_Salary,
@@ -176,19 +174,9 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._known:
-            self._known[name] = self._spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"), name)
+            self._known[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._known[name]
 
-    def _spread(self, df: DataFrame, name: str) -> DataFrame:
-        """Let all cores work on a fact table that is stored as a single row group.
-
-        A table with at least as many splits as cores, as any large one has, is left alone.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        if name not in FACT_TABLES or df.rdd.getNumPartitions() >= cores:
-            return df
-        return df.repartition(cores)
-
     def view(self, name: str) -> DataFrame:
         key = "view " + name
         if key not in self._known:
