@@ -4,17 +4,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from featuremart.operators import metrics
+from featuremart.operators import metrics, ordered
 from featuremart.operators.ordered import exact_quantiles, prefix_sum
 
 
-@pytest.fixture(params=["4", "64"])
-def ranges(request, spark):
-    """Few ranges are compared one by one, many are searched."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", request.param)
-    yield
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+@pytest.fixture(params=[20_000, 40, 2])
+def ranges(request, monkeypatch):
+    """One range, some, and hundreds: the same search finds a value's range."""
+    monkeypatch.setattr(ordered, "VALUES_PER_RANGE", request.param)
 
 
 def skewed(spark, n=3000, seed=1):

@@ -46,9 +46,27 @@ def test_multi_hot(df):
     assert column(prep.multi_hot(df, "items", ["y"]), "items__y") == [1, 1, 0, 0, 0]
 
 
-def test_large_vocabulary_is_refused_not_cut(spark):
-    with pytest.raises(ValueError, match="distinct"):
-        prep.categories(spark.range(30).select(F.col("id").cast("string").alias("c")), "c", limit=20)
+def test_vocabularies_have_no_limit(spark):
+    many = spark.range(2_500).select("id", F.col("id").cast("string").alias("c"),
+                                     F.concat("id", F.lit("|x|"), "id").alias("items"))
+    assert len(prep.categories(many, "c")) == 2_500
+    values = sorted(str(i) for i in range(2_500))
+    assert {(r["id"], r["index"]) for r in prep.one_hot_entries(many, "c", ["id"]).collect()} == {
+        (int(v), i) for i, v in enumerate(values)}
+    tokens = {v: i for i, v in enumerate(sorted([*values, "x"]))}
+    assert {(r["id"], r["index"]) for r in prep.multi_hot_entries(many, "items", ["id"]).collect()} == {
+        (i, tokens[t]) for i in range(2_500) for t in (str(i), "x")}
+    steps = prep.Preprocessor([], ["c"], ["items"]).fit(many)
+    vector = steps.assemble(many, ["id"]).first()["features"]
+    assert vector.size == 5_001 and len(vector.indices) == 3
+
+
+def test_preprocessor_survives_saving(spark, df, tmp_path):
+    steps = prep.Preprocessor(["n"], ["cat"], ["items"]).fit(df)
+    steps.save(spark, str(tmp_path / "steps"))
+    again = prep.Preprocessor.load(spark, str(tmp_path / "steps"))
+    assert again.feature_names == steps.feature_names and again.modes_ == steps.modes_
+    assert again.transform(df, ["k"]).collect() == steps.transform(df, ["k"]).collect()
 
 
 def test_preprocessor_is_fixed_at_fit(spark, df):

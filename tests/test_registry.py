@@ -1,9 +1,11 @@
+import json
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from featuremart.operators import metrics, profiling, registry
+from featuremart.sources import tables
 
 RUNS = "run_id string, status string, train_date date, auc_oot double, auc_test double, model_name string, version int, stage string"
 DAY, OTHER = date(2024, 1, 1), date(2024, 4, 1)
@@ -72,17 +74,60 @@ def test_month_coverage(spark, a, b, anchor, ready):
 
 def test_run_decision(spark):
     covered = [months(spark, *range(1, 13))]
-    model = spark.createDataFrame([("Production", 1, date(2023, 9, 30)), ("Staging", 2, date(2023, 11, 1))],
-                                  "stage string, version int, train_date date")
+    model = spark.createDataFrame(
+        [("a", "Production", 1, date(2023, 9, 30)), ("a", "Staging", 2, date(2023, 11, 1)),
+         ("b", "Production", 9, date(2021, 1, 1))], "model_name string, stage string, version int, train_date date")
 
     def step(when, registry_rows=model, **options):
-        return registry.run_decision(registry_rows, covered, when, minimum=6, **options).first()["next_step"]
+        return registry.run_decision(registry_rows, covered, when, "a", minimum=6, **options).first()["next_step"]
 
     assert step(date(2023, 12, 29)) == "infer"  # two whole months
     assert step(date(2023, 12, 30)) == "train"
     assert step(date(2023, 12, 1), force=True) == "train"
     assert step(date(2023, 12, 1), model.filter("version = 2")) == "train"  # no production model
     assert step(date(2023, 5, 1), force=True) == "infer"  # not enough history
+    assert step(date(2023, 12, 1)) == "infer"  # the old version of another model plays no part
+
+
+def test_decision_before_the_first_run(spark, tmp_path):
+    none = tables.read_runs(spark, str(tmp_path / "nothing"))
+    assert registry.run_decision(none, [months(spark, *range(1, 13))], date(2023, 12, 1), "a", minimum=6).first()[
+        "next_step"] == "train"
+    assert registry.latest_in_stage(none).count() == 0 and registry.best_run(none).count() == 0
+
+
+def test_promotions_keep_older_descriptions(spark):
+    rows = [("a", 1, "Production", "r1", "old"), ("a", 2, "Staging", "r2", None), ("b", 1, "Staging", "r3", "note")]
+    df = spark.createDataFrame(rows, "model_name string, version int, stage string, run_id string, description string")
+    chosen = spark.createDataFrame([("a", 2)], "model_name string, version int")
+    again = spark.createDataFrame([("b", 1)], "model_name string, version int")
+    got = registry.transition_stage(registry.transition_stage(df, chosen, snapshot=["run_id"]), again, snapshot=["run_id"])
+    assert sorted(got.columns) == sorted(df.columns)
+    assert {(r.run_id, r.stage, r.description) for r in got.collect()} == {
+        ("r1", "Archived", "old"), ("r2", "Production", '{"run_id":"r2"}'), ("r3", "Production", '{"run_id":"r3"}')}
+
+
+def test_promotion_note_is_nested(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    tables.append_run(spark, [{"model_version": "1", "version": 1, "model_name": "a", "run_id": "r", "stage": "None",
+                               "auc_oot": 0.75, "flavor": "logreg"}], path)
+    runs = tables.read_runs(spark, path)
+    row = registry.promote(runs, runs.select("model_name", "version")).first()
+    note = json.loads(row["description"])
+    assert row["promoted_flag"] and row["promoted_at"] and note["metrics"]["auc_oot"] == 0.75
+    assert note["params"]["flavor"] == "logreg" and note["run_id"] == "r"
+
+
+def test_versions_are_monitored_apart(spark):
+    rows = [(f"c{i}", date(2024, 1, 1), i / 10, v) for i in range(8) for v in ("1", "2")]
+    df = spark.createDataFrame(rows, "Customer_ID string, snapshot_date date, default_proba double, model_version string")
+    truth = spark.createDataFrame([(f"c{i}", date(2024, 1, 1), int(i > 4)) for i in range(8)],
+                                  "Customer_ID string, snapshot_date date, label int")
+    got = metrics.monitor(df, truth).collect()
+    assert [(r.model_version, r.sample_size, r.tp + r.tn + r.fp + r.fn, r.auc_roc) for r in got] == [
+        ("1", 8, 8, 1.0), ("2", 8, 8, 1.0)]
+    pooled = metrics.monitor(df, truth, groups=[]).collect()
+    assert [r.sample_size for r in pooled] == [16]
 
 
 def test_bands(one):

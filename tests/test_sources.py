@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from featuremart import session
 from featuremart.operators.registry import union_snapshots
 from featuremart.plans.datamart import Datamart
 from featuremart.plans.silver import silver_clickstream
@@ -76,9 +77,13 @@ def test_json_summaries(spark, tmp_path):
 def test_monitoring_files(spark, tmp_path):
     spark.createDataFrame([("2024-02-15", 0.7)], "month string, auc double").coalesce(1).write.parquet(str(tmp_path / "x"))
     spark.createDataFrame([("2024-01-02", 0.6)], "month string, auc_roc double").coalesce(1).write.parquet(str(tmp_path / "y"))
+    assert [r["month"] for r in tables.read_monitoring(spark, str(tmp_path)).collect()] == [JAN, FEB]
     (tmp_path / "x" / "broken.parquet").write_bytes(b"PAR1 broken")
-    got = tables.read_monitoring(spark, str(tmp_path))
+    with pytest.raises(Exception, match="footer|FOOTER|Parquet"):
+        tables.read_monitoring(spark, str(tmp_path)).collect()
+    got, skipped = tables.read_monitoring_leniently(spark, str(tmp_path))
     assert [r["month"] for r in got.collect()] == [JAN, FEB]
+    assert [r["file"].rsplit("/", 1)[1] for r in skipped.collect()] == ["broken.parquet"]
     only_old = tables.normalise_monitoring(spark.createDataFrame([("2024-02-15", 0.7)], "month string, auc double"))
     assert only_old.first()["auc_roc"] == 0.7
 
@@ -153,3 +158,47 @@ def test_first_month_can_be_run_alone(spark, tmp_path):
     mart.backfill(raw, date(2023, 7, 1), JAN)
     assert mart.read("gold", "training").count() == 1
     assert mart.read("gold", "label_store", JAN, JAN).first()["label"] == 1
+
+
+def test_a_month_that_became_empty_goes(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([(1, JAN), (2, FEB), (3, date(2024, 3, 1))], "k int, snapshot_date date")
+    tables.write_snapshot(rows, path)
+    tables.write_snapshot(rows.filter("k = 1"), path, covered=(JAN, FEB))
+    assert sorted(r["k"] for r in tables.read_table(spark, path).collect()) == [1, 3]
+    tables.write_snapshot(rows.filter("k = 2"), path)  # nothing stated: other months stay
+    assert sorted(r["k"] for r in tables.read_table(spark, path).collect()) == [1, 2, 3]
+    tables.write_snapshot(rows.filter("k = 2"), path, covered=(None, None))
+    assert [r["k"] for r in tables.read_table(spark, path).collect()] == [2]
+
+
+def test_own_predictions_are_read_back(spark, tmp_path):
+    path = str(tmp_path / "predictions")
+    rows = spark.createDataFrame([("a", JAN, 0.5, "m1"), ("b", FEB, 0.25, "007")],
+                                 "Customer_ID string, snapshot_date date, default_proba double, model_version string")
+    tables.write_predictions(rows, path)
+    got = tables.read_predictions(spark, path)
+    assert {tuple(r) for r in got.select(*rows.columns).collect()} == {tuple(r) for r in rows.collect()}
+
+
+def test_other_read_errors_are_not_taken_for_absence(spark, tmp_path):
+    (tmp_path / "runs").mkdir()
+    (tmp_path / "runs" / "x.parquet").write_bytes(b"no parquet at all")
+    with pytest.raises(Exception) as error:
+        tables.read_runs(spark, str(tmp_path / "runs")).collect()
+    assert not isinstance(error.value, FileNotFoundError)
+
+
+def test_scratch_folder_is_removed(spark):
+    with session.scratch(spark) as folder:
+        df = session.materialise(spark.range(5))
+        assert df.count() == 5 and session.shared_folder(spark, "x").startswith(folder)
+        system, place = session.file_system(spark, folder)
+        assert system.exists(place)
+    assert not system.exists(place) and not session.shared_folder(spark, "x").startswith(folder)
+
+
+def test_undated_source_needs_a_month(spark):
+    raw = spark.createDataFrame([("a",)], "Customer_ID string")
+    assert tables.ingest_snapshot(raw, JAN, optional_date=True).first()["snapshot_date"] == JAN
+    assert "snapshot_date" not in tables.ingest_snapshot(raw, None, optional_date=True).columns
