@@ -275,7 +275,7 @@ FROM conversations
     text.normalise_nulls("text").alias("text")))
 
 REGISTRY.add("hash_id", """
-SELECT Customer_ID, sha256(Customer_ID || '||' || SSN) AS hashed FROM $attributes
+SELECT Customer_ID, sha256(concat_ws('||', Customer_ID, SSN)) AS hashed FROM $attributes
 """)(lambda t: t.view("attributes").select("Customer_ID", text.hash_id("Customer_ID", "SSN").alias("hashed")))
 
 REGISTRY.add("parse_version_date", """
