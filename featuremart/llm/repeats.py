@@ -7,6 +7,12 @@ before it.  Anchors with equal k-grams meet in a shuffle; there a stack scan ove
 common prefixes of neighbouring suffixes gives the tree of common-prefix intervals, and
 a second scan over the bytes before them tests each interval's left extensions.  The
 result are all maximal repeats with all their occurrences.
+
+A suffix is sorted with LENGTH - GRAM bytes on either side of its anchor: no string of
+LENGTH bytes that holds the anchor reaches further.  Longer repeats have several anchors,
+and their pieces join when ranges are merged.  Suffixes that are equal in that whole
+context are one leaf of the tree with a count; such a leaf is an interval by itself, so
+only leaves whose anchor has other contexts too are sorted against those.
 """
 
 from __future__ import annotations
