@@ -49,7 +49,8 @@ JOIN ({latest_sql(GOLD_FINANCIALS_FLOAT, MONEY, 'financials_snapshot_date')})
 
 
 def labels(t: Inputs) -> DataFrame:
-    return gold.label_store(silver.add_delinquency(t.view("loan")))
+    """The label table, stored once as it is in the datamart; many steps read it."""
+    return t.stored("labels", lambda: gold.label_store(silver.add_delinquency(t.view("loan"))))
 
 
 def batch(t: Inputs) -> DataFrame:

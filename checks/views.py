@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from featuremart.session import materialise
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -177,6 +179,13 @@ class Inputs:
             self._known[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._known[name]
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A result written once for all steps of a query that read it."""
+        key = "stored " + name
+        if key not in self._known:
+            self._known[key] = materialise(build(), name)
+        return self._known[key]
+
     def view(self, name: str) -> DataFrame:
         key = "view " + name
         if key not in self._known:

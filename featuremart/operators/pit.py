@@ -151,10 +151,12 @@ def latest_per_key(
     keys: Sequence[str],
     newest_first: Sequence[str],
     strategy: str = "latest",
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the newest by the given columns, NULL dates last.
 
-    Ties are settled by the remaining columns, so the result is the same on every run.
+    Ties are settled by the columns ``ties``, by default all that remain, so the result
+    is the same on every run; name a few that tell rows apart to sort by less.
     Spark keeps one candidate per key and map task before the shuffle, which makes keys
     with very many rows harmless.
     """
@@ -162,7 +164,7 @@ def latest_per_key(
         return df
     if strategy != "latest":
         raise ValueError("strategy must be 'latest' or 'none'")
-    rest = [c for c in df.columns if c not in keys and c not in newest_first]
+    rest = [c for c in df.columns if c not in keys and c not in newest_first] if ties is None else list(ties)
     ordering = [F.col(c).desc_nulls_last() for c in newest_first]
     ordering += [F.col(c).asc_nulls_last() for c in rest] or [F.lit(1)]
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(*ordering))
