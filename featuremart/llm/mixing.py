@@ -106,24 +106,27 @@ def mix(docs: DataFrame, text: str = "text", id_column: str = "doc_id", source:
     """
     plan = (
         taken(docs, text, id_column, source, seed, **rules)
-        .groupBy("key").agg(F.first("size").alias("_size"), F.sum("taken").alias("_taken"),
-                            F.min("epochs").alias("_epochs"), F.count("*").alias("_copies"))
-        .where("_taken > 0").withColumnRenamed("key", "_key")
+        .groupBy(F.col("key").alias("_key"), F.col("source").isNull().alias("_null"))
+        .agg(F.first("size").alias("_size"), F.sum("taken").alias("_taken"),
+             F.min("epochs").alias("_epochs"), F.count("*").alias("_copies"))
+        .where("_taken > 0")
     )
-    nth = Window.partitionBy("_key").orderBy("_content")
+    nth = Window.partitionBy("_key", "_null").orderBy("_content")
     own = F.col("_epochs") * F.col("_size") + F.greatest(F.lit(0), F.least(
         F.col("_size"),
         F.col("_taken") - F.col("_copies") * F.col("_epochs") * F.col("_size") - F.col("_nth") * F.col("_size")))
     rows = (
-        docs.select(*docs.columns, random_key(text, id_column, source, seed).alias("_key"),
+        docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col(text).alias("_text"),
+                    random_key(text, id_column, source, seed).alias("_key"), F.col(source).isNull().alias("_null"),
                     F.xxhash64(*[docs[c] for c in docs.columns]).alias("_content"))
-        .join(plan, "_key")
+        .join(plan, ["_key", "_null"])
         .withColumn("_nth", F.row_number().over(nth) - 1)
         .withColumn("_own", own).where("_own > 0")
         .withColumn("_piece", F.explode(F.expr(
             "transform(sequence(0L, (_own - 1) DIV _size), i -> least(_size, _own - i * _size))")))
     )
-    words = F.regexp_extract_all(F.col(text), F.lit(SPACED_WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    words = F.regexp_extract_all(F.col("_text"), F.lit(SPACED_WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     shortened = F.when(F.col("_piece") < F.col("_size"),
-                       F.array_join(F.slice(words, F.lit(1), F.col("_piece").cast("int")), "")).otherwise(F.col(text))
-    return rows.withColumn(text, shortened).select(*docs.columns)
+                       F.array_join(F.slice(words, F.lit(1), F.col("_piece").cast("int")), "")).otherwise(F.col("_text"))
+    return rows.select(*[
+        shortened.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

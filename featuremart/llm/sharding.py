@@ -68,14 +68,17 @@ def number_rows(df: DataFrame, order: list[str], name: str = "row_number") -> tu
     """
     total = df.count()
     buckets = max(1, math.isqrt(total))
-    hashed = df.withColumn("_hash", F.xxhash64(*order)).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
+    hashed = df.select(
+        F.struct(*[df[c] for c in df.columns]).alias("_row"), F.struct(*[df[c] for c in order]).alias("_order"),
+        F.xxhash64(*[df[c] for c in order]).alias("_hash"),
+    ).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = hashed.groupBy("_bucket").count().select(
         "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_bucket").orderBy("_hash", *order)
+    inside = Window.partitionBy("_bucket").orderBy("_hash", "_order")
     numbered = hashed.withColumn("_inside", F.row_number().over(inside) - 1)
-    out = numbered.join(offsets, "_bucket").withColumn(name, F.col("_offset") + F.col("_inside"))
-    return out.select(*df.columns, name), total
+    number = (F.col("_offset") + F.col("_inside")).alias(name)
+    return numbered.join(offsets, "_bucket").select("_row.*", number), total
 
 
 def shard_rows(df: DataFrame, order: list[str], shards: int = SHARDS, seed: int = 0) -> DataFrame:
@@ -90,9 +93,11 @@ def shard_rows(df: DataFrame, order: list[str], shards: int = SHARDS, seed: int
     """
     kept = [c for c in df.columns if c not in ("row_number", "shard", "slot")]
     numbered, total = number_rows(df.select(*kept), order)
-    placed = numbered.withColumn("_place", permuted(F.col("row_number"), total, seed))
+    placed = numbered.select(
+        F.struct(*[numbered[c] for c in kept]).alias("_row"), "row_number",
+        permuted(F.col("row_number"), total, seed).alias("_place"))
     return placed.select(
-        *kept, "row_number", F.pmod("_place", F.lit(shards)).cast("int").alias("shard"),
+        "_row.*", "row_number", F.pmod("_place", F.lit(shards)).cast("int").alias("shard"),
         ((F.col("_place") - F.pmod("_place", F.lit(shards))) / shards).cast("long").alias("slot"))
 
 

@@ -202,6 +202,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", wid
     fingerprint's candidate is found before rows meet, so that a large group of copies
     sends one slim row per task.
     """
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
     key = [F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("_key"),
            F.xxhash64(*[docs[c] for c in docs.columns]).alias("_content")]
     rows = written(
@@ -212,5 +213,5 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", wid
     chosen = (component_of_fingerprint(rows).join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
               .select("best._key", "best._content"))
     once = Window.partitionBy("_key", "_content").orderBy("_key")
-    return (docs.select(*docs.columns, *key).join(chosen, ["_key", "_content"], "left_semi")
-            .withColumn("_n", F.row_number().over(once)).where("_n = 1").select(*docs.columns))
+    return (docs.select(row, *key).join(chosen, ["_key", "_content"], "left_semi")
+            .withColumn("_n", F.row_number().over(once)).where("_n = 1").select("_row.*"))

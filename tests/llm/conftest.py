@@ -23,7 +23,8 @@ def make_docs(spark):
                  len(r[1]) if r[1] is not None else None) for r in rows]
         df = spark.createDataFrame(full, DOCS)
         if clash:
-            for name in ("score", "shard", "slot", "row_number", "fp", "items", "size", "key", "_row", "_text"):
+            for name in ("score", "shard", "slot", "row_number", "fp", "items", "size", "key", "_row", "_text", "_key", "_content",
+                         "_hash", "_bucket", "_order", "_place", "_size", "_taken", "_id", "_n", "_null", "_whole"):
                 df = df.selectExpr("*", f"'old' AS {name}")
         return df
 
