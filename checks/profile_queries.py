@@ -7,8 +7,8 @@ import datetime
 from pyspark.sql import functions as F
 
 from checks.datamart_queries import SILVER_LOAN
-from checks.pit_queries import PRETRAIN, features, labels, LABELS
-from checks.views import REGISTRY, TABLES
+from checks.pit_queries import PRETRAIN, features
+from checks.views import REGISTRY
 from featuremart.operators import profiling
 from featuremart.operators.registry import union_snapshots
 from featuremart.plans import silver

@@ -11,7 +11,7 @@ from checks.compare import rows_of
 from checks.views import REGISTRY, VIEWS, Inputs
 from featuremart.operators import metrics, pit, sampling
 from featuremart.operators.ordered import prefix_sum
-from featuremart.plans import gold, pretrain
+from featuremart.plans import gold
 from featuremart.sources import tables
 
 SMALL = "/root/testdata/sf0.001"
