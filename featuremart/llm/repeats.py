@@ -32,7 +32,7 @@ LENGTH = 200
 #: Bytes of an anchor; a window has LENGTH - GRAM + 1 of them.
 GRAM = 64
 #: Different contexts of one anchor that are sorted together; more are split by half contexts first.
-TOGETHER = 512
+TOGETHER = 4_096
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 _STEPS = [(1 << i, np.uint64(0x9E3779B97F4A7C15 + 2 * i * 0x5851F42D4C957F2D & 0xFFFFFFFFFFFFFFFF | 1)) for i in range(6)]
 
