@@ -23,7 +23,7 @@ class WindowSet:
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int):
         self.numbers: dict[bytes, int] = {}
-        self.windows: dict[int, dict[bytes, list[str]]] = {}
+        self.windows: dict[int, dict[bytes, dict[str, None]]] = {}
         for item, text in items:
             words = plain_words(text)
             if not words:
@@ -32,9 +32,7 @@ class WindowSet:
             length = min(window, len(ids))
             of_length = self.windows.setdefault(length, {})
             for i in range(len(ids) - length + 1):
-                owners = of_length.setdefault(ids[i:i + length].tobytes(), [])
-                if item not in owners:
-                    owners.append(item)
+                of_length.setdefault(ids[i:i + length].tobytes(), {})[item] = None
         self.hashes = {
             length: np.unique(np.concatenate([_rolling(np.frombuffer(w, np.int32), length) for w in found]))
             for length, found in self.windows.items()
