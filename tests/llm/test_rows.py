@@ -140,6 +140,13 @@ def test_decontamination_equals_brute_force(spark, make_docs, leaky, block_words
     assert got == want
 
 
+def test_many_items_may_share_a_passage():
+    passage = b"ka lo mi tu ne so ka ka lo lo"
+    found = decontaminate.WindowSet([(str(i), passage) for i in range(20_000)] * 2, 10)
+    (owners,) = found.windows[10].values()
+    assert list(owners) == [str(i) for i in range(20_000)]
+
+
 def test_cleaning_drops_or_cuts(spark, make_docs, leaky):
     bench = spark.createDataFrame(BENCHMARK, "item_id long, text string")
     df = make_docs(leaky)
