@@ -6,7 +6,9 @@ A token's probability given the one before is
 
 with additive smoothing of every part.  Both token probabilities hold the token's count
 as the same factor, so that a text's score is its unigram score plus a sum over class
-bigrams, and only the unigram part needs the counts of rare words.
+bigrams.  The driver exchanges frequent words, and groups of others by ending, from a
+matrix of bounded size; then every other word moves on its own to the class that its
+neighbours' classes make most likely, from counts that stay in a distributed table.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,10 @@ from featuremart.llm.common import arrow_map, as_bytes, crc_of_id, slices, space
 
 ALPHA = 0.1
 CLASSES = 64
-#: Words that are clustered one by one; all others are clustered in groups of equal endings.
+#: Words that the driver clusters one by one; all others start from groups of equal endings.
 FREQUENT = 1_500
 ENDINGS = 256
-#: Words whose counts every task knows; counts of all others are joined.
+#: Words whose counts and classes every task knows; those of all others are joined.
 KNOWN = 50_000
 ROUNDS = 6
 #: A token that no text holds: white space.
@@ -59,6 +61,7 @@ class Model:
     known: dict[bytes, float]  # log10(count + alpha) of common words
     train_tokens: int
     types: int
+    own_class: dict[bytes, int] = field(default_factory=dict)  # of common words that are not frequent
 
     @property
     def denominator(self) -> float:
@@ -200,7 +203,12 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS)
 
 
 def fit(train: DataFrame, counts: DataFrame, text: str = "text", classes: int = CLASSES) -> Model:
-    """Model of the texts of ``train``, whose (word, n) are ``counts``."""
+    """Model of the texts of ``train``, whose (word, n) are ``counts``; words that aren't frequent go by ending."""
+    return _start(train, counts, text, classes)[0]
+
+
+def _start(train: DataFrame, counts: DataFrame, text: str, classes: int) -> tuple[Model, np.ndarray, np.ndarray]:
+    """The model, its class bigrams and the different words of each class."""
     whole = counts.agg(F.sum("n"), F.count("*")).first()
     tokens, types = int(whole[0] or 0), int(whole[1])
     is_end = F.col("word") == F.lit(END)
@@ -211,11 +219,7 @@ def fit(train: DataFrame, counts: DataFrame, text: str = "text", classes: int =
     bigrams = unit_bigrams(train, units, text)
     label = exchange(bigrams, classes)
     size = len(label)
-    table = np.zeros((classes, classes))
-    by_row = np.zeros((classes, size))
-    np.add.at(by_row, label, bigrams)
-    for c in range(classes):
-        table[:, c] = by_row[:, label == c].sum(1)
+    table = _by_class(bigrams, label, classes)
     # different words of each class: frequent ones, and the rare ones of each ending
     last = F.expr("substring(word, greatest(1, octet_length(word) - 1), 2)")
     frequent = [bytes(w) for w in units.frequent]
@@ -228,14 +232,27 @@ def fit(train: DataFrame, counts: DataFrame, text: str = "text", classes: int =
         if w in counted:
             per_unit[unit_of_rare(w)] -= 1
             per_unit[units.frequent[w]] += 1
-    emitted = np.bincount(label, weights=bigrams.sum(0), minlength=classes)
     members = np.bincount(label, weights=per_unit, minlength=classes)
+    model = Model(units, label, np.empty((classes, classes)), {w: math.log10(n + ALPHA) for w, n in words}, tokens, types)
+    return replace(model, gain=_gain(model, table, members)), table, members
+
+
+def _by_class(bigrams: np.ndarray, label: np.ndarray, classes: int) -> np.ndarray:
+    by_row = np.zeros((classes, len(label)))
+    np.add.at(by_row, label, bigrams)
+    table = np.zeros((classes, classes))
+    for c in range(classes):
+        table[:, c] = by_row[:, label == c].sum(1)
+    return table
+
+
+def _gain(model: Model, table: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """log10 of a class bigram's factor, from the class bigrams and the different words of each class."""
+    classes = len(table)
     weight = _held_in(table)
-    denominator = tokens + ALPHA * (types + 1)
     transition = (table + ALPHA) / (table.sum(1, keepdims=True) + ALPHA * classes)
-    factor = transition * denominator / (emitted + ALPHA * (members + 1))[None, :]
-    gain = np.log10(weight * factor + (1 - weight))
-    return Model(units, label, gain, {w: math.log10(n + ALPHA) for w, n in words}, tokens, types)
+    factor = transition * model.denominator / (table.sum(0) + ALPHA * (members + 1))[None, :]
+    return np.log10(weight * factor + (1 - weight))
 
 
 def _held_in(table: np.ndarray) -> float:
@@ -243,12 +260,179 @@ def _held_in(table: np.ndarray) -> float:
     return float(np.clip(table.sum() / (table.sum() + 2 * table.size), 0.01, 0.98))
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` and n_tokens, n_known, base_score, score of every whole text.
+def contexts(train: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """(word, cells, times): how often classes stand before (c) and after (classes + c) words that aren't frequent.
+
+    A row holds what one task has seen of a word: cells as bytes, times as 32-bit numbers.
+    """
+    shared = train.sparkSession.sparkContext.broadcast(model)
+    sides = 2 * len(model.gain)
+    assert sides <= 256
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        frequent, of_unit = model.units.frequent, model.classes.tolist()
+        words, classes = list(frequent), [of_unit[u] for u in frequent.values()]
+
+        class Numbers(dict):
+            def __missing__(self, word: bytes) -> int:
+                self[word] = number = len(words)
+                words.append(word)
+                classes.append(of_unit[unit_of_rare(word)])
+                return number
+
+        numbers = Numbers({w: i for i, w in enumerate(words)})
+        end, first = numbers[END], len(words)
+        keys, times, held = [], [], 0
+
+        def merged() -> None:
+            different, place = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.bincount(place, weights=np.concatenate(times)).astype(np.int64)
+            keys[:], times[:] = [different], [n]
+
+        def out() -> Iterator[pa.RecordBatch]:
+            merged()
+            number, cell = np.divmod(keys[0], sides)
+            starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+            bounds = np.r_[starts, len(number)]
+            cell, n = cell.astype(np.uint8).tobytes(), times[0].astype("<i4").tobytes()
+            for at in range(0, len(starts), 1 << 16):
+                some = range(at, min(at + (1 << 16), len(starts)))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([words[number[starts[i]]] for i in some], pa.binary()),
+                    pa.array([cell[bounds[i]:bounds[i + 1]] for i in some], pa.binary()),
+                    pa.array([n[4 * bounds[i]:4 * bounds[i + 1]] for i in some], pa.binary())],
+                    names=["word", "cells", "times"])
+
+        for batch in batches:
+            for part in slices(batch, text):
+                ids = [end]
+                for value in as_bytes(part.column(text)):
+                    ids += [numbers[w] for w in spaced_words(value)]
+                    ids.append(end)
+                ids = np.array(ids, np.int64)
+                of = np.array(classes, np.int64)[ids]
+                rare = np.flatnonzero(ids >= first)
+                found, n = np.unique(np.concatenate([
+                    ids[rare] * sides + of[rare - 1], ids[rare] * sides + sides // 2 + of[rare + 1]]), return_counts=True)
+                keys.append(found)
+                times.append(n)
+                held += len(found)
+                if held > 4_000_000:
+                    merged()
+                    held = len(keys[0])
+                if (held > 3_000_000 or len(words) > 400_000) and held:
+                    yield from out()
+                    keys, times, held = [], [], 0
+                    for w in words[first:]:
+                        del numbers[w]
+                    del words[first:], classes[first:]
+        if held:
+            yield from out()
+
+    return train.select(text).mapInArrow(run, "word binary, cells binary, times binary")
+
+
+class Placement:
+    """Most likely class of words from their context counts, the classes of all others as they are.
+
+    A word's counts are taken out of the class it starts from.  All words are placed
+    at once, by the change of the class bigram likelihood that each makes alone.
+    """
+
+    def __init__(self, table: np.ndarray) -> None:
+        self.cells = np.concatenate([table, table.T]).astype(float)  # (before or after, class): bigrams
+        self.ends = (table.sum(1).astype(float), table.sum(0).astype(float))
+        self.few = np.stack([self._h(self.cells + n) - self._h(self.cells) for n in range(65)])
+
+    @staticmethod
+    def _h(x: np.ndarray) -> np.ndarray:
+        return x * np.log(np.maximum(x, 1e-300))
+
+    def of(self, start: np.ndarray, word: np.ndarray, cell: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Class of each word; ``word`` numbers them, in order, for every cell, and ``start`` is their class so far."""
+        h, out = self._h, []
+        for at, end in _cuts(word, 50_000):
+            w, c, k = word[at:end], cell[at:end], n[at:end]
+            gain = self.few[np.minimum(k, 64), c]
+            many = np.flatnonzero(k > 64)
+            gain[many] = h(self.cells[c[many]] + k[many, None]) - h(self.cells[c[many]])
+            own = self.cells[c, start[w]]
+            gain[np.arange(len(w)), start[w]] = h(own) - h(np.maximum(own - k, 0))
+            starts = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+            gain = np.add.reduceat(gain, starts, axis=0)
+            ids = w[starts]
+            total = np.add.reduceat(k, starts)[:, None] / 2.0  # as often before as after
+            rows = np.arange(len(ids))
+            for marginal in self.ends:
+                change = h(marginal[None, :] + total) - h(marginal)[None, :]
+                mine = marginal[start[ids]]
+                change[rows, start[ids]] = h(mine) - h(np.maximum(mine - total[:, 0], 0))
+                gain -= change
+            best = gain.argmax(axis=1)
+            stay = gain[rows, best] <= gain[rows, start[ids]] + 1e-9
+            out.append(np.where(stay, start[ids], best))
+        return np.concatenate(out)
+
+
+def _cuts(word: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``limit`` cells that hold whole words."""
+    starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else word
+    at = 0
+    while at < len(word):
+        later = np.searchsorted(starts, at + limit)
+        end = int(starts[later]) if later < len(starts) else len(word)
+        yield at, end
+        at = end
+
+
+def placed(train: DataFrame, model: Model, table: np.ndarray, text: str = "text") -> DataFrame:
+    """(word, n, class) of every word of the texts that isn't frequent."""
+    ordered = contexts(train, model, text).repartition("word").sortWithinPartitions("word")
+    shared = train.sparkSession.sparkContext.broadcast((model.classes, table))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_unit, table = shared.value
+        placement, sides = Placement(table), 2 * len(table)
+
+        def out(rows: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
+            words = list(dict.fromkeys(r[0] for r in rows))
+            number = {w: i for i, w in enumerate(words)}
+            cell = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).astype(np.int64)
+            n = np.frombuffer(b"".join(r[2] for r in rows), "<i4").astype(np.int64)
+            word = np.repeat([number[r[0]] for r in rows], [len(r[1]) for r in rows])
+            keys, place = np.unique(word * sides + cell, return_inverse=True)
+            n = np.bincount(place, weights=n).astype(np.int64)
+            word, cell = np.divmod(keys, sides)
+            start = of_unit[[unit_of_rare(w) for w in words]]
+            total = np.bincount(word, weights=n, minlength=len(words)).astype(np.int64) // 2
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(total),
+                 pa.array(placement.of(start, word, cell, n), pa.int32())], names=["word", "n", "class"])
+
+        waiting: list[tuple[bytes, bytes, bytes]] = []
+        for batch in batches:
+            waiting += zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            last = waiting[-1][0] if waiting else None
+            whole = len(waiting)
+            while whole and waiting[whole - 1][0] == last:
+                whole -= 1
+            if whole:
+                yield out(waiting[:whole])
+                waiting = waiting[whole:]
+        if waiting:
+            yield out(waiting)
+
+    return ordered.mapInArrow(run, "word binary, n long, class int")
+
+
+def tagged(docs: DataFrame, model: Model, words: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """``keep``, n_tokens, n_known, base_score and classes (a byte for each token) of every whole text.
 
     Common words are looked up where the text is read.  Of all others a row's different
-    words and their counts are joined with the counts of the corpus; equal rows of
-    ``docs`` stay apart, as each row has a number of its own.
+    words are joined with the counts and classes of the corpus; words that it doesn't
+    hold have the class of their ending.  Equal rows of ``docs`` stay apart, as each row
+    has a number of its own.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     base = math.log10(ALPHA)
@@ -258,62 +442,127 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str], tex
     def run(batch: pa.RecordBatch) -> dict:
         model = shared.value
         if not made:
-            made.append(_unit_memo(model.units))
+            made.append(_class_memo(model))
         memo = made[0]
-        known, end = model.known, memo[END]
+        known = model.known
         of_end = known.get(END)
-        out = {c: [] for c in ("n_tokens", "n_common", "common", "gain")}
+        out = {c: [] for c in ("n_tokens", "n_common", "common", "classes", "places")}
         rare_words, rare_times, offsets = [], [], [0]
         for part in slices(batch, "_text"):
-            ids, lengths = [], []
             for value in as_bytes(part.column("_text")):
                 words = spaced_words(value)
-                ids.append(end)
-                ids += [memo[w] for w in words]
-                lengths.append(len(words) + 1)
                 rare: dict[bytes, int] = {}
+                order: dict[bytes, int] = {}
+                places: list[int] = []
                 total, n = (of_end, 1) if of_end is not None else (base, 0)
-                for w in words:
+                for i, w in enumerate(words):
                     v = known.get(w)
                     if v is None:
                         rare[w] = rare.get(w, 0) + 1
+                        places += (i, order.setdefault(w, len(order)))
                     else:
                         total += v
                         n += 1
+                out["n_tokens"].append(len(words) + 1)
                 out["common"].append(total)
                 out["n_common"].append(n)
+                out["classes"].append(bytes([memo[w] for w in words] + [memo[END]]))
+                out["places"].append(np.array(places, "<i4").tobytes())
                 rare_words += rare
                 rare_times += rare.values()
                 offsets.append(len(rare_words))
-            ids.append(end)
-            classes = model.classes[np.array(ids, np.int64)]
-            gains = model.gain[classes[:-1], classes[1:]]
-            starts = np.cumsum([0, *lengths[:-1]])
-            out["n_tokens"] += lengths
-            out["gain"] += np.add.reduceat(gains, starts).tolist() if lengths else []
         rare = pa.StructArray.from_arrays(
             [pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int32())], names=["word", "n"])
         return {c: batch.column(c) for c in [*keep, "_row"]} | out | {
             "rare": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare)}
 
+    def resolve(batch: pa.RecordBatch) -> dict:
+        classes = []
+        for own, places, found in zip(*(batch.column(c).to_pylist() for c in ("classes", "places", "found")), strict=True):
+            if found:
+                numbers = np.frombuffer(own, np.uint8).copy()
+                at, order = np.frombuffer(places, "<i4").reshape(-1, 2).T
+                of = np.full(order.max() + 1, -1, np.int64)
+                of[[f["place"] for f in found]] = [f["class"] for f in found]
+                hit = of[order] >= 0
+                numbers[at[hit]] = of[order][hit]
+                own = numbers.tobytes()
+            classes.append(own)
+        return {c: batch.column(c) for c in batch.schema.names if c not in ("places", "found")} | {"classes": classes}
+
     inner = docs.select(*keep, F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_text"))
     schema = ", ".join(f"`{c}` {t}" for c, t in inner.dtypes if c != "_text")
     parts = written(arrow_map(
-        inner, run, schema + ", n_tokens long, n_common long, common double, gain double, "
-        "rare array<struct<word: binary, n: int>>"), "scores")
-    rare = parts.select("_row", F.explode("rare").alias("r")).select("_row", "r.word", F.col("r.n").alias("times"))
-    found = rare.join(counts, "word").groupBy("_row").agg(
-        F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("n") + F.lit(ALPHA))).alias("rare_sum"))
+        inner, run, schema + ", n_tokens long, n_common long, common double, classes binary, places binary, "
+        "rare array<struct<word: binary, n: int>>"), "tagged")
+    rare = parts.select("_row", F.posexplode("rare").alias("place", "r")).select(
+        "_row", "place", "r.word", F.col("r.n").alias("times"))
+    found = rare.join(words, "word").groupBy("_row").agg(
+        F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("n") + F.lit(ALPHA))).alias("rare_sum"),
+        F.collect_list(F.struct("place", "class")).alias("found"))  # a row's different words at most
     logs = F.col("common") + F.coalesce("rare_sum", F.lit(0.0)) + F.lit(base) * (
         F.col("n_tokens") - F.col("n_known") - F.col("end_unseen"))
-    return (
+    joined = (
         parts.drop("rare").join(found, "_row", "left")
         .withColumn("n_known", F.col("n_common") + F.coalesce("n_rare", F.lit(0)))
         .withColumn("end_unseen", F.lit(0 if END in model.known else 1))
         .withColumn("base_score", logs - F.col("n_tokens") * F.lit(math.log10(model.denominator)))
-        .withColumn("score", F.col("base_score") + F.col("gain"))
-        .select(*keep, "n_tokens", "n_known", "base_score", "score")
+        .select(*keep, "n_tokens", "n_known", "base_score", "classes", "places", "found")
     )
+    kept = ", ".join(f"`{c}` {t}" for c, t in joined.dtypes if c not in ("places", "found"))
+    return arrow_map(joined, resolve, kept)
+
+
+def _class_memo(model: Model) -> dict[bytes, int]:
+    """Class of every word that a task knows, and of the ending of any other."""
+    of_unit = model.classes.tolist()
+    own = {w: of_unit[u] for w, u in model.units.frequent.items()} | model.own_class
+
+    class Memo(dict):
+        def __missing__(self, word: bytes) -> int:
+            if len(self) > 400_000:
+                self.clear()
+                self.update(own)
+            self[word] = number = of_unit[unit_of_rare(word)]
+            return number
+
+    return Memo(own)
+
+
+def class_bigrams(rows: DataFrame, end: int, classes: int) -> np.ndarray:
+    """Counts of neighbouring classes over all rows' ``classes``, the end before each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            for part in slices(batch, "classes"):
+                # every text closes with the end, so that the texts in a row count as one
+                ids = np.frombuffer(bytes([end]) + b"".join(part.column("classes").to_pylist()), np.uint8).astype(np.int64)
+                counts += np.bincount(ids[:-1] * classes + ids[1:], minlength=classes * classes)
+        cells = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], names=["cell", "n"])
+
+    found = rows.select("classes").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(classes * classes, np.int64)
+    table[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return table.reshape(classes, classes).astype(float)
+
+
+def with_gain(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with score in the place of classes."""
+    shared = rows.sparkSession.sparkContext.broadcast((model.gain, int(model.classes[model.units.of(END)])))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        gain, end = shared.value
+        sums = []
+        for own in batch.column("classes").to_pylist():
+            ids = np.frombuffer(bytes([end]) + own, np.uint8)
+            sums.append(float(gain[ids[:-1], ids[1:]].sum()))
+        return {c: batch.column(c) for c in batch.schema.names if c != "classes"} | {"gain": sums}
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "classes")
+    return arrow_map(rows, run, schema + ", gain double").withColumn(
+        "score", F.col("base_score") + F.col("gain")).drop("gain")
 
 
 def perplexity(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -325,9 +574,20 @@ def perplexity(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -
     crc = crc_of_id(id_column)
     train = docs.where(crc % 10 != 0).select(text)
     counts = written(word_counts(train, text), "counts")
-    model = fit(train, counts, text)
+    model, table, _ = _start(train, counts, text, CLASSES)
+    words = written(placed(train, model, table, text), "words")
+    common = words.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
+    model = replace(model, own_class={w: r["class"] for r in common if (w := bytes(r["word"])) in model.known})
     slim = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_whole"))
-    scored = score(slim, model, counts, ["_id"], "_whole")
+    rows = written(tagged(slim, model, words, ["_id"], "_whole"), "classes")
+    end = int(model.classes[model.units.of(END)])
+    table = class_bigrams(rows.where(crc_of_id("_id") % 10 != 0), end, CLASSES)
+    members = np.zeros(CLASSES)
+    np.add.at(members, model.classes[[u for w, u in model.units.frequent.items() if w in model.known]], 1)
+    for r in words.groupBy("class").count().collect():
+        members[r["class"]] += r["count"]
+    model = replace(model, gain=_gain(model, table, members))
+    scored = with_gain(rows, model)
     return scored.select(
         F.col("_id").alias(id_column), (crc_of_id(F.col("_id")) % 10 == 0).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score",
