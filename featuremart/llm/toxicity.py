@@ -311,14 +311,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text: str = "text", lang
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", language: str = "lang", **options) -> Model:
     """Model of the labelled sample.
 
-    At most SAMPLE_ROWS rows and SAMPLE_WORDS words, or one text, reach the driver's training.
+    At most SAMPLE_ROWS rows and SAMPLE_WORDS words reach the driver's training; a text
+    that doesn't fit any more is left out, and shorter ones after it still count.
     """
     vocabulary, texts, marks, languages, total = Vocabulary(), [], [], [], 0
     for row in labelled_sample(docs, labels, text, language).toLocalIterator():
-        words = vocabulary.ids(row["text"].encode() if row["text"] is not None else None)
-        total += len(words)
-        if texts and total > SAMPLE_WORDS:
-            break
+        text_bytes = row["text"].encode() if row["text"] is not None else None
+        length = len(plain_words(text_bytes))
+        if total + length > SAMPLE_WORDS:
+            continue
+        total += length
+        words = vocabulary.ids(text_bytes)
         texts.append(words)
         marks.append(int(row["toxic"] > 0))
         languages.append(row["language"])
