@@ -157,6 +157,14 @@ def set_probes(router: Router, indexed: np.ndarray, trials: np.ndarray, recall:
     router.probes = int(np.searchsorted(shares, recall) + 1)
 
 
+def routed(router: Router, vectors: np.ndarray, sizes: np.ndarray, least: int) -> list[np.ndarray]:
+    """Parts that each vector visits: ``probes``, and more while they hold fewer than ``least`` entries."""
+    ranked = router.ranked(vectors)
+    held = np.cumsum(sizes[ranked], axis=1)
+    stops = np.maximum(router.probes, (held < least).sum(axis=1) + 1)
+    return [parts[:stop] for parts, stop in zip(ranked, stops, strict=True)]
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -193,7 +201,8 @@ def search(vectors: DataFrame, is_query, id_column: str = "vec_id", vector: str
     Candidates are all rows but those with the query's own id; equal scores go to the
     smaller id.  Equal vectors are one entry of the index with their smallest ids, as
     many as a result can hold, so that a vector shared by very many rows is ranked once
-    and exactly.  Large parts and many queries are split into blocks.  Rows whose id or
+    and exactly.  A query visits more parts while those it visits hold no more entries
+    than it asks for.  Large parts and many queries are split into blocks.  Rows whose id or
     vector is null, whose vector is empty or zero, holds a null or a value that isn't
     finite, or has another length than most, take no part; rows equal in id and vector
     are one.  An empty table gives no rows.
@@ -216,10 +225,13 @@ def search(vectors: DataFrame, is_query, id_column: str = "vec_id", vector: str
         if not batch.num_rows:
             return None
         return {"id": batch.column("id"), "v": batch.column("v"),
-                "parts": list(shared.value.ranked(_matrix(batch.column("v")))[:, : shared.value.probes])}
+                "parts": routed(shared.value, _matrix(batch.column("v")), sizes, nearest + 1)}
 
     kind = rows.schema["v"].dataType.simpleString()
-    indexed = arrow_map(entries, home, f"ids array<long>, v {kind}, part int")
+    indexed = written(arrow_map(entries, home, f"ids array<long>, v {kind}, part int"), "indexed")
+    sizes = np.zeros(router.parts, np.int64)
+    for r in indexed.groupBy("part").count().collect():  # a row for each part, 256 at most
+        sizes[r["part"]] = r["count"]
     asked = arrow_map(rows.where(is_query(F.col("id"))), routes, f"id long, v {kind}, parts array<int>").select(
         "id", "v", F.explode("parts").alias("part"))
     row_blocks = indexed.groupBy("part").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
