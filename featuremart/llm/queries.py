@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from featuremart.llm import chat, decontaminate, licenses, lm, mixing, neighbours, repeats, sharding, simhash, toxicity
+from featuremart.llm import (
+    chat, decontaminate, filter_audit, licenses, lm, mixing, neighbours, repeats, sharding, simhash, structure, topk,
+    toxicity,
+)
 from featuremart.llm.common import crc_of_id, table
 
 QUERIES: dict = {"pipeline": corpus_pipeline.run}
@@ -156,3 +159,126 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN k USING (row) LEFT JOIN m USING (row)
 """
+
+
+@query
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+ORACLES["op11_topk"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024.0::DOUBLE * x::DOUBLE)) AS ints FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.ints, c.ints) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+             vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+e AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+f AS (
+  SELECT part, CAST(len(words) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INT)
+         + 4 * CAST(100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text) AS INT)
+         + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(e.first < d.doc_id, false) AS INT) AS bits,
+         coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM d JOIN e USING (text) LEFT JOIN l ON d.doc_id = l.doc_id),
+n AS (SELECT part, bits, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM f GROUP BY part, bits),
+b AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT v.name || w.name || x.name || y.name || z.name AS filter_order,
+             [v.bit, w.bit, x.bit, y.bit, z.bit] AS bits
+      FROM b v, b w, b x, b y, b z WHERE v.bit | w.bit | x.bit | y.bit | z.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+      FROM o, (SELECT unnest([1, 2, 3, 4, 5])::INTEGER AS step)),
+c AS (
+  SELECT part, filter_order, step, own,
+         CAST(coalesce(sum(n) FILTER (bits & (before | own) = 0), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (bits & own <> 0 AND bits & before = 0), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (bits & own <> 0 AND bits & before <> 0), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (bits = own), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(n.good) FILTER (bits & own <> 0 AND bits & before = 0), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(n.toxic) FILTER (bits & own <> 0 AND bits & before = 0), 0) AS BIGINT) AS toxic_lost
+  FROM n, s GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM c
+"""
+
+
+@query
+def op13_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    audits, turns = structure.repair(structure.damage(rows), rows)
+    hashes = structure.digests(turns)
+    return audits.join(hashes.alias("h"), audits["conv_id"].eqNullSafe(hashes["conv_id"]), "left").select(
+        audits["conv_id"], *[c for c in audits.columns if c != "conv_id"],
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+ORACLES["op13_structure"] = r"""
+WITH RECURSIVE
+z AS (SELECT list(c ORDER BY i) AS crc FROM (
+  SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                        lambda c, x: xor(c // 2, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END)) AS c
+  FROM (SELECT unnest(range(256)) AS i))),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda b: ascii(b)::BIGINT)),
+        lambda c, b: xor(c // 256, crc[(xor(c, b) & 255) + 1]))) % 20 AS hurt FROM k, z),
+d AS (SELECT conv_id, turn, CASE WHEN hurt = 4 THEN 'user' ELSE role END AS role,
+             CASE hurt WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE WHEN hurt = 3 THEN [1, 2] ELSE [1] END) AS copy
+      FROM h WHERE hurt <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+             NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+             coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1), 'ua') AS pair FROM n),
+c AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+             count_if(blank) AS blank, count_if(NOT blank AND again) AS duplicate,
+             count_if(NOT blank AND NOT again AND cut) AS truncated,
+             count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv_id),
+ins(a, b, cost, letters, said) AS (VALUES
+  (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 3, 'I', chr(10) || 'user:'), (0, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 2, 3, 'I', chr(10) || 'user:'), (1, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (2, 3, 3, 'I', chr(10) || 'assistant:'), (3, 2, 3, 'I', chr(10) || 'user:')),
+nxt(a, r, b, name) AS (VALUES (0, 's', 1, ''), (0, 'u', 2, 'user'), (1, 'u', 2, 'user'), (2, 'a', 3, 'assistant'),
+                              (3, 'u', 2, 'user')),
+ed AS (SELECT a, b, 'K' AS letter, 0 AS cost, r, name FROM nxt UNION ALL SELECT a, b, 'R', 3, r, name FROM nxt WHERE r <> 's'
+       UNION ALL SELECT DISTINCT a, a, 'D', 4, '', '' FROM ins),
+rec AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS s, {'cost': 0, 'audit': '', 'said': ''} AS best
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT rec.conv_id, f.i, ed.b, min({
+    'cost': rec.best.cost + ins.cost + ed.cost + CASE WHEN ed.letter <> 'D' AND f.cut THEN 3 ELSE 0 END,
+    'audit': rec.best.audit || ins.letters || ed.letter,
+    'said': rec.best.said || ins.said || CASE ed.letter WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || f.role || ':' || f.text
+                                         ELSE chr(10) || ed.name || ':' || f.text END})
+  FROM rec JOIN f ON f.conv_id IS NOT DISTINCT FROM rec.conv_id AND f.i = rec.i + 1
+  JOIN ins ON ins.a = rec.s
+  JOIN ed ON ed.a = ins.b AND (ed.letter = 'D' OR NOT (f.blank OR f.again) AND (ed.letter = 'R' OR ed.r = f.initial))
+  GROUP BY rec.conv_id, f.i, ed.b),
+e AS (SELECT rec.conv_id, rec.i, min({'cost': best.cost + ins.cost, 'audit': best.audit || ins.letters,
+                                      'said': best.said || ins.said}) AS best
+      FROM rec JOIN ins ON ins.a = rec.s AND ins.b IN (0, 3) GROUP BY rec.conv_id, rec.i)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, best.cost::BIGINT AS cost,
+       best.audit AS audit, sha256(substr(best.said, 2)) AS repaired_sha256
+FROM e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id WHERE e.i = coalesce(c.n, 0)
+"""

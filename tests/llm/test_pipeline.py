@@ -23,8 +23,12 @@ CONTRACT = {
     "op8_mixture": {"doc_id", "size", "source_size", "target", "taken"},
     "op9_repeats": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
     "op10_decontaminate": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
+    "op11_topk": {"query_id", "rank", "vec_id", "score"},
+    "op12_filter_audit": {"part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost",
+                          "toxic_lost", "shapley"},
+    "op13_structure": {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
 }
-PER_DOCUMENT = [q for q in CONTRACT if q not in ("op2_licenses", "op3_neighbours", "op5_chat")]
+PER_DOCUMENT = [q for q in CONTRACT if "doc_id" in CONTRACT[q] and q != "op2_licenses"]
 
 
 @pytest.fixture(scope="module")
