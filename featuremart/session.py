@@ -67,6 +67,12 @@ def file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it."""
+    system, place = file_system(spark, path)
+    system.delete(place, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """A folder for all intermediates written inside the block; it is removed at the end.
@@ -79,8 +85,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _RUN.reset(token)
-        system, place = file_system(spark, folder)
-        system.delete(place, True)
+        removed(spark, folder)
 
 
 def materialise(df: DataFrame, name: str = "intermediate") -> DataFrame:
