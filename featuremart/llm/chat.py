@@ -25,7 +25,7 @@ OPEN, MIDDLE, CLOSE = "<s>[ROLE]", "[/ROLE]", "</s>"
 #: Strings that steer a model; inside a text they get a backslash behind their bracket.
 CONTROL = r"(/?(?:s>|INST\]|ROLE\]))"
 ESCAPE, UNESCAPE = r"([<\[])(\\*)" + CONTROL, r"([<\[])\\(\\*)" + CONTROL
-#: Names that stand for a role.
+#: Names that stand for a role in layouts that say who a turn is from.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -101,7 +101,7 @@ def _text(value) -> str:
 
 def _turn(record: dict, m: Mapping) -> dict[str, str]:
     role = _text(_at(record, m.role))
-    return {"role": ROLES.get(role, role), "text": _text(_at(record, m.text))}
+    return {"role": ROLES.get(role, role) if m.role == "from" else role, "text": _text(_at(record, m.text))}
 
 
 def turns_of(record: dict, m: Mapping) -> list[dict[str, str]]:
