@@ -21,6 +21,8 @@ WORD_TABLE = bytes(
 )
 #: Runs of anything but ASCII white space; `bytes.split()` finds the same runs.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
+#: Runs of ASCII letters, digits and all non-ASCII characters, of any case.
+PLAIN_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def spaced_words(text: bytes | None) -> list[bytes]:

@@ -8,6 +8,7 @@ words, each keeps its largest response, and a linear layer turns those into a sc
 from __future__ import annotations
 
 import zlib
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.common import arrow_map, as_bytes, crc_of_id, plain_words, slices
+from featuremart.llm.common import PLAIN_WORD, arrow_map, as_bytes, crc_of_id, plain_words, slices
 
 BUCKETS = 1 << 17
 DIMENSIONS = 16
@@ -26,6 +27,7 @@ PAD = BUCKETS
 #: Bounds of the labelled sample that the model is fitted on; scores cover all rows.
 SAMPLE_ROWS = 8_000
 SAMPLE_WORDS = 5_000_000
+SAMPLE_BYTES = 64 << 20
 EPOCHS = 8
 CHUNK = 1 << 16
 
@@ -38,24 +40,27 @@ class Vocabulary:
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.rows = [(PAD,) * (1 + len(PREFIXES))]
-        self.built = np.array(self.rows, np.int32)
+        self.buckets = array("i", [PAD] * (1 + len(PREFIXES)))
+        self.built = np.empty((0, 1 + len(PREFIXES)), np.int32)
+
+    def __len__(self) -> int:
+        return len(self.index) + 1
 
     def ids(self, text: bytes | None) -> np.ndarray:
         index, out = self.index, []
         for word in plain_words(text):
             number = index.get(word)
             if number is None:
-                number = index[word] = len(self.rows)
+                number = index[word] = len(index) + 1
                 letters = word.decode()
-                self.rows.append((zlib.crc32(word) % BUCKETS, *(
+                self.buckets.extend((zlib.crc32(word) % BUCKETS, *(
                     zlib.crc32(letters[:n].encode(), n) % BUCKETS if len(letters) >= n else PAD for n in PREFIXES)))
             out.append(number)
         return np.array(out, np.int32)
 
     def pieces(self) -> np.ndarray:
-        if len(self.built) < len(self.rows):
-            self.built = np.concatenate([self.built, np.array(self.rows[len(self.built):], np.int32)])
+        if len(self.built) < len(self):
+            self.built = np.array(self.buckets, np.int32).reshape(len(self), -1)
         return self.built
 
 
@@ -288,44 +293,60 @@ def train(texts: list[np.ndarray], pieces: np.ndarray, labels: np.ndarray, langu
     return model
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, text: str = "text", language: str = "lang",
-                    rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(order, toxic, language, text): the labelled training rows with the smallest id hashes.
+def labelled_rows(docs: DataFrame, labels: DataFrame, text: str = "text", language: str = "lang",
+                  rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, order, toxic, language, text, hash) of the labelled training rows with the smallest id hashes.
 
-    Rows whose CRC32 of the id modulo 3 is 1 are held out.  Null labels are none; of
-    several labels of an id the largest counts.
+    At most ``rows`` ids.  Rows whose CRC32 of the id modulo 3 is 1 are held out.  Null
+    labels are none; of several labels of an id the largest counts.
     """
-    order = F.xxhash64("doc_id")
     chosen = (
         labels.where((crc_of_id("doc_id") % 3 != 1) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
-        .withColumn("order", order).orderBy("order", "doc_id").limit(rows)
+        .withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(rows)
     )
     spoken = F.col(language).cast("string") if language in docs.columns else F.lit(None).cast("string")
-    joined = docs.select("doc_id", F.col(text).alias("text"), spoken.alias("language")).join(
-        F.broadcast(chosen), "doc_id")  # at most ``rows`` rows
+    return docs.select("doc_id", F.col(text).alias("text"), spoken.alias("language")).join(
+        F.broadcast(chosen), "doc_id").withColumn("hash", F.xxhash64("text"))  # at most ``rows`` rows are broadcast
+
 
-    return joined.select("order", "toxic", "language", "text").orderBy("order", F.xxhash64("text")).limit(rows)
+def labelled_sample(docs: DataFrame, labels: DataFrame, text: str = "text", language: str = "lang",
+                    rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(order, toxic, language, text) of the rows to learn from, in order.
+
+    The words and bytes of at most ``rows`` rows are counted first.  In their order every
+    row that still fits SAMPLE_WORDS and SAMPLE_BYTES is taken, and only those texts are
+    fetched.  Rows of one id and text count once.
+    """
+    found = labelled_rows(docs, labels, text, language, rows)
+    sizes = found.groupBy("order", "hash", "doc_id").agg(
+        F.max(F.regexp_count("text", F.lit(PLAIN_WORD))).alias("words"),
+        F.max(F.octet_length("text")).alias("bytes")).orderBy("order", "hash", "doc_id").limit(rows).collect()
+    taken, words, size = [], 0, 0
+    for row in sizes:
+        if words + (row["words"] or 0) <= SAMPLE_WORDS and size + (row["bytes"] or 0) <= SAMPLE_BYTES:
+            words, size = words + (row["words"] or 0), size + (row["bytes"] or 0)
+            taken.append((row["doc_id"], row["hash"]))
+    fits = docs.sparkSession.createDataFrame(taken, found.select("doc_id", "hash").schema)
+    return (found.join(F.broadcast(fits), ["doc_id", "hash"]).groupBy("order", "hash", "doc_id")
+            .agg(F.first("toxic").alias("toxic"), F.min("language").alias("language"), F.first("text").alias("text"))
+            .orderBy("order", "hash", "doc_id").select("order", "toxic", "language", "text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", language: str = "lang", **options) -> Model:
     """Model of the labelled sample.
 
-    At most SAMPLE_ROWS rows and SAMPLE_WORDS words reach the driver's training; a text
-    that doesn't fit any more is left out, and shorter ones after it still count.
+    At most SAMPLE_ROWS rows, SAMPLE_WORDS words and SAMPLE_BYTES bytes reach the driver; a
+    text that doesn't fit any more is left out, and shorter ones after it still count.
     """
-    vocabulary, texts, marks, languages, total = Vocabulary(), [], [], [], 0
+    vocabulary, texts, marks, languages = Vocabulary(), [], [], []
     for row in labelled_sample(docs, labels, text, language).toLocalIterator():
-        text_bytes = row["text"].encode() if row["text"] is not None else None
-        length = len(plain_words(text_bytes))
-        if total + length > SAMPLE_WORDS:
-            continue
-        total += length
-        words = vocabulary.ids(text_bytes)
-        texts.append(words)
+        texts.append(vocabulary.ids(row["text"].encode() if row["text"] is not None else None))
         marks.append(int(row["toxic"] > 0))
         languages.append(row["language"])
-    return train(texts, vocabulary.pieces(), np.array(marks, np.int64), languages, **options)
+    pieces = vocabulary.pieces()
+    del vocabulary  # its words aren't needed any more
+    return train(texts, pieces, np.array(marks, np.int64), languages, **options)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", language: str = "lang") -> DataFrame:
@@ -345,7 +366,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", language: str = "la
         model, words = made
         values = []
         for part in slices(batch, "_text", 1 << 20):
-            if len(words.rows) > 200_000:
+            if len(words) > 200_000:
                 words.clear()
             texts = [words.ids(t) for t in as_bytes(part.column("_text"))]
             values.append(model.scores(texts, words.pieces()))
