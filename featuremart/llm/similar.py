@@ -1,13 +1,21 @@
-"""Near copies by exact Jaccard similarity of word shingles; MinHash bands propose the pairs.
+"""Near copies by exact Jaccard similarity of word shingles; deletion variants of SimHash propose the pairs.
 
-Texts at similarity 0.8 differ in some ten of 64 SimHash bits, so that no split of 64 bits
-into segments both finds them and tells them from chance.  A band of four minima agrees
-with probability 0.41 at that similarity; one of twenty does with 0.99997.
+Shingle sets at similarity J differ in arccos(2J / (1 + J)) / pi of their SimHash bits: 15 %
+at 0.8, which is ten of 64 bits, so that few segments of 64 bits either miss such pairs or
+tell nothing apart.  The fingerprint here is as long as it takes: it is cut into so many
+segments that one of them differs by at most one bit with the wanted probability, and a
+segment has as many bits as the number of texts.  A segment is indexed with one of its
+weakest bits wiped out, those whose votes were closest: a bit that differs between similar
+texts is nearly always one of them.  Equal signatures meet in an equality shuffle, and the
+similarity is verified on the shingles.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +28,24 @@ from featuremart.llm.components import connected_components
 
 WIDTH = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 20, 4
-#: Members of a band that each one is compared with: the next ones in the order of two other bands.
-TOGETHER = 32
-_RNG = np.random.default_rng(42)
-_FACTORS = _RNG.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_MASKS = _RNG.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64)
+#: Probability with which a pair at exactly the similarity is to be proposed.
+RECALL = 0.95
+#: Bits of a segment that are wiped out, one at a time.
+WEAK = 8
+#: Members of a signature that are all compared; larger groups go through a representative and an exact index.
+DIRECT = 32
+#: Bits beside the segments that proposed pairs are held against, and how many may differ (ten do on average at 0.8).
+CHECK, CHECK_DISTANCE = 64, 21
+#: Sets of a block of the exact comparison, about.
+BLOCK = 1_024
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def _mixed(z: np.ndarray) -> np.ndarray:
+    z = (z ^ (z >> np.uint64(30))) * _M1
+    z = (z ^ (z >> np.uint64(27))) * _M2
+    return z ^ (z >> np.uint64(31))
 
 
 def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
@@ -33,19 +53,12 @@ def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
     words = spaced_words(text)
     if not words:
         return np.empty(0, np.uint64)
-    runs = map(b" ".join, zip(*(words[i:] for i in range(width)))) if len(words) >= width else [b" ".join(words)]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, runs), np.uint64))
-
-
-def bands(values: np.ndarray) -> list[int]:
-    """Signed 64-bit key of each band of minima; none for an empty set."""
-    if not len(values):
-        return []
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(values), 2_048):
-        np.minimum(least, ((values[None, at:at + 2_048] ^ _MASKS) * _FACTORS).min(axis=1), out=least)
-    keys = [xxhash.xxh64_intdigest(row.tobytes(), seed=i) for i, row in enumerate(least.reshape(BANDS, ROWS))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+    of_word = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    size = min(width, len(words))
+    run = np.full(len(words) - size + 1, size, np.uint64)
+    for i in range(size):
+        run = run * _ODD + of_word[i:len(words) - size + 1 + i]
+    return np.unique(_mixed(run))
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -54,107 +67,340 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
-def sketches(docs: DataFrame, keep: list[str], text: str, width: int = WIDTH) -> DataFrame:
-    """``keep`` and sig (equal for equal shingle sets), size and bands of every row."""
+@dataclass(frozen=True)
+class Layout:
+    """Segments of a fingerprint; the check bits come after them."""
+
+    bits: int
+    segments: int
+
+    @property
+    def blocks(self) -> int:
+        """64-bit words that hold segments and check bits."""
+        return -(-(self.bits * self.segments) // 64) + CHECK // 64
+
+
+def layout(texts: int, similarity: float = SIMILARITY, recall: float = RECALL) -> Layout:
+    """Segments as long as the logarithm of the number of texts, as many as the recall takes.
+
+    The share of single differing bits that are among both texts' WEAK weakest falls as the
+    root of the segment's length (simulated: 0.76 at 20 bits, 0.69 at 24, 0.43 to 0.6 at 32).
+    """
+    bits = max(16, math.ceil(math.log2(max(2, texts))))
+    apart = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    none, one = (1 - apart) ** bits, bits * apart * (1 - apart) ** (bits - 1)
+    chance = none + one * min(1.0, WEAK / bits) ** 0.5
+    return Layout(bits, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
+
+
+def votes(values: np.ndarray, blocks: int) -> np.ndarray:
+    """For each bit the number of hashes that have it, twice, less their number."""
+    total = np.zeros((blocks, 64), np.int64)
+    seeds = (np.arange(1, blocks + 1, dtype=np.uint64) * _ODD)[:, None]
+    for at in range(0, len(values), 255 * 16):
+        mixed = _mixed(values[None, at:at + 255 * 16] + seeds)
+        bits = np.unpackbits(mixed.view(np.uint8).reshape(blocks, -1, 8), axis=2, bitorder="little")
+        for start in range(0, bits.shape[1], 255):  # sums of 255 ones fit a byte
+            total += bits[:, start:start + 255].sum(axis=1, dtype=np.uint8)
+    return (2 * total - len(values)).ravel()
+
+
+def packed(flags: np.ndarray) -> list[int]:
+    """Flags as signed 64-bit words."""
+    return np.packbits(flags, bitorder="little").view("<i8").tolist()
+
+
+def weakest(margins: np.ndarray, cut: Layout) -> np.ndarray:
+    """Flags of each segment's WEAK bits with the closest votes."""
+    inside = np.abs(margins[:cut.bits * cut.segments]).reshape(cut.segments, cut.bits)
+    flags = np.zeros((cut.segments, cut.bits), bool)
+    count = min(WEAK, cut.bits)
+    np.put_along_axis(flags, np.argsort(inside, axis=1, kind="stable")[:, :count], True, axis=1)
+    out = np.zeros(len(margins), bool)
+    out[:flags.size] = flags.ravel()
+    return out
+
+
+def sketches(docs: DataFrame, keep: list[str], text: str, cut: Layout, width: int = WIDTH) -> DataFrame:
+    """``keep`` and sig (equal for equal shingle sets), size, fp and weak (bits) of every row."""
     source = docs.select(*keep, F.col(text).alias("_text"))
     schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes if c != "_text")
 
     def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"sig": [], "size": [], "bands": []}
+        out: dict[str, list] = {"sig": [], "size": [], "fp": [], "weak": []}
         for part in slices(batch, "_text"):
             for value in as_bytes(part.column("_text")):
                 found = shingles(value, width)
+                margins = votes(found, cut.blocks)
                 out["sig"].append(xxhash.xxh3_64_intdigest(found.tobytes()))
                 out["size"].append(len(found))
-                out["bands"].append(bands(found))
+                out["fp"].append(packed(margins > 0))
+                out["weak"].append(packed(weakest(margins, cut)))
         out["sig"] = np.array(out["sig"], np.uint64).view(np.int64)
         return {c: batch.column(c) for c in keep} | out
 
-    return arrow_map(source, run, schema + ", sig long, size long, bands array<long>")
+    return arrow_map(source, run, schema + ", sig long, size long, fp array<long>, weak array<long>")
 
 
-def proposed(sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b, step): pairs of different sets that share a band, with their least distance in its order.
+def signatures(sets: DataFrame, cut: Layout) -> DataFrame:
+    """(signature, sig, check, size): a row for every segment and each of its weak bits, wiped out."""
 
-    Members of a band are read in the order of two other bands, which brings copies of one
-    text together.  A task keeps the last TOGETHER rows only.
-    """
-    at = [F.element_at("bands", (F.col("i") + k) % BANDS + 1) for k in range(3)]
-    rows = sets.where("size > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))).select(
-        at[0].alias("band"), at[1].alias("next"), at[2].alias("after"), "sig", "size")
-    ordered = rows.repartition("band").sortWithinPartitions("band", "next", "after", "sig").select("band", "sig", "size")
+    def expanded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words, weak = (np.asarray(batch.column(c).flatten(), dtype=np.int64).reshape(-1, cut.blocks) for c in ("fp", "weak"))
+
+        def by_segment(x: np.ndarray) -> np.ndarray:
+            bits = np.unpackbits(x.view(np.uint8), axis=1, bitorder="little")[:, :cut.bits * cut.segments]
+            return bits.reshape(-1, cut.segments, cut.bits)
+
+        values = by_segment(words) @ (np.int64(1) << np.arange(cut.bits, dtype=np.int64))
+        row, segment, place = np.nonzero(by_segment(weak))
+        key = (values[row, segment] & ~(np.int64(1) << place)) | (place << 48) | (segment << 54)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (key, np.asarray(batch.column("sig"))[row], words[row, -1],
+                                   np.asarray(batch.column("size"))[row])], names=["signature", "sig", "check", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = [np.empty(0, np.int64)] * 3
         for batch in batches:
-            old = len(last[0])
-            band, sig, size = (np.concatenate([x, c.to_numpy()]) for x, c in zip(last, batch.columns, strict=True))
-            found: list[list[np.ndarray]] = [[], [], []]
-            for step in range(1, min(TOGETHER, len(band) - 1) + 1):
-                start = max(0, old - step)  # the later row is one of this batch
-                a, b = slice(start, len(band) - step), slice(start + step, len(band))
-                alike = np.flatnonzero((band[a] == band[b]) & (
-                    np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b])))
-                found[0].append(np.maximum(sig[a], sig[b])[alike])
-                found[1].append(np.minimum(sig[a], sig[b])[alike])
-                found[2].append(np.full(len(alike), step, np.int64))
-            last = [x[-TOGETHER:] for x in (band, sig, size)]
-            if found[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], names=["a", "b", "step"])
-
-    return ordered.mapInArrow(run, "a long, b long, step long").groupBy("a", "b").agg(F.min("step").alias("step"))
-
-
-def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b): the pairs whose texts (sig, whole) have at least the similarity."""
-    both = pairs.select("a", "b").join(texts.select(F.col("sig").alias("a"), F.col("whole").alias("x")), "a").join(
-        texts.select(F.col("sig").alias("b"), F.col("whole").alias("y")), "b").select("a", "b", "x", "y")
+            for at in range(0, batch.num_rows, 1_024):
+                yield expanded(batch.slice(at, 1_024))
+
+    return sets.select("sig", "size", "fp", "weak").mapInArrow(run, "signature long, sig long, check long, size long")
+
+
+def _close(check_a, check_b, size_a, size_b, similarity: float) -> np.ndarray:
+    """Which pairs may have the similarity by size and check bits."""
+    return (np.minimum(size_a, size_b) >= similarity * np.maximum(size_a, size_b)) & (
+        np.bitwise_count((check_a ^ check_b).view(np.uint64)) <= CHECK_DISTANCE)  # of signed words it counts the absolute value's
+
+
+def _together(rows: tuple[np.ndarray, ...], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Close pairs of the members of equal keys; ``rows`` are key, sig, check and size, sorted."""
+    found: list = [[], []]
+    step = 1
+    while True:
+        key, sig, check, size = rows
+        same = key[step:] == key[:-step]
+        if not same.any():
+            break
+        near = np.flatnonzero(same)
+        near = near[_close(check[near + step], check[near], size[near + step], size[near], similarity)]
+        found[0].append(sig[near + step])
+        found[1].append(sig[near])
+        step += 1
+    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in found)
+
+
+def _propose(batches: Iterator[pa.RecordBatch], similarity: float, direct: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (kind 0: a, b) of small groups and of large ones' members with their first; first and member of large ones (kind 1)."""
+    waiting: list[tuple[np.ndarray, ...]] = []
+    count, open_ = 0, None  # the large group that the rows before ended in: its key and first member
+
+    def out(kind: int, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        if kind == 0:
+            x, y = np.maximum(x, y), np.minimum(x, y)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)], names=["kind", "x", "y"])
+
+    def large(rows: tuple, first: tuple) -> Iterator[pa.RecordBatch]:
+        key, sig, check, size = rows
+        near = (sig != first[1]) & _close(check, first[2], size, first[3], similarity)
+        yield out(0, sig[near], np.full(near.sum(), first[1]))
+        yield out(1, np.full(len(sig), first[1]), sig)
+
+    def handle(rows: tuple, last: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal waiting, count, open_
+        waiting, count = [], 0
+        if open_ is not None and len(rows[0]):
+            goes_on = int(np.searchsorted(rows[0], open_[0], side="right"))
+            if goes_on:
+                yield from large(tuple(x[:goes_on] for x in rows), open_)
+                rows = tuple(x[goes_on:] for x in rows)
+            if len(rows[0]):
+                open_ = None
+        key = rows[0]
+        if not len(key):
+            return
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        lengths = np.diff(np.r_[starts, len(key)])
+        if not last and lengths[-1] <= direct:  # may go on in the next rows
+            waiting = [tuple(x[starts[-1]:] for x in rows)]
+            count = int(lengths[-1])
+            rows = tuple(x[:starts[-1]] for x in rows)
+            starts, lengths = starts[:-1], lengths[:-1]
+        of_row = np.repeat(lengths, lengths)
+        few = (of_row > 1) & (of_row <= direct)
+        if few.any():
+            yield out(0, *_together(tuple(x[few] for x in rows), similarity))
+        for start, length in zip(starts[lengths > direct], lengths[lengths > direct], strict=True):
+            member = tuple(x[start:start + length] for x in rows)
+            first = tuple(x[0] for x in member)
+            yield from large(member, first)
+            if not last and start + length == len(rows[0]) and not waiting:
+                open_ = first
+
+    for batch in batches:
+        waiting.append(tuple(c.to_numpy() for c in batch.columns))
+        count += batch.num_rows
+        if count >= 1 << 16:
+            yield from handle(tuple(np.concatenate(x) for x in zip(*waiting, strict=True)), False)
+    if waiting:
+        yield from handle(tuple(np.concatenate(x) for x in zip(*waiting, strict=True)), True)
+
+
+def proposed(sets: DataFrame, cut: Layout, similarity: float = SIMILARITY, direct: int = DIRECT) -> DataFrame:
+    """(kind, x, y): pairs of sets that share a signature (0), and first and other members of large groups (1).
+
+    A task reads its signatures in order and keeps one small group.
+    """
+    ordered = signatures(sets.where("size > 0"), cut).repartition("signature").sortWithinPartitions("signature", "sig")
+    return ordered.mapInArrow(partial(_propose, similarity=similarity, direct=direct), "kind int, x long, y long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): the different pairs (x, y) whose sets (sig, shingles) have at least the similarity."""
+    both = pairs.select("x", "y").distinct().join(
+        sets.select(F.col("sig").alias("x"), F.col("shingles").alias("p")), "x").join(
+        sets.select(F.col("sig").alias("y"), F.col("shingles").alias("q")), "y").select("x", "y", "p", "q")
 
     def run(batch: pa.RecordBatch) -> dict:
-        alike = np.zeros(batch.num_rows, bool)
-        at = 0
-        for part in slices(batch, "x"):
-            for some in slices(part, "y"):
-                for x, y in zip(as_bytes(some.column("x")), as_bytes(some.column("y")), strict=True):
-                    alike[at] = jaccard(shingles(x, width), shingles(y, width)) >= similarity
-                    at += 1
-        return {c: batch.column(c).filter(pa.array(alike)) for c in ("a", "b")}
+        p, q = batch.column("p"), batch.column("q")
+        alike = np.array([jaccard(np.asarray(p[i].values), np.asarray(q[i].values)) >= similarity
+                          for i in range(batch.num_rows)], bool)
+        return {"a": batch.column("x").filter(pa.array(alike)), "b": batch.column("y").filter(pa.array(alike))}
 
     return arrow_map(both, run, "a long, b long")
 
 
+def shingles_of(docs: DataFrame, key: list, text: str, places: DataFrame, width: int) -> DataFrame:
+    """(sig, shingles) of the rows at ``places`` (sig, _key, _content), one row each."""
+    found = docs.select(*key, F.col(text).alias("_text")).join(places, ["_key", "_content"]).select("sig", "_text")
+
+    def run(batch: pa.RecordBatch) -> dict:
+        values = [shingles(t, width).view(np.int64) for part in slices(batch, "_text") for t in as_bytes(part.column("_text"))]
+        return {"sig": batch.column("sig"), "shingles": values}
+
+    return arrow_map(found, run, "sig long, shingles array<long>").dropDuplicates(["sig"])
+
+
+def _compared(block: pa.Table, similarity: float, schema: pa.Schema) -> pa.Table:
+    """Links of the sets (sig, root, shingles) of a block that aren't of one root yet; as many as there are sets, at most.
+
+    Sizes of intersections are products of the sets' rows of zeros and ones.
+    """
+    root, sig = (np.asarray(block.column(c)) for c in ("root", "sig"))
+    if len(root) < 2 or root.min() == root.max():
+        return schema.empty_table()
+    lists = block.column("shingles").combine_chunks()
+    sizes = np.asarray(pa.compute.list_value_length(lists), dtype=np.int64)
+    _, column, count = np.unique(np.asarray(lists.flatten()), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1  # what one set has alone counts for no intersection
+    shared = count[column] > 1
+    column, row = number[column[shared]], np.repeat(np.arange(len(sizes)), sizes)[shared]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    both = np.zeros((len(sizes), len(sizes)), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4_096):
+        part = slice(*np.searchsorted(column, [at, at + 4_096]))
+        marks = np.zeros((len(sizes), 4_096), np.float32)
+        marks[row[part], column[part] - at] = 1
+        both += marks @ marks.T
+    all_of = sizes[:, None] + sizes[None, :] - both.astype(np.float64)
+    near = (both >= similarity * all_of) & (root[:, None] != root[None, :]) | np.eye(len(sizes), dtype=bool)
+    label = np.arange(len(sizes))
+    while True:
+        least = np.where(near, label[None, :], len(sizes)).min(axis=1)
+        least = np.minimum(least, least[least])
+        if (least == label).all():
+            break
+        label = least
+    moved = label != np.arange(len(sizes))
+    return pa.table([pa.array(sig[moved]), pa.array(sig[label[moved]])], schema=schema)
+
+
+def apart(sets: DataFrame, groups: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """(a, b): what links sets (sig, root, shingles) of different roots within ``groups`` (first, sig), exactly.
+
+    Two sets at the similarity share one of their rarest shingles, of which a share of
+    1 - similarity and one more are looked at.  So sets that share none of these with a set
+    of another root leave first: a passage that many texts have in common is not rare and
+    keeps nobody.  Those that stay are compared in blocks of bounded size.
+    """
+    long = sets.select("sig", F.explode("shingles").alias("shingle"))
+    counts = long.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    size = F.size("shingles")
+    kept = size - F.ceil(size * F.lit(similarity) - 1e-9) + 1
+    # shingles of one set alone come first in the order of rareness
+    shared = long.join(counts, "shingle").groupBy("sig").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("rare"))
+    rare = sets.select("sig", "root", size.alias("size"), kept.alias("kept")).join(shared, "sig")
+    first = F.greatest(F.lit(0), F.col("kept") - (F.col("size") - F.size("rare"))).cast("int")
+    rare = rare.select("sig", "root", F.explode(F.slice("rare", F.lit(1), first)).alias("s")).select("sig", "root", "s.shingle")
+    split = rare.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most")).where(
+        "least < most").select("shingle")
+    members = written(groups.join(rare.join(split, "shingle", "left_semi").select("sig").distinct(), "sig"), "members")
+    blocks = members.groupBy("first").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")
+    dealt = members.join(blocks, "first").select("first", "sig", own.alias("own"), F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "first", "sig", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    return dealt.join(sets.select("sig", "root", "shingles"), "sig").groupBy("first", "low", "high").applyInArrow(
+        lambda block: _compared(block, similarity, schema), "a long, b long")
+
+
+def near_copy_roots(docs: DataFrame, sets: DataFrame, key: list, text: str, cut: Layout, width: int,
+                    similarity: float, direct: int = DIRECT) -> DataFrame:
+    """(node, root) of the sets that are linked to others, directly or not.
+
+    Small groups of a signature are compared whole.  A large one is held against its first
+    member; where that leaves members apart, ``apart`` compares them exactly, so that no
+    pair is lost to the size of a group.
+    """
+    found = written(proposed(sets, cut, similarity, direct), "proposed")
+    pairs = written(found.where("kind = 0").select("x", "y").distinct(), "pairs")
+    members = written(found.where("kind = 1").select(F.col("x").alias("first"), F.col("y").alias("sig")).distinct(), "large")
+    asked = pairs.select(F.col("x").alias("sig")).union(pairs.select("y")).union(members.select("sig")).distinct()
+    places = sets.join(asked, "sig").select("sig", "best._key", "best._content")
+    texts = written(shingles_of(docs, key, text, places, width), "shingles")
+    roots = connected_components(verified(pairs, texts, similarity))
+    of_member = members.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select(
+        "first", "sig", F.coalesce("root", "sig").alias("root"))
+    split = of_member.groupBy("first").agg(F.min("root").alias("least"), F.max("root").alias("most")).where(
+        "least < most").select("first")
+    open_ = written(of_member.join(split, "first", "left_semi"), "open")
+    if open_.isEmpty():
+        return roots
+    root_of = open_.select("sig", "root").distinct()
+    linked = apart(texts.join(root_of, "sig"), open_.select("first", "sig"), similarity)
+    of = [root_of.select(F.col("sig").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b")]
+    over = connected_components(linked.join(of[0], "a").join(of[1], "b").select(
+        F.col("root_a").alias("a"), F.col("root_b").alias("b"))).select(
+        F.col("node").alias("root"), F.col("root").alias("over"))
+    alone = root_of.where("sig = root").select(F.col("sig").alias("node"), "root")
+    return roots.union(alone).distinct().join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root"))
+
+
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WIDTH,
-             similarity: float = SIMILARITY) -> DataFrame:
+             similarity: float = SIMILARITY, recall: float = RECALL, direct: int = DIRECT) -> DataFrame:
     """One row of each component of similar texts, with the columns of ``docs``.
 
     Texts are linked at Jaccard similarity ``similarity`` or more of their different
-    lower-cased shingles; texts without words are equal.  Neighbours in the bands are
-    verified first, then all pairs that these have not connected, so that a large group of
-    copies is not compared pair by pair.  The row with the smallest id stays, a null id
-    last; rows that share it are ordered by a hash of their content, and of rows equal in
-    every column one stays.
+    lower-cased shingles; texts without words are equal.  A pair at exactly the similarity
+    is found with probability ``recall``, closer ones more often; no other pair is linked.
+    The row with the smallest id stays, a null id last; rows that share it are ordered by a
+    hash of their content, and of rows equal in every column one stays.  An empty table
+    gives no rows.
     """
     row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
     key = [F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("_key"),
            F.xxhash64(*[docs[c] for c in docs.columns]).alias("_content")]
-    whole = F.col(text).alias("_whole")
+    cut = layout(docs.count(), similarity, recall)
     rows = written(
-        sketches(docs.select(F.col(id_column).alias("_id"), *key, whole), ["_id", "_key", "_content"], "_whole", width),
-        "sketches")
+        sketches(docs.select(F.col(id_column).alias("_id"), *key, F.col(text).alias("_whole")),
+                 ["_id", "_key", "_content"], "_whole", cut, width), "sketches")
     order = F.struct(F.col("_id").isNull(), "_id", "_key", "_content")
     sets = written(rows.groupBy("sig").agg(
-        F.min(order).alias("best"), F.first("size").alias("size"), F.first("bands").alias("bands")), "sets")
-    pairs = written(proposed(sets, similarity), "pairs")
-    asked = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    places = sets.join(asked, "sig").select("sig", "best._key", "best._content")
-    texts = written(docs.select(*key, whole).join(places, ["_key", "_content"]).groupBy("sig").agg(
-        F.first("_whole").alias("whole")), "texts")
-    links = written(verified(pairs.where("step = 1"), texts, width, similarity), "links")
-    roots = connected_components(links)
-    of = [roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b")]
-    apart = pairs.where("step > 1").join(of[0], "a", "left").join(of[1], "b", "left").where(
-        F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-    roots = connected_components(links.union(verified(apart, texts, width, similarity)))
+        F.min(order).alias("best"), *[F.first(c).alias(c) for c in ("size", "fp", "weak")]), "sets")
+    roots = near_copy_roots(docs, sets, key, text, cut, width, similarity, direct)
     chosen = sets.join(roots.withColumnRenamed("node", "sig"), "sig", "left").groupBy(
         F.coalesce("root", "sig").alias("root")).agg(F.min("best").alias("best")).select("best._key", "best._content")
     once = Window.partitionBy("_key", "_content").orderBy("_key")

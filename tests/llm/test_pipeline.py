@@ -9,7 +9,7 @@ from featuremart.llm import mixing, toxicity
 from featuremart.llm.common import spaced_words, table
 from featuremart.llm.queries import ORACLES, QUERIES
 from tests.llm.test_rows import brute_hits, level_targets
-from tests.llm.test_texts import components, slow_fingerprint
+from tests.llm.test_similar import smallest_of_components
 
 SMALL = "/root/testdata/sf0.001"
 CONTRACT = {
@@ -61,9 +61,10 @@ def test_toxic_documents_go(spark, steps):
 
 
 def test_one_document_of_each_group_stays(steps):
-    before = steps["toxicity"].collect()
-    fps = [slow_fingerprint(r.text) for r in before]
-    assert {r.doc_id for r in steps["simhash"].collect()} == set(components(fps, [r.doc_id for r in before]))
+    before = [(r.doc_id, r.text) for r in steps["toxicity"].collect()]
+    found, want = Counter(r.doc_id for r in steps["simhash"].collect()), smallest_of_components(before)
+    assert not want - found  # nothing goes that shouldn't
+    assert sum((found - want).values()) <= 0.1 * (len(before) - sum(want.values()))
 
 
 def test_contaminated_documents_go(spark, steps):
