@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.llm import decontaminate, mixing, sharding, similar, toxicity
-from featuremart.llm.common import table, written
+from featuremart.llm.common import table
+from featuremart.session import removed, scratch, shared_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near-copies.
 
-    Texts are near-copies at a Jaccard similarity of 0.8 of their five-word shingles.
+    Deletion variants of SimHash propose pairs; near-copies have a Jaccard similarity of
+    0.8 of their five-word shingles.
     """
     return similar.keep_one(docs)
 
@@ -55,8 +57,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's rows are written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents; each stage's rows are written and read again.
+
+    What a stage wrote on its way is removed as soon as its rows are there, and its rows
+    once the next stage's are.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        folder = shared_folder(spark, name)
+        with scratch(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(folder)
+        docs = spark.read.schema(rows.schema).parquet(folder)
+        if before:
+            removed(spark, before)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)
