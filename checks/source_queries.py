@@ -13,7 +13,7 @@ from checks.profile_queries import dec, rounded
 from checks.views import REGISTRY, Inputs
 from featuremart import fixed_values as fixed
 from featuremart.functions import dates
-from featuremart.operators import metrics, modelling, prep, registry, sampling, schema
+from featuremart.operators import boosting, metrics, modelling, prep, registry, sampling, schema, search
 from featuremart.plans import pretrain, silver
 from featuremart.plans.datamart import Datamart
 from featuremart.session import materialise, shared_folder
@@ -298,6 +298,16 @@ def train_gbt(t: Inputs):
     return quality(rows, steps, model, 0.7)
 
 
+@REGISTRY.add("train_regularised_trees", PLAUSIBLE)
+def train_regularised(t: Inputs):
+    rows = model_rows(t)
+    train = rows.filter("split = 'train'")
+    settings = boosting.Settings(n_estimators=24, max_depth=3, learning_rate=0.15, subsample=0.9, colsample_bytree=0.8,
+                                 gamma=0.05, min_child_weight=2, reg_alpha=0.5, reg_lambda=1.5)
+    steps, model = modelling.fit_rows(train, preprocessor(train), lambda n: boosting.BoostedTrees(settings))
+    return quality(rows, steps, model, 0.65)
+
+
 @REGISTRY.add("tune", f"""
 WITH {SPLIT_CTES} SELECT *, TRUE AS plausible, 15 AS trials, TRUE AS best_is_best FROM ({SPLIT_COUNTS})
 """)
@@ -313,6 +323,23 @@ def tune_logreg(t: Inputs):
         "*", F.lit(len(found.draws)).alias("trials"), F.lit(chosen >= max(found.mean_auc)).alias("best_is_best"))
 
 
+@REGISTRY.add("tune_sequential", f"""
+WITH {SPLIT_CTES} SELECT *, TRUE AS plausible, 15 AS trials, TRUE AS best_is_best, TRUE AS inside
+FROM ({SPLIT_COUNTS})
+""")
+def tune_sequentially(t: Inputs):
+    """The search with proposals from earlier trials, all fits of a batch in one pass over the rows."""
+    rows = model_rows(t)
+    train = rows.filter("split = 'train'")
+    folded = materialise(sampling.stratified_folds(train, "label", modelling.TUNING_FOLDS, columns=["loan_id"]))
+    found = search.tune_logistic(preprocessor(train), folded)
+    chosen = found.mean_auc[found.draws.index(found.best)]
+    inside = all(0.01 <= d["C"] <= 100 and 500 <= d["maxIter"] <= 1500 and d["solver"] in search.SOLVERS for d in found.draws)
+    return quality(rows, found.steps, found.model, 0.55).select(
+        "*", F.lit(len(found.draws)).alias("trials"), F.lit(chosen >= max(found.mean_auc)).alias("best_is_best"),
+        F.lit(inside).alias("inside"))
+
+
 @REGISTRY.add("score_snapshot", f"""
 WITH {SPLIT_CTES}, newest AS (SELECT max(label_snapshot_date) AS day FROM splits WHERE split = 'oot')
 SELECT Customer_ID, label_snapshot_date, TRUE AS decided, label_snapshot_date AS snapshot_date,
