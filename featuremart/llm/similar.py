@@ -36,6 +36,8 @@ WEAK = 8
 DIRECT = 32
 #: Bits beside the segments that proposed pairs are held against, and how many may differ (ten do on average at 0.8).
 CHECK, CHECK_DISTANCE = 64, 21
+#: First members of large groups that a set is held against before the exact comparison.
+FIRSTS = 2
 #: Sets of a block of the exact comparison, about.
 BLOCK = 1_024
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -191,7 +193,7 @@ def _together(rows: tuple[np.ndarray, ...], similarity: float) -> tuple[np.ndarr
 
 
 def _propose(batches: Iterator[pa.RecordBatch], similarity: float, direct: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (kind 0: a, b) of small groups and of large ones' members with their first; first and member of large ones (kind 1)."""
+    """Close pairs (kind 0: a, b) of small groups; first and member of large ones, all (kind 1) and close ones (kind 2)."""
     waiting: list[tuple[np.ndarray, ...]] = []
     count, open_ = 0, None  # the large group that the rows before ended in: its key and first member
 
@@ -204,7 +206,7 @@ def _propose(batches: Iterator[pa.RecordBatch], similarity: float, direct: int)
     def large(rows: tuple, first: tuple) -> Iterator[pa.RecordBatch]:
         key, sig, check, size = rows
         near = (sig != first[1]) & _close(check, first[2], size, first[3], similarity)
-        yield out(0, sig[near], np.full(near.sum(), first[1]))
+        yield out(2, np.full(near.sum(), first[1]), sig[near])
         yield out(1, np.full(len(sig), first[1]), sig)
 
     def handle(rows: tuple, last: bool) -> Iterator[pa.RecordBatch]:
@@ -248,7 +250,7 @@ def _propose(batches: Iterator[pa.RecordBatch], similarity: float, direct: int)
 
 
 def proposed(sets: DataFrame, cut: Layout, similarity: float = SIMILARITY, direct: int = DIRECT) -> DataFrame:
-    """(kind, x, y): pairs of sets that share a signature (0), and first and other members of large groups (1).
+    """(kind, x, y): pairs of sets that share a signature (0), first and other members of large groups (1), close ones (2).
 
     A task reads its signatures in order and keeps one small group.
     """
@@ -351,12 +353,15 @@ def near_copy_roots(docs: DataFrame, sets: DataFrame, key: list, text: str, cut:
                     similarity: float, direct: int = DIRECT) -> DataFrame:
     """(node, root) of the sets that are linked to others, directly or not.
 
-    Small groups of a signature are compared whole.  A large one is held against its first
-    member; where that leaves members apart, ``apart`` compares them exactly, so that no
+    Small groups of a signature are compared whole.  Members of large ones are held against
+    the first members of FIRSTS of them; where that leaves members apart, ``apart`` compares them exactly, so that no
     pair is lost to the size of a group.
     """
     found = written(proposed(sets, cut, similarity, direct), "proposed")
-    pairs = written(found.where("kind = 0").select("x", "y").distinct(), "pairs")
+    # a set is in up to WEAK large groups per segment; it is held against the smallest of their first members
+    held = found.where("kind = 2").groupBy("y").agg(F.array_sort(F.collect_set("x")).alias("firsts")).select(
+        F.explode(F.slice("firsts", F.lit(1), F.lit(FIRSTS))).alias("x"), "y")
+    pairs = written(found.where("kind = 0").select("x", "y").union(held.select("x", "y")).distinct(), "pairs")
     members = written(found.where("kind = 1").select(F.col("x").alias("first"), F.col("y").alias("sig")).distinct(), "large")
     asked = pairs.select(F.col("x").alias("sig")).union(pairs.select("y")).union(members.select("sig")).distinct()
     places = sets.join(asked, "sig").select("sig", "best._key", "best._content")
