@@ -18,6 +18,7 @@ only leaves whose anchor has other contexts too are sorted against those.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -147,35 +148,100 @@ def intervals(common: list[int], least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((depth, first))
 
 
+def _ordered(values: list[bytes]) -> tuple[list[int], list[int]]:
+    """Indices in sorted order, and the common prefix of each with the next one."""
+    order = sorted(range(len(values)), key=values.__getitem__)
+    return order, [_common(values[a], values[b]) for a, b in zip(order, order[1:])]
+
+
+def interval_tree(suffixes: list[bytes], ranks: list[int]) -> Iterator[tuple[int, list[int], list[tuple[int, int]]]]:
+    """(depth, ranks, pairs) of each common-prefix interval of GRAM bytes or more, inner ones first.
+
+    The stack holds, besides each open interval's depth, the ranks of its members in
+    order.  Where two intervals meet, the shorter list is inserted into the longer one, so
+    that a member moves at most as often as its list doubles; ``pairs`` are the ranks that
+    became neighbours by that.  The list is only valid until the next interval.
+    """
+    order, common = _ordered(suffixes)
+    stack: list[tuple[int, list[int], list[tuple[int, int]]]] = []
+
+    def met(a: list[int], b: list[int], pairs: list[tuple[int, int]]) -> list[int]:
+        if len(a) < len(b):
+            a, b = b, a
+        for rank in b:
+            at = bisect_left(a, rank)
+            if at:
+                pairs.append((a[at - 1], rank))
+            if at < len(a):
+                pairs.append((rank, a[at]))
+            a.insert(at, rank)
+        return a
+
+    for i, depth in enumerate([*common, -1]):
+        members = [ranks[order[i]]]
+        while stack and stack[-1][0] > depth:
+            top, waiting, pairs = stack.pop()
+            members = met(waiting, members, pairs)
+            if top >= GRAM:
+                yield top, members, pairs
+        if stack and stack[-1][0] == depth:
+            top, waiting, pairs = stack.pop()
+            stack.append((top, met(waiting, members, pairs), pairs))
+        else:
+            stack.append((depth, members, []))
+
+
 def maximal_repeats(suffixes: list[bytes], lefts: list[bytes], length: int) -> Iterator[tuple[int, int, list[int]]]:
     """(bytes before, bytes from the anchor on, members) of repeats of ``length`` bytes or more.
 
     ``lefts`` are the bytes before each suffix, backwards.  A group holds all occurrences
     of a string that neither a byte before nor behind extends for all of them.
     """
-    order = sorted(range(len(suffixes)), key=suffixes.__getitem__)
-    common = [_common(suffixes[a], suffixes[b]) for a, b in zip(order, order[1:])]
-    for first, last, depth in intervals(common, GRAM):
-        members = sorted(order[first:last + 1], key=lefts.__getitem__)
+    by_left, _ = _ordered(lefts)
+    for depth, ranked, _ in interval_tree(suffixes, _inverse(by_left)):
+        members = [by_left[r] for r in ranked]
         before = [_common(lefts[a], lefts[b]) for a, b in zip(members, members[1:])]
         need = max(0, length - depth)
         if max(before) < need:
             continue
         for low, high, reach in intervals(before, need):
             group = members[low:high + 1]
-            if len(group) < last - first + 1:  # does the part still differ behind?
+            if len(group) < len(members):  # does the part still differ behind?
                 if min(len(suffixes[i]) for i in group) > depth and len({suffixes[i][depth] for i in group}) == 1:
                     continue  # no: it is a group of a deeper interval
             yield reach, depth, group
 
 
+def _inverse(order: list[int]) -> list[int]:
+    ranks = [0] * len(order)
+    for rank, i in enumerate(order):
+        ranks[i] = rank
+    return ranks
+
+
 def covered(suffixes: list[bytes], lefts: list[bytes], length: int) -> list[tuple[int, int] | None]:
-    """Bytes before and behind (from the anchor on) of each member that its repeats cover."""
+    """Bytes before and behind (from the anchor on) of each member that its maximal repeats cover.
+
+    Of the groups that an interval gives a member, the one with the longest left extension
+    joins it with a neighbour in left order.  Neighbours of an inner interval were tested
+    there, with more bytes behind; so only the pairs that meet in an interval are tested,
+    and no group is spelled out.
+    """
+    by_left, _ = _ordered(lefts)
     out: list[tuple[int, int] | None] = [None] * len(suffixes)
-    for before, behind, group in maximal_repeats(suffixes, lefts, length):
-        for i in group:
-            old = out[i] or (0, 0)
-            out[i] = (max(old[0], before), max(old[1], behind))
+    for depth, _, pairs in interval_tree(suffixes, _inverse(by_left)):
+        need = max(0, length - depth)
+        for pair in pairs:
+            a, b = by_left[pair[0]], by_left[pair[1]]
+            if lefts[a][:need] != lefts[b][:need] or len(lefts[a]) < need:
+                continue
+            reach = _common(lefts[a], lefts[b])
+            for i in (a, b):
+                old = out[i]
+                if old is None:
+                    out[i] = (reach, depth)
+                elif old[0] < reach or old[1] < depth:
+                    out[i] = (max(old[0], reach), max(old[1], depth))
     return out
 
 

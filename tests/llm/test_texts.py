@@ -154,6 +154,42 @@ def test_maximal_repeats_have_all_occurrences():
     assert (3, 0, (0, 2, 3)) in found and (2, 0, (0, 1, 2, 3)) in found
 
 
+@pytest.mark.parametrize("letters, longest, most", [(b"ab", 6, 25), (b"abc", 3, 60), (b"a", 40, 30)])
+def test_covered_bytes_equal_every_pair_and_the_groups(letters, longest, most):
+    rng = random.Random(11)
+    anchor = b"A" * repeats.GRAM
+    length = repeats.GRAM + 4
+
+    def side():
+        return bytes(rng.choice(letters) for _ in range(rng.randint(0, longest)))
+
+    def common(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    for _ in range(40):
+        kinds = sorted({(side(), side()) for _ in range(rng.randint(2, most))})
+        lefts, suffixes = [k[0] for k in kinds], [anchor + k[1] for k in kinds]
+        every = [[(common(lefts[i], lefts[j]), common(suffixes[i], suffixes[j])) for j in range(len(kinds)) if j != i]
+                 for i in range(len(kinds))]
+        long = [[p for p in pairs if sum(p) >= length] for pairs in every]
+        want = [(max(p[0] for p in x), max(p[1] for p in x)) if x else None for x in long]
+        groups = [[] for _ in kinds]
+        for before, behind, group in repeats.maximal_repeats(suffixes, lefts, length):
+            for i in group:
+                groups[i].append((before, behind))
+        of_groups = [(max(p[0] for p in x), max(p[1] for p in x)) if x else None for x in groups]
+        assert repeats.covered(suffixes, lefts, length) == want == of_groups
+
+
+def test_nested_intervals_move_few_members():
+    anchor = b"A" * repeats.GRAM
+    suffixes = [anchor + b"x" * i for i in range(2_000)]  # every context is an interval of its own, inside the others
+    left = [bytes([i % 251, i % 241]) for i in range(2_000)]
+    by_left = sorted(range(2_000), key=left.__getitem__)
+    pairs = sum(len(p) for _, _, p in repeats.interval_tree(suffixes, repeats._inverse(by_left)))
+    assert pairs <= 2 * 2_000 * 11
+
+
 def test_repeats_of_nothing(make_docs):
     assert repeats.remove_repeats(make_docs([])).count() == 0
 
