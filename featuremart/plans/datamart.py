@@ -17,6 +17,7 @@ from featuremart.operators.prep import Preprocessor
 from featuremart.plans import gold, pretrain, silver
 from featuremart.session import materialise
 from featuremart.sources import tables
+from featuremart.sources.runs import VersionedTable
 
 SILVER_STEPS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "loan_daily": silver.silver_loans,
@@ -169,15 +170,24 @@ class Datamart:
         return run_id
 
     def promote_best(self, train_date: date, min_test: float | None = fixed.MIN_TEST_AUC) -> DataFrame:
-        """Move the best run of a training date to production if it passes the guard; the outcome."""
-        runs = materialise(self.runs(), "runs")
-        outcome = materialise(registry.promotion_decision(
-            runs.filter(F.col("train_date") == F.lit(train_date)), min_test=min_test), "outcome")
-        chosen = runs.join(outcome.filter("outcome = 'promote'").select("run_id"), "run_id", "left_semi").select(
-            "model_name", "version")
-        changed = materialise(registry.promote(runs, chosen), "runs")
-        changed.write.mode("overwrite").parquet(self.path("models", "runs"))
-        return outcome
+        """Move the best run of a training date to production if it passes the guard; the outcome.
+
+        The run table changes in one step; the outcome is that of the version it changed.
+        """
+        found: list[DataFrame] = []
+
+        def promoted(stored: DataFrame | None) -> DataFrame | None:
+            runs = tables.no_runs(self.spark) if stored is None else stored
+            outcome = materialise(registry.promotion_decision(
+                runs.filter(F.col("train_date") == F.lit(train_date)), min_test=min_test), "outcome")
+            found.append(outcome)
+            chosen = outcome.filter("outcome = 'promote'").select("run_id")
+            if chosen.isEmpty():
+                return None
+            return registry.promote(runs, runs.join(chosen, "run_id", "left_semi").select("model_name", "version"))
+
+        VersionedTable(self.spark, self.path("models", "runs")).update(promoted)
+        return found[-1]
 
     def score(self, day: date, model_name: str, load: Callable[[str], Model], scored_at: Column | None = None) -> None:
         """Score one label date with the model in production and store the predictions."""

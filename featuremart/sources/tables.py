@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from featuremart import fixed_values as fixed
 from featuremart.functions.dates import month_floor, to_date_safe
 from featuremart.session import file_system
+from featuremart.sources.runs import VersionedTable
 
 SNAPSHOT = "snapshot_date"
 
@@ -284,12 +285,16 @@ def run_schema(spark: SparkSession) -> T.StructType:
     return spark.createDataFrame([], fixed.REGISTRY_SCHEMA).schema
 
 
+def no_runs(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], fixed.REGISTRY_SCHEMA)
+
+
 def append_runs(runs: DataFrame, path: str) -> None:
-    """Append run records with the fixed registry schema; absent columns are NULL."""
+    """Append run records with the fixed registry schema, all or none; absent columns are NULL."""
     fields = run_schema(runs.sparkSession).fields
-    runs.select(*[
+    VersionedTable(runs.sparkSession, path).append(runs.select(*[
         (F.col(f.name) if f.name in runs.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
-    ]).write.mode("append").parquet(path)
+    ]))
 
 
 def append_run(spark: SparkSession, rows: Sequence[Mapping], path: str) -> None:
@@ -299,10 +304,6 @@ def append_run(spark: SparkSession, rows: Sequence[Mapping], path: str) -> None:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The run table, or an empty one with its schema before the first run."""
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as error:
-        if not nothing_there(error):
-            raise
-        return spark.createDataFrame([], fixed.REGISTRY_SCHEMA)
+    """The run table's last version, or an empty one with its schema before the first run."""
+    runs = VersionedTable(spark, path).read()
+    return no_runs(spark) if runs is None else runs
