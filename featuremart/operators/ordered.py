@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Distinct values in a range, on average; the number of ranges grows with the data.
+#: Distinct values in a range, on average, at least; the number of ranges grows with the data.
 VALUES_PER_RANGE = 20_000
 #: The search for a value's range doubles its reach so often: up to 2**24 ranges.
 SEARCH_STEPS = 24
@@ -39,6 +39,24 @@ def range_index(edges: Column, value: Column) -> Column:
     return F.coalesce(found, F.lit(0))
 
 
+def edge_sketch(distinct: DataFrame, order_by: str, values: Sequence[str]) -> Column:
+    """Scalar struct whose ``edges`` cut the different values of a column into balanced ranges.
+
+    Edges are the values that a hash picks, one in so many: the same whenever they are
+    computed.  That many is the root of the number of values once this exceeds
+    VALUES_PER_RANGE, so that neither the edges, which one task collects, nor a range
+    outgrow the root.  Edges only decide how even the ranges are.
+    """
+    # summing the values too lets both subqueries read the shuffle of the main plan instead of the input
+    kept = [F.sum(v).alias(v) for v in values]
+    sizes = distinct.agg(F.struct(F.count("*").alias("rows"), *kept).alias("sizes")).scalar()
+    every = F.greatest(F.lit(VALUES_PER_RANGE), F.ceil(F.sqrt(sizes["rows"])))
+    chosen = F.pmod(F.xxhash64(order_by), every) == 0
+    edges = F.array_sort(F.array_distinct(F.collect_list("_edge")))
+    return distinct.select("*", F.when(chosen, F.col(order_by)).alias("_edge")).agg(
+        F.struct(edges.alias("edges"), *kept).alias("sketch")).scalar()
+
+
 def prefix_sum(
     df: DataFrame, order_by: str, values: Sequence[str], groups: Sequence[str] = ()
 ) -> DataFrame:
@@ -50,14 +68,7 @@ def prefix_sum(
     """
     groups = list(groups)
     distinct = df.groupBy(*groups, order_by).agg(*[F.sum(v).alias(v) for v in values])
-    # Edges are the values that a hash picks, one in so many: the same whenever they are
-    # computed, and more of them the more values there are.  They only decide how even the
-    # ranges are; all rows are summed.  Summing the values here too lets this subquery read
-    # the shuffle of the main plan instead of the input.
-    kept = [F.sum(v).alias(v) for v in values]
-    chosen = F.pmod(F.xxhash64(order_by), F.lit(VALUES_PER_RANGE)) == 0
-    edges = F.array_sort(F.array_distinct(F.collect_list(F.when(chosen, F.col(order_by)))))
-    sketch = distinct.agg(F.struct(edges.alias("edges"), *kept).alias("sketch")).scalar()
+    sketch = edge_sketch(distinct, order_by, values)
     # One key for window and join: the rows stay where the window put them.  A struct also
     # compares NULL groups as equal.
     ranged = (

@@ -10,7 +10,7 @@ from featuremart.operators.ordered import exact_quantiles, prefix_sum
 
 @pytest.fixture(params=[20_000, 40, 2])
 def ranges(request, monkeypatch):
-    """One range, some, and hundreds: the same search finds a value's range."""
+    """One range, some, and as many as the root of the values: the same search finds a value's range."""
     monkeypatch.setattr(ordered, "VALUES_PER_RANGE", request.param)
 
 
@@ -51,6 +51,20 @@ def test_prefix_sum(spark, ranges):
             assert got[(g, v)] == (values.count(v), sum(w <= v for w in values), len(values))
 
 
+@pytest.mark.parametrize("count", [100, 10_000, 250_000])
+def test_edges_and_ranges_stay_near_the_root(spark, monkeypatch, count):
+    monkeypatch.setattr(ordered, "VALUES_PER_RANGE", 4)
+    distinct = spark.range(count).select(F.col("id").cast("double").alias("v"), F.lit(1).alias("n"))
+    edges = spark.range(1).select(ordered.edge_sketch(distinct, "v", ["n"])["edges"].alias("e")).first()["e"]
+    root = count ** 0.5
+    assert root / 2 <= len(edges) <= 2 * root and edges == sorted(set(edges))
+    assert max(np.diff([0, *edges, count])) <= 20 * root
+    out = prefix_sum(distinct, "v", ["n"])
+    assert out.agg(F.max("cum_n"), F.count("*")).first() == (count, count)
+    # the edges reach expressions as a scalar; no operator passes them on with the rows
+    assert all("array<" not in t for _, t in out.dtypes) and "_edges" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_prefix_sum_with_null_group_and_few_values(spark):
     df = spark.createDataFrame([(None, 1.0, 2), (None, 3.0, 5), ("a", 1.0, 1)], "g string, s double, n int")
     got = {(r["g"], r["s"]): r["cum_n"] for r in prefix_sum(df, "s", ["n"], ["g"]).collect()}
