@@ -13,7 +13,8 @@ from checks.views import REGISTRY
 from featuremart.functions import numeric
 from featuremart import fixed_values as fixed
 from featuremart.operators import metrics, prep, registry
-from featuremart.plans import silver
+from featuremart.plans import monitoring, silver
+from featuremart.session import shared_folder
 
 HALF = "CAST(0.5 AS DOUBLE)"
 CONFUSION = """
@@ -169,14 +170,27 @@ REGISTRY.add("score_summary", f"SELECT {SUMMARY} FROM $predictions")(
 LABELLED = f"""(SELECT p.Customer_ID, p.model_version, p.snapshot_date AS month, p.default_proba, l.label FROM $predictions p
                JOIN (SELECT Customer_ID, snapshot_date, label FROM ({LABELS})) l
                ON p.Customer_ID = l.Customer_ID AND p.snapshot_date = l.snapshot_date)"""
-REGISTRY.add("monitor", f"""
+MONITOR = f"""
 SELECT * FROM ({metric_sql(LABELLED, 'default_proba', 'model_version, month')})
 JOIN ({auc_sql(LABELLED, 'default_proba', 'model_version, month')}) USING (model_version, month)
 JOIN (SELECT model_version, snapshot_date AS month, {SUMMARY} FROM $predictions GROUP BY 1, 2) USING (model_version, month)
 LEFT JOIN (SELECT model_version, month, psi_stat, ks_stat FROM ({DRIFT})) USING (model_version, month)
-""")(lambda t: rounded(metrics.monitor(
+"""
+REGISTRY.add("monitor", MONITOR)(lambda t: rounded(metrics.monitor(
     t.view("predictions").drop("label"), labels(t)), 6, "default_proba_min", "default_proba_max"))
 
+
+@REGISTRY.add("monitor_by_month", MONITOR)
+def monitored_by_month(t):
+    """Counts of all months but the last, then of the last one, then of the first one again."""
+    found, known, path = t.view("predictions").drop("label"), labels(t), shared_folder(t.spark, "score-counts")
+    first, last = found.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    monitoring.update_state(found, known, path, None, last.replace(day=1) - datetime.timedelta(days=1))
+    for month in (last, first):
+        monitoring.update_state(found, known, path, month, month)
+    return rounded(monitoring.monitor_state(t.spark, path), 6, "default_proba_min", "default_proba_max")
+
+
 REGISTRY.add("monitoring_overview", f"""
 SELECT count(DISTINCT month) AS coverage_months, min(month) AS first_month, max(month) AS last_month,
        {dec('avg(sample_size)', 4)} AS avg_sample_size, {dec('avg(accuracy)', 4)} AS avg_accuracy,

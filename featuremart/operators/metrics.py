@@ -257,13 +257,30 @@ def monitor(
     """
     if groups is None:
         groups = [c for c in ("model_version",) if c in predictions.columns]
-    groups = list(groups)
+    return monitor_of_counts(*[
+        materialise(counts, name) for counts, name in zip(
+            score_counts(predictions, labels, score, groups), ("scores", "labelled-scores"), strict=True)
+    ], threshold, groups)
+
+
+def score_counts(
+    predictions: DataFrame, labels: DataFrame, score: str = "default_proba", groups: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(groups, month, _score, n) of all predictions and (.., label, n) of the labelled ones."""
     keys = [*groups, "month"]
     month = F.trunc("snapshot_date", "month").alias("month")
     rows = predictions.select(*groups, "Customer_ID", "snapshot_date", month, clean_score(score).alias("_score"))
     labelled = rows.join(labels.select("Customer_ID", "snapshot_date", "label"), ["Customer_ID", "snapshot_date"])
-    counted = materialise(rows.groupBy(*keys, "_score").agg(F.count(F.lit(1)).alias("n")), "scores")
-    judged = materialise(labelled.groupBy(*keys, "_score", "label").agg(F.count(F.lit(1)).alias("n")), "labelled-scores")
+    return (rows.groupBy(*keys, "_score").agg(F.count(F.lit(1)).alias("n")),
+            labelled.groupBy(*keys, "_score", "label").agg(F.count(F.lit(1)).alias("n")))
+
+
+def monitor_of_counts(
+    counted: DataFrame, judged: DataFrame, threshold: float = fixed.DECISION_THRESHOLD, groups: Sequence[str] = ()
+) -> DataFrame:
+    """The monitoring table from the two kinds of counts."""
+    groups = list(groups)
+    keys = [*groups, "month"]
     ranked = judged.select(
         *keys, F.coalesce("_score", F.lit(0.0)).alias("_score"),
         F.when(F.col("label").cast("int") == 1, F.col("n")).otherwise(0).alias("pos"),

@@ -14,7 +14,7 @@ from featuremart import fixed_values as fixed
 from featuremart.functions.dates import TrainingWindows, assign_split
 from featuremart.operators import metrics, modelling, pit, registry, sampling
 from featuremart.operators.prep import Preprocessor
-from featuremart.plans import gold, pretrain, silver
+from featuremart.plans import gold, monitoring, pretrain, silver
 from featuremart.session import materialise
 from featuremart.sources import tables
 from featuremart.sources.runs import VersionedTable
@@ -208,6 +208,12 @@ class Datamart:
         found = self.predictions() if predictions is None else predictions
         return metrics.monitor(found, self.read("gold", "label_store"), threshold=threshold)
 
+    def monitor_month(self, month: date, threshold: float = fixed.DECISION_THRESHOLD) -> DataFrame:
+        """The same of stored predictions, after one month was counted anew; other months come from stored counts."""
+        path = self.path("gold", "score_counts")
+        monitoring.update_state(self.predictions(), self.read("gold", "label_store"), path, month, month)
+        return monitoring.monitor_state(self.spark, path, threshold)
+
 
 def _between(df: DataFrame, column: str, start: date | None, end: date | None) -> DataFrame:
     if start is not None:
