@@ -5,6 +5,8 @@ from datetime import date
 
 from featuremart.operators import metrics
 from featuremart.plans import monitoring
+from featuremart.plans.datamart import Datamart
+from featuremart.sources import tables
 
 MONTHS = [date(2024, m, 1) for m in range(1, 6)]
 
@@ -55,3 +57,12 @@ def test_a_month_reads_its_own_partition_only(spark, tmp_path):
     assert one.select("snapshot_date").distinct().count() == 1
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
+def test_datamart_counts_one_month_at_a_time(spark, tmp_path):
+    mart = Datamart(spark, str(tmp_path))
+    predictions, labels = inputs(spark, months=MONTHS[:2])
+    tables.write_predictions(predictions.filter("snapshot_date IS NOT NULL"), mart.path("gold", "predictions"))
+    tables.write_snapshot(labels, mart.path("gold", "label_store"))
+    mart.monitor_month(MONTHS[0])
+    assert table(mart.monitor_month(MONTHS[1])) == table(mart.monitor())
