@@ -17,7 +17,8 @@ from featuremart.operators import boosting, metrics, modelling, prep, registry,
 from featuremart.plans import pretrain, silver
 from featuremart.plans.datamart import Datamart
 from featuremart.session import materialise, shared_folder
-from featuremart.sources import tables
+from featuremart.sources import documents, tables
+from featuremart.sources.buckets import BucketedTable
 from featuremart.streaming import incremental
 
 JUNE = datetime.date(1998, 6, 1)
@@ -132,6 +133,27 @@ def read_summaries(t: Inputs):
     return tables.read_json_summaries(t.spark, root)
 
 
+@REGISTRY.add("flatten_varied_summaries", """
+SELECT model_version, count(*) AS sample_size,
+       CASE WHEN model_version = 'm0' THEN max(default_proba) END AS score,
+       CASE WHEN model_version <> 'm0' THEN max(default_proba) END AS "score.max",
+       CASE WHEN model_version <> 'm0' THEN min(default_proba) END AS "score.range.min",
+       CASE WHEN model_version = 'm2' THEN count(*) END AS "note:bigint",
+       CASE WHEN model_version = 'm1' THEN 'first' END AS "note:string"
+FROM $predictions WHERE model_version IN ('m0', 'm1', 'm2') GROUP BY model_version
+""")
+def read_varied_summaries(t: Inputs):
+    root = shared_folder(t.spark, "varied")
+    summary = t.view("predictions").groupBy("model_version").agg(
+        F.count(F.lit(1)).alias("sample_size"), F.max("default_proba").alias("most"), F.min("default_proba").alias("least"))
+    nested = F.struct(F.col("most").alias("max"), F.struct(F.col("least").alias("min")).alias("range")).alias("score")
+    layouts = {"m0": [F.col("most").alias("score")], "m1": [nested, F.lit("first").alias("note")],
+               "m2": [nested, F.col("sample_size").alias("note")]}
+    for model, columns in layouts.items():
+        summary.filter(F.col("model_version") == model).select("sample_size", *columns).coalesce(1).write.json(f"{root}/{model}")
+    return documents.read_varied_summaries(t.spark, root)[0]
+
+
 @REGISTRY.add("read_monitoring", """
 SELECT month, sample_size, accuracy, predicted_default_risk_mean AS score_mean, macro_f1 AS f1_macro FROM $monitoring
 """)
@@ -183,6 +205,18 @@ def backfill_everything(t: Inputs):
     return mart.read("gold", "training")
 
 
+@REGISTRY.add("training_table_bucketed", f"""
+SELECT p.*, loan_id, label, label_def FROM ({PRETRAIN}) p
+JOIN ({LABELS}) l ON p.Customer_ID = l.Customer_ID AND p.label_snapshot_date = l.snapshot_date
+""")
+def join_buckets(t: Inputs):
+    stored = BucketedTable(t.spark, shared_folder(t.spark, "features"), partition="label_snapshot_date")
+    marked = BucketedTable(t.spark, shared_folder(t.spark, "labels"))
+    stored.write(features(t))
+    marked.write(labels(t))
+    return pretrain.training_rows(stored.read(), marked.read())
+
+
 # ---------------------------------------------------------------- model jobs
 WINDOWS = dates.derive_windows(datetime.date(2001, 1, 1), 36, 6)
 NOT_FEATURES = {*fixed.TRAINING_METADATA, "loan_id", "label", "label_def", "split", "fold"}

@@ -17,6 +17,7 @@ from featuremart.operators.prep import Preprocessor
 from featuremart.plans import gold, monitoring, pretrain, silver
 from featuremart.session import materialise
 from featuremart.sources import tables
+from featuremart.sources.buckets import BucketedTable
 from featuremart.sources.runs import VersionedTable
 
 SILVER_STEPS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -36,19 +37,38 @@ GOLD_STEPS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 
 @dataclass(frozen=True)
 class Datamart:
-    """Locations of all tables below one root folder."""
+    """Locations of all tables below one root folder.
+
+    With ``buckets`` the gold tables are cut by customer as well, so that training rows are
+    joined where they lie.  The number is fixed once a table is written: choose it so that
+    a month's bucket has some 200 MB.
+    """
 
     spark: SparkSession
     root: str
+    buckets: int | None = None
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def read(self, layer: str, table: str, start: date | None = None, end: date | None = None) -> DataFrame:
-        df = tables.read_table(self.spark, self.path(layer, table))
+        df = (tables.read_table(self.spark, self.path(layer, table)) if self.buckets is None or layer != "gold"
+              else self._bucketed(table).read())
         column = pit.LABEL_DATE if pit.LABEL_DATE in df.columns else tables.SNAPSHOT
         return _between(df, column, start, end)
 
+    def _bucketed(self, table: str, partition: str = tables.SNAPSHOT) -> BucketedTable:
+        assert self.buckets is not None
+        return BucketedTable(self.spark, self.path("gold", table), pit.KEY, self.buckets, partition)
+
+    def _write_gold(
+        self, built: DataFrame, table: str, covered: tuple[date | None, date | None], partition: str = tables.SNAPSHOT
+    ) -> None:
+        if self.buckets is None:
+            tables.write_snapshot(built, self.path("gold", table), partition_by=[partition], covered=covered)
+        else:
+            self._bucketed(table, partition).write(built, covered)
+
     # --- layers -------------------------------------------------------------------
     def build_bronze(self, raw: Mapping[str, str], start: date | None = None, end: date | None = None) -> None:
         """Land the raw extracts, all wanted months of a source in one scan."""
@@ -70,7 +90,7 @@ class Datamart:
         for name, (source, step) in GOLD_STEPS.items():
             frame = self.read("silver", source, start, end)
             built = step(frame, dpd, mob) if name == "label_store" else step(frame)
-            tables.write_snapshot(built, self.path("gold", name), covered=(start, end))
+            self._write_gold(built, name, (start, end))
 
     def build_pretrain(
         self,
@@ -91,8 +111,7 @@ class Datamart:
             self.read("gold", "feature_clickstream"),
             mob, strategy, drop_nulls,
         )
-        tables.write_snapshot(
-            built, self.path("gold", "pretrain_features"), partition_by=[pit.LABEL_DATE], covered=(start, end))
+        self._write_gold(built, "pretrain_features", (start, end), pit.LABEL_DATE)
 
     def build_training(
         self, start: date | None = None, end: date | None = None, drop_nulls: bool = False
@@ -102,8 +121,7 @@ class Datamart:
             self.read("gold", "label_store", start, end),
             drop_nulls,
         )
-        tables.write_snapshot(
-            built, self.path("gold", "training"), partition_by=[pit.LABEL_DATE], covered=(start, end))
+        self._write_gold(built, "training", (start, end), pit.LABEL_DATE)
 
     # --- runs ---------------------------------------------------------------------
     def backfill(

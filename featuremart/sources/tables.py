@@ -78,7 +78,7 @@ def write_snapshot(
     months become one file, a huge month is divided over many tasks.
     """
     keys = [c for c in partition_by if c in df.columns]
-    before = _partition_files(df.sparkSession, path, keys[0]) if covered and keys else {}
+    before = partition_files(df.sparkSession, path, keys[0]) if covered and keys else {}
     writer = (df.hint("rebalance", *[F.col(c) for c in keys]) if keys else df).write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)
@@ -86,17 +86,11 @@ def write_snapshot(
         writer = writer.partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
     writer.format(fmt).save(path)
     if before:
-        after = _partition_files(df.sparkSession, path, keys[0])
-        start, end = covered
-        for value, files in before.items():
-            inside = (start is None or value >= start.isoformat()) and (end is None or value <= end.isoformat())
-            if inside and after.get(value) == files:  # a partition that was written has new files
-                system, place = file_system(df.sparkSession, f"{path}/{keys[0]}={value}")
-                system.delete(place, True)
+        remove_emptied(df.sparkSession, path, keys[0], before, covered)
     return path
 
 
-def _partition_files(spark: SparkSession, path: str, key: str) -> dict[str, set[str]]:
+def partition_files(spark: SparkSession, path: str, key: str) -> dict[str, set[str]]:
     """Names of the files of each partition folder of a dated table."""
     system, place = file_system(spark, path)
     if not system.exists(place):
@@ -112,6 +106,19 @@ def _partition_files(spark: SparkSession, path: str, key: str) -> dict[str, set[
     return found
 
 
+def remove_emptied(
+    spark: SparkSession, path: str, key: str, before: dict[str, set[str]], covered: tuple[date | None, date | None],
+) -> None:
+    """Delete the partitions of a range that have the files they had before a write: it gave them no rows."""
+    after = partition_files(spark, path, key)
+    start, end = covered
+    for value, files in before.items():
+        inside = (start is None or value >= start.isoformat()) and (end is None or value <= end.isoformat())
+        if inside and after.get(value) == files:  # a partition that was written has new files
+            system, place = file_system(spark, f"{path}/{key}={value}")
+            system.delete(place, True)
+
+
 #: Conditions under which a path holds no table yet; everything else is an error.
 NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 

@@ -17,7 +17,7 @@ from featuremart.sources import tables
 SMALL = "/root/testdata/sf0.001"
 EAGER = {  # these write files or fit models while they are built
     "ingest_snapshot", "ingest_optional_date", "read_snapshot", "write_snapshot", "read_table_csv", "read_predictions",
-    "flatten_json_summaries", "read_monitoring", "append_run", "incremental_landing", "backfill", "write_feature_matrix",
+    "flatten_json_summaries", "flatten_varied_summaries", "training_table_bucketed", "read_monitoring", "append_run", "incremental_landing", "backfill", "write_feature_matrix",
     "train_logreg", "train_gbt", "train_regularised_trees", "tune", "tune_sequential", "score_snapshot", "write_predictions", "model_lifecycle", "stratified_split",
     "stratified_folds", "monitor", "one_hot_entries", "multi_hot_entries"}
 
