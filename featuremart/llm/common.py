@@ -60,6 +60,17 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
 
 def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``function(batch) -> dict of columns or None`` over every Arrow batch of ``df``."""
+
+    def parts(batch: pa.RecordBatch) -> Iterator[dict]:
+        out = function(batch)
+        if out is not None:
+            yield out
+
+    return arrow_parts(df, parts, schema)
+
+
+def arrow_parts(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """The same for a function that gives the columns of any number of parts, one after another."""
     from pyspark.sql.types import StructType, _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -69,8 +80,7 @@ def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = function(batch)
-            if out is not None:
+            for out in function(batch):
                 yield record_batch(out, arrow)
 
     return df.mapInArrow(run, schema)

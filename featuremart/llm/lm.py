@@ -15,15 +15,18 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field, replace
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.common import arrow_map, as_bytes, crc_of_id, slices, spaced_words, written
+from featuremart.llm.common import arrow_map, arrow_parts, as_bytes, crc_of_id, slices, spaced_words, written
 
 ALPHA = 0.1
 CLASSES = 64
@@ -42,6 +45,48 @@ def unit_of_rare(word: bytes) -> int:
     return FREQUENT + zlib.crc32(word[-2:]) % ENDINGS
 
 
+@cache
+def _units_of_endings() -> np.ndarray:
+    """Groups of the endings of two bytes, in order, then of one."""
+    every = range(256)
+    return np.array([unit_of_rare(bytes(e)) for e in [*((a, b) for a in every for b in every), *((b,) for b in every)]])
+
+
+def units_of_rare(words: pa.Array) -> np.ndarray:
+    """`unit_of_rare` of each of an array of words."""
+    data, bounds = bytes_of(words)
+    last, before = data[bounds[1:] - 1].astype(np.int64), data[np.maximum(bounds[1:] - 2, 0)].astype(np.int64)
+    return _units_of_endings()[np.where(np.diff(bounds) > 1, 256 * before + last, 65_536 + last)]
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column without nulls, and the bounds of its values in them."""
+    if not len(column):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    column = column.cast(pa.large_binary())
+    _, bounds, data = column.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.empty(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)
+    return data[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
+def binaries(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The binary values that lie one after another in an array, in bytes cut at ``bounds``."""
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).cast(pa.binary())
+
+
+def numbered(texts: list[bytes | None], number: Mapping[bytes, int], end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the texts' words, ``end`` before the first and after each text, and the places of the ends."""
+    ids = [np.array([end], np.int64)]
+    places = [0]
+    for value in texts:
+        words = spaced_words(value)
+        ids += (np.fromiter(map(number.__getitem__, words), np.int64, len(words)), ids[0])
+        places.append(places[-1] + len(words) + 1)
+    return np.concatenate(ids), np.array(places)
+
+
 @dataclass
 class Units:
     """Numbers that stand for words: one for each frequent word, one for each group of the others."""
@@ -72,7 +117,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): how often each token occurs; an end follows every text, null and empty ones too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
+        counts: Counter[bytes] = Counter()
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -82,9 +127,8 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             for part in slices(batch, text):
                 for value in as_bytes(part.column(text)):
-                    for word in spaced_words(value):
-                        counts[word] = counts.get(word, 0) + 1
-                counts[END] = counts.get(END, 0) + part.num_rows
+                    counts.update(spaced_words(value))
+                counts[END] += part.num_rows
                 if len(counts) > 500_000:
                     yield out()
                     counts.clear()
@@ -117,13 +161,8 @@ def unit_bigrams(docs: DataFrame, units: Units, text: str = "text") -> np.ndarra
         counts = np.zeros(size * size, np.int64)
         for batch in batches:
             for part in slices(batch, text):
-                ids = [end]
-                for value in as_bytes(part.column(text)):
-                    ids += [memo[w] for w in spaced_words(value)]
-                    ids.append(end)
-                ids = np.array(ids, np.int64)
-                cells, n = np.unique(ids[:-1] * size + ids[1:], return_counts=True)
-                counts[cells] += n
+                ids, _ = numbered(as_bytes(part.column(text)), memo, end)
+                counts += np.bincount(ids[:-1] * size + ids[1:], minlength=size * size)
         cells = np.flatnonzero(counts)
         for at in range(0, len(cells), 1 << 17):
             some = cells[at:at + (1 << 17)]
@@ -272,7 +311,7 @@ def contexts(train: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         frequent, of_unit = model.units.frequent, model.classes.tolist()
-        words, classes = list(frequent), [of_unit[u] for u in frequent.values()]
+        words, classes = list(frequent), bytearray(of_unit[u] for u in frequent.values())
 
         class Numbers(dict):
             def __missing__(self, word: bytes) -> int:
@@ -286,35 +325,33 @@ def contexts(train: DataFrame, model: Model, text: str = "text") -> DataFrame:
         keys, times, held = [], [], 0
 
         def merged() -> None:
-            different, place = np.unique(np.concatenate(keys), return_inverse=True)
-            n = np.bincount(place, weights=np.concatenate(times)).astype(np.int64)
-            keys[:], times[:] = [different], [n]
+            every = np.concatenate(keys)
+            order = np.argsort(every, kind="stable")  # sorted runs, which a stable sort merges
+            every = every[order]
+            starts = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+            keys[:], times[:] = [every[starts]], [np.add.reduceat(np.concatenate(times)[order], starts)]
 
         def out() -> Iterator[pa.RecordBatch]:
             merged()
             number, cell = np.divmod(keys[0], sides)
             starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
             bounds = np.r_[starts, len(number)]
-            cell, n = cell.astype(np.uint8).tobytes(), times[0].astype("<i4").tobytes()
+            cell, n = cell.astype(np.uint8), times[0].astype("<i4").view(np.uint8)
             for at in range(0, len(starts), 1 << 16):
-                some = range(at, min(at + (1 << 16), len(starts)))
+                some = bounds[at:at + (1 << 16) + 1]
+                low, high = some[0], some[-1]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([words[number[starts[i]]] for i in some], pa.binary()),
-                    pa.array([cell[bounds[i]:bounds[i + 1]] for i in some], pa.binary()),
-                    pa.array([n[4 * bounds[i]:4 * bounds[i + 1]] for i in some], pa.binary())],
+                    pa.array([words[i] for i in number[some[:-1]].tolist()], pa.binary()),
+                    binaries(cell[low:high], some - low), binaries(n[4 * low:4 * high], 4 * (some - low))],
                     names=["word", "cells", "times"])
 
         for batch in batches:
             for part in slices(batch, text):
-                ids = [end]
-                for value in as_bytes(part.column(text)):
-                    ids += [numbers[w] for w in spaced_words(value)]
-                    ids.append(end)
-                ids = np.array(ids, np.int64)
-                of = np.array(classes, np.int64)[ids]
+                ids, _ = numbered(as_bytes(part.column(text)), numbers, end)
+                of = np.frombuffer(bytes(classes), np.uint8)[ids]
                 rare = np.flatnonzero(ids >= first)
-                found, n = np.unique(np.concatenate([
-                    ids[rare] * sides + of[rare - 1], ids[rare] * sides + sides // 2 + of[rare + 1]]), return_counts=True)
+                own = ids[rare] * sides
+                found, n = np.unique(np.concatenate([own + of[rare - 1], own + sides // 2 + of[rare + 1]]), return_counts=True)
                 keys.append(found)
                 times.append(n)
                 held += len(found)
@@ -395,33 +432,38 @@ def placed(train: DataFrame, model: Model, table: np.ndarray, text: str = "text"
         of_unit, table = shared.value
         placement, sides = Placement(table), 2 * len(table)
 
-        def out(rows: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
-            words = list(dict.fromkeys(r[0] for r in rows))
-            number = {w: i for i, w in enumerate(words)}
-            cell = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).astype(np.int64)
-            n = np.frombuffer(b"".join(r[2] for r in rows), "<i4").astype(np.int64)
-            word = np.repeat([number[r[0]] for r in rows], [len(r[1]) for r in rows])
-            keys, place = np.unique(word * sides + cell, return_inverse=True)
-            n = np.bincount(place, weights=n).astype(np.int64)
-            word, cell = np.divmod(keys, sides)
-            start = of_unit[[unit_of_rare(w) for w in words]]
+        def out(words: pa.Array, word: np.ndarray, cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            start = of_unit[units_of_rare(words)]
             total = np.bincount(word, weights=n, minlength=len(words)).astype(np.int64) // 2
             return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(total),
-                 pa.array(placement.of(start, word, cell, n), pa.int32())], names=["word", "n", "class"])
+                [words, pa.array(total), pa.array(placement.of(start, word, cell, n), pa.int32())],
+                names=["word", "n", "class"])
 
-        waiting: list[tuple[bytes, bytes, bytes]] = []
+        # the last word of a batch may go on in the next one: its counts are carried, a number for each cell
+        last, carried = pa.array([], pa.binary()), np.zeros(sides, np.int64)
         for batch in batches:
-            waiting += zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            last = waiting[-1][0] if waiting else None
-            whole = len(waiting)
-            while whole and waiting[whole - 1][0] == last:
-                whole -= 1
+            if not batch.num_rows:
+                continue
+            rows = pa.concat_arrays([last, batch.column("word").cast(pa.binary())])
+            fresh = np.r_[True, pc.not_equal(rows.slice(1), rows.slice(0, len(rows) - 1)).to_numpy(zero_copy_only=False)]
+            words, number = rows.filter(pa.array(fresh)), np.cumsum(fresh) - 1
+            cell, bounds = bytes_of(batch.column("cells"))
+            held = np.flatnonzero(carried)
+            keys = np.concatenate([held, np.repeat(number[len(last):], np.diff(bounds)) * sides + cell])
+            n = np.concatenate([carried[held], bytes_of(batch.column("times"))[0].view("<i4")])
+            order = np.argsort(keys, kind="stable")
+            starts = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
+            word, cell = np.divmod(keys[order][starts], sides)
+            n = np.add.reduceat(n[order], starts)
+            whole = int(np.searchsorted(word, len(words) - 1))
+            carried[:] = 0
+            carried[cell[whole:]] = n[whole:]
+            last = words.slice(len(words) - 1)
             if whole:
-                yield out(waiting[:whole])
-                waiting = waiting[whole:]
-        if waiting:
-            yield out(waiting)
+                yield out(words.slice(0, len(words) - 1), word[:whole], cell[:whole], n[:whole])
+        if len(last):
+            cell = np.flatnonzero(carried)
+            yield out(last, np.zeros(len(cell), np.int64), cell, carried[cell])
 
     return ordered.mapInArrow(run, "word binary, n long, class int")
 
@@ -436,63 +478,37 @@ def tagged(docs: DataFrame, model: Model, words: DataFrame, keep: list[str], tex
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     base = math.log10(ALPHA)
+    made: list[_Tagger] = []
 
-    made: list[dict[bytes, int]] = []
-
-    def run(batch: pa.RecordBatch) -> dict:
-        model = shared.value
+    def run(batch: pa.RecordBatch) -> Iterator[dict]:
         if not made:
-            made.append(_class_memo(model))
-        memo = made[0]
-        known = model.known
-        of_end = known.get(END)
-        out = {c: [] for c in ("n_tokens", "n_common", "common", "classes", "places")}
-        rare_words, rare_times, offsets = [], [], [0]
+            made.append(_Tagger(shared.value))
         for part in slices(batch, "_text"):
-            for value in as_bytes(part.column("_text")):
-                words = spaced_words(value)
-                rare: dict[bytes, int] = {}
-                order: dict[bytes, int] = {}
-                places: list[int] = []
-                total, n = (of_end, 1) if of_end is not None else (base, 0)
-                for i, w in enumerate(words):
-                    v = known.get(w)
-                    if v is None:
-                        rare[w] = rare.get(w, 0) + 1
-                        places += (i, order.setdefault(w, len(order)))
-                    else:
-                        total += v
-                        n += 1
-                out["n_tokens"].append(len(words) + 1)
-                out["common"].append(total)
-                out["n_common"].append(n)
-                out["classes"].append(bytes([memo[w] for w in words] + [memo[END]]))
-                out["places"].append(np.array(places, "<i4").tobytes())
-                rare_words += rare
-                rare_times += rare.values()
-                offsets.append(len(rare_words))
-        rare = pa.StructArray.from_arrays(
-            [pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int32())], names=["word", "n"])
-        return {c: batch.column(c) for c in [*keep, "_row"]} | out | {
-            "rare": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare)}
+            yield {c: part.column(c) for c in [*keep, "_row"]} | made[0].of(as_bytes(part.column("_text")))
 
     def resolve(batch: pa.RecordBatch) -> dict:
-        classes = []
-        for own, places, found in zip(*(batch.column(c).to_pylist() for c in ("classes", "places", "found")), strict=True):
-            if found:
-                numbers = np.frombuffer(own, np.uint8).copy()
-                at, order = np.frombuffer(places, "<i4").reshape(-1, 2).T
-                of = np.full(order.max() + 1, -1, np.int64)
-                of[[f["place"] for f in found]] = [f["class"] for f in found]
-                hit = of[order] >= 0
-                numbers[at[hit]] = of[order][hit]
-                own = numbers.tobytes()
-            classes.append(own)
-        return {c: batch.column(c) for c in batch.schema.names if c not in ("places", "found")} | {"classes": classes}
+        flat, bounds = bytes_of(batch.column("classes"))
+        places, cuts = bytes_of(batch.column("places"))
+        at, order = places.view("<i4").reshape(-1, 2).T.astype(np.int64)
+        row = np.repeat(np.arange(batch.num_rows), np.diff(cuts) // 8)
+        # a row's different words get numbers that go on through the batch
+        sizes = np.zeros(batch.num_rows, np.int64)
+        np.maximum.at(sizes, row, order + 1)
+        first = np.cumsum(sizes) - sizes
+        found = batch.column("found")
+        owner = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))
+        inner = found.flatten()
+        of = np.full(int(sizes.sum()), -1, np.int64)
+        of[first[owner] + inner.field("place").to_numpy(zero_copy_only=False)] = inner.field("class").to_numpy(zero_copy_only=False)
+        own = of[first[row] + order]
+        flat = flat.copy()
+        flat[(bounds[row] + at)[own >= 0]] = own[own >= 0]
+        rest = {c: batch.column(c) for c in batch.schema.names if c not in ("places", "found")}
+        return rest | {"classes": binaries(flat, bounds)}
 
     inner = docs.select(*keep, F.monotonically_increasing_id().alias("_row"), F.col(text).alias("_text"))
     schema = ", ".join(f"`{c}` {t}" for c, t in inner.dtypes if c != "_text")
-    parts = written(arrow_map(
+    parts = written(arrow_parts(
         inner, run, schema + ", n_tokens long, n_common long, common double, classes binary, places binary, "
         "rare array<struct<word: binary, n: int>>"), "tagged")
     rare = parts.select("_row", F.posexplode("rare").alias("place", "r")).select(
@@ -513,20 +529,61 @@ def tagged(docs: DataFrame, model: Model, words: DataFrame, keep: list[str], tex
     return arrow_map(joined, resolve, kept)
 
 
-def _class_memo(model: Model) -> dict[bytes, int]:
-    """Class of every word that a task knows, and of the ending of any other."""
-    of_unit = model.classes.tolist()
-    own = {w: of_unit[u] for w, u in model.units.frequent.items()} | model.own_class
+class _Tagger:
+    """Reads texts with what a task knows of words: counts of common ones, classes of all by their ending at least."""
 
-    class Memo(dict):
-        def __missing__(self, word: bytes) -> int:
-            if len(self) > 400_000:
-                self.clear()
-                self.update(own)
-            self[word] = number = of_unit[unit_of_rare(word)]
-            return number
+    def __init__(self, model: Model) -> None:
+        of_unit = model.classes.tolist()
+        own = {w: of_unit[u] for w, u in model.units.frequent.items()} | model.own_class
+        self.of_end = model.known.get(END)
+        self.end_class = own[END]
+        self.words = list(model.known)  # common ones; others follow as they come
+        self.common = len(self.words)
+        self.logs = np.array(list(model.known.values()))
+        classes = self.classes = bytearray(own[w] if w in own else of_unit[unit_of_rare(w)] for w in self.words)
+        words = self.words
+
+        class Numbers(dict):
+            def __missing__(self, word: bytes) -> int:
+                self[word] = number = len(words)
+                words.append(word)
+                classes.append(of_unit[unit_of_rare(word)])
+                return number
 
-    return Memo(own)
+        self.numbers = Numbers({w: i for i, w in enumerate(words)})
+
+    def of(self, texts: list[bytes | None]) -> dict:
+        """Columns n_tokens, n_common, common, classes, places and rare of some texts."""
+        if len(self.words) > self.common + 400_000:
+            for w in self.words[self.common:]:
+                del self.numbers[w]
+            del self.words[self.common:], self.classes[self.common:]
+        ids, ends = numbered(texts, self.numbers, 0)
+        ids, ends = ids[1:], ends[1:] - 1  # an end stands after each text only
+        starts = np.r_[0, ends[:-1] + 1]
+        row = np.repeat(np.arange(len(texts)), ends - starts + 1)
+        flat = np.frombuffer(bytes(self.classes) or b"\0", np.uint8)[ids]
+        flat[ends] = self.end_class
+        word = np.ones(len(ids), bool)
+        word[ends] = False
+        usual = np.flatnonzero(word & (ids < self.common))
+        other = np.flatnonzero(word & (ids >= self.common))
+        pairs, order, times = np.unique(
+            row[other] * len(self.words) + ids[other], return_inverse=True, return_counts=True)
+        bounds = np.searchsorted(pairs, np.arange(len(texts) + 1) * len(self.words))  # of a text's different rare words
+        places = np.stack([other - starts[row[other]], order - bounds[row[other]]], axis=1).astype("<i4")
+        rare = pa.StructArray.from_arrays([
+            pa.array([self.words[i] for i in (pairs % max(len(self.words), 1)).tolist()], pa.binary()),
+            pa.array(times, pa.int32())], names=["word", "n"])
+        sums = np.bincount(row[usual], weights=self.logs[ids[usual]], minlength=len(texts))
+        return {
+            "n_tokens": pa.array(ends - starts + 1),
+            "n_common": pa.array(np.bincount(row[usual], minlength=len(texts)) + (self.of_end is not None)),
+            "common": pa.array(sums + (math.log10(ALPHA) if self.of_end is None else self.of_end)),
+            "classes": binaries(flat, np.r_[starts, len(flat)]),
+            "places": binaries(places.reshape(-1).view(np.uint8), 8 * np.searchsorted(other, np.r_[starts, len(ids)])),
+            "rare": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare),
+        }
 
 
 def class_bigrams(rows: DataFrame, end: int, classes: int) -> np.ndarray:
