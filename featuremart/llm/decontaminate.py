@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.llm.common import WORD_TABLE, arrow_map, as_bytes, plain_words, slices
+from featuremart.session import removed, shared_folder
 
 WINDOW = 10
 #: Words of benchmark items in one broadcast; a larger benchmark is scanned in several passes.
@@ -84,7 +86,8 @@ def scan(
     not none, is one window.  Null and empty texts have no words; an item without words
     has no window.  A null item id is listed as ``null``.  Repeated items are one item.
     An empty benchmark hits nothing.  Columns of ``docs`` with the names of results are
-    replaced.  Documents are not shuffled.
+    replaced.  Documents are not shuffled.  A benchmark of several blocks is scanned block
+    by block: each holds one broadcast, and the rows are written in between.
     """
     spark: SparkSession = docs.sparkSession
     names = ("n_words", "hit_starts", "hit_ends", "items")
@@ -94,20 +97,33 @@ def scan(
         "hit_ends": F.lit(None).cast("array<int>"), "items": F.lit(None).cast("array<string>")})
     schema = state.schema
     declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    shared, folder = None, None
     for items in _blocks(benchmark, item_id, item_text, block_words):
+        if shared is not None:  # one block is live at a time: what the last one found is written
+            before, folder = folder, shared_folder(spark, "scan")
+            state.write.parquet(folder)
+            state = spark.read.schema(schema).parquet(folder)
+            shared.destroy()
+            if before is not None:
+                removed(spark, before)
         shared = spark.sparkContext.broadcast(items)
-        made: list[WindowSet] = []
+        state = arrow_map(state, _scanner(shared, window, text, base, names), declared)
+    return state
 
-        def run(batch: pa.RecordBatch, shared=shared, made=made) -> dict:
-            if not made:
-                made.append(WindowSet(shared.value, window))
-            out: dict[str, list] = {c: [] for c in names}
-            for part in slices(batch, text):
-                _scan_part(made[0], as_bytes(part.column(text)), part, out)
-            return {c: batch.column(c) for c in base} | out
 
-        state = arrow_map(state, run, declared)
-    return state
+def _scanner(shared, window: int, text: str, base: list[str], names: tuple[str, ...]) -> Callable:
+    """Adds what one block's items hit to each batch."""
+    made: list[WindowSet] = []
+
+    def run(batch: pa.RecordBatch) -> dict:
+        if not made:
+            made.append(WindowSet(shared.value, window))
+        out: dict[str, list] = {c: [] for c in names}
+        for part in slices(batch, text):
+            _scan_part(made[0], as_bytes(part.column(text)), part, out)
+        return {c: batch.column(c) for c in base} | out
+
+    return run
 
 
 def _scan_part(windows: WindowSet, texts: list[bytes | None], part: pa.RecordBatch, out: dict[str, list]) -> None:
