@@ -32,8 +32,10 @@ SIMILARITY = 0.8
 RECALL = 0.95
 #: Bits of a segment that are wiped out, one at a time.
 WEAK = 8
-#: Members of a signature that are all compared; larger groups go through a representative and an exact index.
+#: Members of a signature whose close pairs are looked for; larger groups go through a representative and an exact index.
 DIRECT = 32
+#: Close pairs per member that such a group lists; one with more goes the same way as larger ones.
+LISTED = 1
 #: Bits beside the segments that proposed pairs are held against, and how many may differ (ten do on average at 0.8).
 CHECK, CHECK_DISTANCE = 64, 21
 #: First members of large groups that a set is held against before the exact comparison.
@@ -176,24 +178,27 @@ def _close(check_a, check_b, size_a, size_b, similarity: float) -> np.ndarray:
 
 
 def _together(rows: tuple[np.ndarray, ...], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Close pairs of the members of equal keys; ``rows`` are key, sig, check and size, sorted."""
+    """Places (later, earlier) of the close pairs of the members of equal keys; ``rows`` are key, sig, check and size, sorted."""
+    key, _, check, size = rows
     found: list = [[], []]
     step = 1
-    while True:
-        key, sig, check, size = rows
-        same = key[step:] == key[:-step]
-        if not same.any():
-            break
+    while (same := key[step:] == key[:-step]).any():
         near = np.flatnonzero(same)
         near = near[_close(check[near + step], check[near], size[near + step], size[near], similarity)]
-        found[0].append(sig[near + step])
-        found[1].append(sig[near])
+        found[0].append(near + step)
+        found[1].append(near)
         step += 1
     return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in found)
 
 
-def _propose(batches: Iterator[pa.RecordBatch], similarity: float, direct: int) -> Iterator[pa.RecordBatch]:
-    """Close pairs (kind 0: a, b) of small groups; first and member of large ones, all (kind 1) and close ones (kind 2)."""
+def _propose(batches: Iterator[pa.RecordBatch], similarity: float, direct: int,
+             listed: float = math.inf) -> Iterator[pa.RecordBatch]:
+    """Close pairs (kind 0: a, b) of small groups; first and member of others, all (kind 1) and close ones (kind 2).
+
+    A small group with more than ``listed`` close pairs per member is dense: of it, the
+    members that are in such a pair are written, with the smallest of them as their first.
+    So no group writes more rows per member than ``listed``, or two.
+    """
     waiting: list[tuple[np.ndarray, ...]] = []
     count, open_ = 0, None  # the large group that the rows before ended in: its key and first member
 
@@ -209,6 +214,22 @@ def _propose(batches: Iterator[pa.RecordBatch], similarity: float, direct: int)
         yield out(2, np.full(near.sum(), first[1]), sig[near])
         yield out(1, np.full(len(sig), first[1]), sig)
 
+    def small(rows: tuple) -> Iterator[pa.RecordBatch]:
+        key, sig = rows[:2]
+        later, earlier = _together(rows, similarity)
+        group = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
+        members = np.bincount(group)
+        dense = (np.bincount(group[later], minlength=len(members)) > listed * members)[group[later]]
+        yield out(0, sig[later[~dense]], sig[earlier[~dense]])
+        later, earlier = later[dense], earlier[dense]
+        inside = np.unique(np.r_[later, earlier])
+        _, start, of = np.unique(group[inside], return_index=True, return_inverse=True)
+        first = np.zeros(len(key), np.int64)
+        first[inside] = inside[start][of]
+        yield out(1, sig[first[inside]], sig[inside])
+        near = first[later] == earlier
+        yield out(2, sig[earlier[near]], sig[later[near]])
+
     def handle(rows: tuple, last: bool) -> Iterator[pa.RecordBatch]:
         nonlocal waiting, count, open_
         waiting, count = [], 0
@@ -232,7 +253,7 @@ def _propose(batches: Iterator[pa.RecordBatch], similarity: float, direct: int)
         of_row = np.repeat(lengths, lengths)
         few = (of_row > 1) & (of_row <= direct)
         if few.any():
-            yield out(0, *_together(tuple(x[few] for x in rows), similarity))
+            yield from small(tuple(x[few] for x in rows))
         for start, length in zip(starts[lengths > direct], lengths[lengths > direct], strict=True):
             member = tuple(x[start:start + length] for x in rows)
             first = tuple(x[0] for x in member)
@@ -250,12 +271,12 @@ def _propose(batches: Iterator[pa.RecordBatch], similarity: float, direct: int)
 
 
 def proposed(sets: DataFrame, cut: Layout, similarity: float = SIMILARITY, direct: int = DIRECT) -> DataFrame:
-    """(kind, x, y): pairs of sets that share a signature (0), first and other members of large groups (1), close ones (2).
+    """(kind, x, y): pairs of sets that share a signature (0), first and members of large or dense groups (1), close ones (2).
 
     A task reads its signatures in order and keeps one small group.
     """
     ordered = signatures(sets.where("size > 0"), cut).repartition("signature").sortWithinPartitions("signature", "sig")
-    return ordered.mapInArrow(partial(_propose, similarity=similarity, direct=direct), "kind int, x long, y long")
+    return ordered.mapInArrow(partial(_propose, similarity=similarity, direct=direct, listed=LISTED), "kind int, x long, y long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -353,12 +374,13 @@ def near_copy_roots(docs: DataFrame, sets: DataFrame, key: list, text: str, cut:
                     similarity: float, direct: int = DIRECT) -> DataFrame:
     """(node, root) of the sets that are linked to others, directly or not.
 
-    Small groups of a signature are compared whole.  Members of large ones are held against
-    the first members of FIRSTS of them; where that leaves members apart, ``apart`` compares them exactly, so that no
-    pair is lost to the size of a group.
+    Small groups of a signature list their close pairs while these are no more than the members.
+    Members of large and dense ones are held against the first members of FIRSTS of them; where
+    that leaves members apart, ``apart`` compares them exactly, so that no pair is lost to the
+    size of a group, and none lists pairs by the square of it.
     """
     found = written(proposed(sets, cut, similarity, direct), "proposed")
-    # a set is in up to WEAK large groups per segment; it is held against the smallest of their first members
+    # a set is in up to WEAK such groups per segment; it is held against the smallest of their first members
     held = found.where("kind = 2").groupBy("y").agg(F.array_sort(F.collect_set("x")).alias("firsts")).select(
         F.explode(F.slice("firsts", F.lit(1), F.lit(FIRSTS))).alias("x"), "y")
     pairs = written(found.where("kind = 0").select("x", "y").union(held.select("x", "y")).distinct(), "pairs")

@@ -197,3 +197,36 @@ def test_segments_find_pairs_with_the_stated_probability(similarity):
             weak = (similar.weakest(margins[0], cut) & similar.weakest(margins[1], cut))[:used].reshape(cut.segments, -1)
             found += bool(((apart.sum(1) == 0) & weak.any(1) | (apart.sum(1) == 1) & (apart & weak).any(1)).any())
         assert found >= 0.88 * 120
+
+
+@pytest.mark.parametrize("members", [8, 32])
+def test_a_dense_group_lists_no_more_pairs_than_members(members):
+    """All members of one signature are close: they are written with their first, not pair by pair."""
+    sig = np.arange(members, dtype=np.int64)
+    key, same = np.full(members, 7, np.int64), np.zeros(members, np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in (key, sig, same, same + 100)], names=["signature", "sig", "check", "size"])
+    found = Counter()
+    for out in similar._propose(iter([batch]), 0.8, 32, similar.LISTED):
+        found.update(zip(*(c.to_pylist() for c in out.columns), strict=True))
+    assert found == Counter([(1, 0, i) for i in range(members)] + [(2, 0, i) for i in range(1, members)])
+
+
+def test_a_group_with_few_close_pairs_lists_them():
+    """Pairs of a sparse group, and of two groups of a batch only the dense one's members."""
+    sig = np.arange(16, dtype=np.int64)
+    key = np.repeat(np.array([3, 9], np.int64), 8)
+    check = np.r_[np.zeros(2), np.full(6, -1), np.zeros(8)].astype(np.int64)
+    size = np.r_[100, 100, 1000 * 2 ** np.arange(6), np.full(8, 100)].astype(np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in (key, sig, check, size)], names=["signature", "sig", "check", "size"])
+    found = {tuple(r.values()) for out in similar._propose(iter([batch]), 0.8, 32, similar.LISTED) for r in out.to_pylist()}
+    assert found == {(0, 1, 0), *((1, 8, i) for i in range(8, 16)), *((2, 8, i) for i in range(9, 16))}
+
+
+def test_dense_groups_end_as_brute_force_says(make_docs):
+    """A cluster in which some pairs are similar and most are only alike."""
+    rng = random.Random(16)
+    base = words(rng, 200)
+    rows = [(i, " ".join(changed(rng, base, rng.sample(range(200), rng.randint(1, 9))))) for i in range(120)]
+    found = Counter(r.doc_id for r in similar.keep_one(make_docs(rows)).collect())
+    want = smallest_of_components(rows)
+    assert not want - found and sum((found - want).values()) <= 0.1 * (len(rows) - sum(want.values()))
