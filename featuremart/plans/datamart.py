@@ -162,8 +162,7 @@ class Datamart:
     ) -> str:
         """Fit on the training window, judge all splits, store the model and append the run; its id."""
         rows = self.read("gold", "training")
-        dated = materialise(rows.withColumn("_window", assign_split(pit.LABEL_DATE, windows))
-                            .filter(F.col("_window").isNotNull()), "training")
+        dated = rows.withColumn("_window", assign_split(pit.LABEL_DATE, windows)).filter(F.col("_window").isNotNull())
         split = sampling.stratified_split(
             dated.filter("_window = 'train_test'"), "label", columns=["loan_id", pit.KEY, pit.LABEL_DATE])
         every = materialise(split.unionByName(dated.filter("_window = 'oot'").withColumn("split", F.lit("oot"))), "splits")
