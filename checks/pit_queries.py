@@ -57,23 +57,33 @@ def batch(t: Inputs) -> DataFrame:
     return pit.label_batch(labels(t))
 
 
+def make_attributes(raw: DataFrame) -> DataFrame:
+    return gold.gold_attributes(silver.silver_attributes(raw))
+
+
+def make_financials(raw: DataFrame) -> DataFrame:
+    return gold.gold_financials(silver.silver_financials(raw))
+
+
 def attributes(t: Inputs) -> DataFrame:
-    return gold.gold_attributes(silver.silver_attributes(t.view("attributes")))
+    return make_attributes(t.view("attributes"))
 
 
 def financials(t: Inputs) -> DataFrame:
-    return gold.gold_financials(silver.silver_financials(t.view("financials")))
+    return make_financials(t.view("financials"))
 
 
 def features(t: Inputs, **options) -> DataFrame:
-    return pretrain.pretrain_features(labels(t), attributes(t), financials(t), t.view("click"), **options)
+    return pretrain.pretrain_features(
+        labels(t), t.view("attributes"), t.view("financials"), t.view("click"),
+        make_attributes=make_attributes, make_financials=make_financials, **options)
 
 
 REGISTRY.add("point_in_time_join", pit_sql(GOLD_ATTRIBUTES, ATTRIBUTES, "attributes_snapshot_date", BATCH))(
     lambda t: pit.point_in_time_join(batch(t), attributes(t), 6, ATTRIBUTES, "attributes_snapshot_date"))
 
 REGISTRY.add("as_of_latest", latest_sql(GOLD_FINANCIALS_FLOAT, MONEY, "financials_snapshot_date"))(
-    lambda t: pit.as_of_latest(batch(t), financials(t), 6, MONEY, "financials_snapshot_date"))
+    lambda t: pit.as_of_latest(batch(t), t.view("financials"), 6, MONEY, "financials_snapshot_date", make_financials))
 
 REGISTRY.add("pit_mean_features", CLICK_MEANS)(
     lambda t: pit.pit_mean_features(batch(t), t.view("click"), 6, fixed.CLICK_FEATURES))
@@ -93,7 +103,7 @@ FROM ({CLICK_MEANS}) c
 JOIN ({latest_sql(GOLD_ATTRIBUTES, ATTRIBUTES, 'attributes_snapshot_date')}) USING (Customer_ID)
 """)(lambda t: pit.merge_features([
     pit.pit_mean_features(batch(t), t.view("click"), 6, fixed.CLICK_FEATURES).drop("label_snapshot_date"),
-    pit.as_of_latest(batch(t), attributes(t), 6, ATTRIBUTES, "attributes_snapshot_date")
+    pit.as_of_latest(batch(t), t.view("attributes"), 6, ATTRIBUTES, "attributes_snapshot_date", make_attributes)
     .drop("label_snapshot_date")], on=["Customer_ID"]))
 
 REGISTRY.add("latest_per_key", """

@@ -26,7 +26,7 @@ def parse_dirty_number(c: Column | str, to: str = "double") -> Column:
     Integer targets truncate: ``'3.7'`` gives 3.
     """
     digits = F.regexp_replace(_col(c).cast("string"), fixed.NUMBER_CHARACTERS, "")
-    number = digits.try_cast("double")
+    number = F.nullif(digits, F.lit("")).try_cast("double")  # a failed cast costs an exception
     return number if to == "double" else number.try_cast(to)
 
 
@@ -43,8 +43,12 @@ def null_out_of_range(c: Column | str, low=None, high=None) -> Column:
 
 def clean_age(c: Column | str, low: int = fixed.AGE_RANGE[0], high: int = fixed.AGE_RANGE[1]) -> Column:
     """Age from text; the decimal point is dropped too, so ``'45.5'`` is out of range."""
-    digits = F.regexp_replace(_col(c).cast("string"), fixed.DIGIT_DASH_CHARACTERS, "")
-    return null_out_of_range(digits.try_cast("int"), low, high)
+    return null_out_of_range(parse_digits(c), low, high)
+
+
+def parse_digits(c: Column | str) -> Column:
+    """Integer from the digits and dashes of a text alone."""
+    return F.regexp_replace(_col(c).cast("string"), fixed.DIGIT_DASH_CHARACTERS, "").try_cast("int")
 
 
 def normalise_name(c: Column | str) -> Column:
@@ -104,8 +108,8 @@ def parse_duration_months(c: Column | str) -> Column:
     """``'15 Years and 10 Months'`` to 190; a missing part counts as 0, so does NULL."""
 
     def part(unit: str) -> Column:
-        number = F.regexp_extract(_col(c), rf"(\d+)\s+{unit}", 1).try_cast("int")
-        return F.coalesce(number, F.lit(0))
+        number = F.regexp_extract(_col(c), rf"(\d+)\s+{unit}", 1)
+        return F.coalesce(F.nullif(number, F.lit("")).try_cast("int"), F.lit(0))
 
     return part("Years") * 12 + part("Months")
 
@@ -115,8 +119,9 @@ def clean_multi_value(
 ) -> Column:
     """Text list to a separated list of distinct trimmed items, in first-seen order."""
     items = F.split(F.regexp_replace(_col(c), r"\s+and\s+", ","), ",")
-    trimmed = F.array_distinct(F.transform(items, lambda item: F.trim(item)))
-    return F.array_join(F.filter(trimmed, lambda item: ~item.isin(list(junk))), separator)
+    trimmed = F.transform(items, lambda item: F.trim(item))
+    unwanted = F.array(*[F.lit(item) for item in junk]).cast("array<string>")
+    return F.array_join(F.array_except(trimmed, unwanted), separator)  # keeps one of equal items
 
 
 def normalise_nulls(c: Column | str, tokens: Sequence[str] = tuple(fixed.NULL_TOKENS)) -> Column:

@@ -6,12 +6,13 @@ cutoff, ``add_months(label_date, 1 - months_on_book)``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from featuremart.functions.dates import feature_cutoff
@@ -61,11 +62,16 @@ def point_in_time_join(
 
 @dataclass(frozen=True)
 class Latest:
-    """Take the newest row of ``source`` before the cutoff."""
+    """Take the newest row of ``source`` before the cutoff.
+
+    ``make`` turns rows of ``source`` into rows with ``columns``, row by row, and leaves
+    customer and date as they are; it runs on the rows of the days that are taken alone.
+    """
 
     source: DataFrame
     columns: Sequence[str]
     date_as: str
+    make: Callable[[DataFrame], DataFrame] | None = None
 
 
 @dataclass(frozen=True)
@@ -80,15 +86,16 @@ class Mean:
 def point_in_time_features(
     labels: DataFrame, months_on_book: int, parts: Sequence[Latest | Mean]
 ) -> DataFrame:
-    """Features of several sources per customer and label date, in one pass.
-
-    Every source is first reduced to one row per customer and day.  Reduced rows and
-    label cutoffs then form one ordered sequence per customer, over which the newest
-    rows and the running sums are carried forward to each label.  So there is a single
-    shuffle by customer for all sources, no label-by-row pairs and no join, and the
-    sequence of one customer is bounded by the number of snapshots, however many raw
-    rows the customer has.  On equal days the label comes first, so a row exactly at the
-    cutoff is not seen.  A label without usable rows in every source is left out.
+    """Features of several sources per customer and label date, without label-by-row pairs.
+
+    Per source the days that have rows form one ordered sequence per customer with the
+    label cutoffs, and only what a label can see goes on: of ``Latest`` the rows of the
+    newest day before a cutoff, of ``Mean`` the sums up to a cutoff.  So rows that no
+    label takes are neither made nor sorted, what is carried forward to the labels has
+    no more rows than there are cutoffs per source, and the sequence of one customer is
+    bounded by the number of snapshots, however many raw rows the customer has.  On equal
+    days the label comes first, so a row exactly at the cutoff is not seen.  A label
+    without usable rows in every source is left out.
     """
     # a row without a customer belongs to nobody: it never matches
     wanted = labels.select(KEY, LABEL_DATE).filter(F.col(KEY).isNotNull()).distinct().select(
@@ -98,45 +105,87 @@ def point_in_time_features(
     sequence, carried, found, output = wanted, [], F.col(LABEL_DATE).isNotNull(), []
     for i, part in enumerate(parts):
         usable = before_last_cutoff(part.source, labels, months_on_book).filter(F.col(KEY).isNotNull())
-        if isinstance(part, Latest):
-            row = f"_row{i}"
-            per_day = latest_per_key(
-                usable.select(KEY, SOURCE_DATE, *part.columns), [KEY, SOURCE_DATE], []
-            ).select(
-                KEY, SOURCE_DATE,
-                F.struct(*part.columns, F.col(SOURCE_DATE).alias(part.date_as)).alias(row),
-            )
-            carried.append(F.last(row, ignorenulls=True).over(order).alias(row))
-            found = found & F.col(row).isNotNull()
-            output.append(F.col(f"{row}.*"))
-        else:
-            expect_columns(part.source, [KEY, SOURCE_DATE, *part.features])
-            sums = {f"_sum{i}_{f}": F.sum(f) for f in part.features}
-            sums.update({f"_count{i}_{f}": F.count(f) for f in part.features})
-            sums[f"_rows{i}"] = F.count(F.lit(1))
-            per_day = usable.groupBy(KEY, SOURCE_DATE).agg(*[s.alias(n) for n, s in sums.items()])
-            carried += [F.sum(name).over(order).alias(name) for name in sums]
-            found = found & (F.col(f"_rows{i}") > 0)
-            output += [
-                F.round(
-                    F.try_divide(F.col(f"_sum{i}_{f}").cast("double"), F.col(f"_count{i}_{f}")), part.digits
-                ).alias(f"{f}_mean")
-                for f in part.features
-            ]
-        events = per_day.withColumnRenamed(SOURCE_DATE, "_day").withColumn("_kind", F.lit(1))
-        sequence = sequence.unionByName(events, allowMissingColumns=True)
+        seen = (_newest_before if isinstance(part, Latest) else _means_before)(wanted, usable, part)
+        row = f"_row{i}"
+        sequence = sequence.unionByName(seen.withColumnRenamed("_row", row), allowMissingColumns=True)
+        carried.append(F.last(row, ignorenulls=True).over(order).alias(row))
+        found = found & F.col(row).isNotNull()
+        output.append(F.col(f"{row}.*"))
     return sequence.select(KEY, LABEL_DATE, *carried).filter(found).select(KEY, LABEL_DATE, *output)
 
 
+def _with_cutoffs(wanted: DataFrame, days: DataFrame) -> DataFrame:
+    """Days with rows (``_kind`` 1) and cutoffs (``_kind`` 0) of each customer."""
+    events = days.withColumnRenamed(SOURCE_DATE, "_day").withColumn("_kind", F.lit(1))
+    return wanted.select(KEY, "_day", "_kind").unionByName(events, allowMissingColumns=True)
+
+
+def _backwards() -> WindowSpec:
+    """From the last day to the first, so that what precedes a row is later; a row at the cutoff precedes it."""
+    return W.partitionBy(KEY).orderBy(F.desc("_day"), F.desc("_kind"))
+
+
+def _newest_before(wanted: DataFrame, usable: DataFrame, part: Latest) -> DataFrame:
+    """The rows that are the newest before some cutoff; they take effect after their day.
+
+    The days are found on keys alone.  They have one narrow row each and at most one per
+    cutoff, so their side of the semi-join is hashed and the wide rows need no sort.
+    """
+    days = usable.select(KEY, SOURCE_DATE).distinct()
+    newest = (
+        _with_cutoffs(wanted, days)
+        .select("*", F.lag("_kind").over(_backwards()).alias("_follower"))
+        .filter((F.col("_kind") == 1) & (F.col("_follower") == 0))
+        .select(KEY, F.col("_day").alias(SOURCE_DATE))
+    )
+    taken = usable.join(newest.hint("shuffle_hash"), [KEY, SOURCE_DATE], "left_semi")
+    rows = part.make(taken) if part.make else taken
+    return latest_per_key(rows.select(KEY, SOURCE_DATE, *part.columns), [KEY, SOURCE_DATE], []).select(
+        KEY, F.col(SOURCE_DATE).alias("_day"), F.lit(1).alias("_kind"),
+        F.struct(*part.columns, F.col(SOURCE_DATE).alias(part.date_as)).alias("_row"),
+    )
+
+
+def _means_before(wanted: DataFrame, usable: DataFrame, part: Mean) -> DataFrame:
+    """Means over all rows before a cutoff, for each cutoff with rows since the one before it.
+
+    They take effect at the cutoff.  Rows are added up by their next cutoff before the
+    running sums, which so have no more rows than there are cutoffs.
+    """
+    expect_columns(part.source, [KEY, SOURCE_DATE, *part.features])
+    names = [(f"_sum_{f}", F.sum, f) for f in part.features] + [(f"_count_{f}", F.count, f) for f in part.features]
+    per_day = usable.groupBy(KEY, SOURCE_DATE).agg(*[add(f).alias(n) for n, add, f in names]).select(
+        KEY, SOURCE_DATE, F.struct(*[n for n, _, _ in names]).alias("_row")
+    )
+    cutoff = F.last(F.when(F.col("_kind") == 0, F.col("_day")), ignorenulls=True)
+    by_cutoff = (
+        _with_cutoffs(wanted, per_day)
+        .select("*", cutoff.over(_backwards().rowsBetween(W.unboundedPreceding, 0)).alias("_cutoff"))
+        .filter((F.col("_kind") == 1) & F.col("_cutoff").isNotNull())
+        .groupBy(KEY, "_cutoff")
+        .agg(*[F.sum(f"_row.{n}").alias(n) for n, _, _ in names])
+    )
+    order = W.partitionBy(KEY).orderBy("_cutoff").rowsBetween(W.unboundedPreceding, 0)
+    running = by_cutoff.select(KEY, "_cutoff", *[F.sum(n).over(order).alias(n) for n, _, _ in names])
+    means = [
+        F.round(F.try_divide(F.col(f"_sum_{f}").cast("double"), F.col(f"_count_{f}")), part.digits).alias(f"{f}_mean")
+        for f in part.features
+    ]
+    return running.select(
+        KEY, F.col("_cutoff").alias("_day"), F.lit(-1).alias("_kind"), F.struct(*means).alias("_row")
+    )
+
+
 def as_of_latest(
     labels: DataFrame,
     source: DataFrame,
     months_on_book: int,
     columns: Sequence[str],
     date_as: str,
+    make: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Newest source row before the cutoff: the point-in-time join, then the latest row."""
-    return point_in_time_features(labels, months_on_book, [Latest(source, columns, date_as)])
+    return point_in_time_features(labels, months_on_book, [Latest(source, columns, date_as, make)])
 
 
 def pit_mean_features(

@@ -46,13 +46,14 @@ def silver_attributes(bronze: DataFrame) -> DataFrame:
     ssn = text.validate_pattern("SSN")
     cleaned: dict[str, Column] = {
         "Name": name,
-        "Age": text.clean_age("Age"),
+        "Age": text.null_out_of_range("Age", *fixed.AGE_RANGE),
         "SSN": ssn,
         "Occupation": text.clean_category("Occupation"),
     }
     typed = enforce_schema(expect_columns(bronze, cleaned), {
         c: t for c, t in fixed.ATTRIBUTE_TYPES.items() if c in bronze.columns
     })
+    typed = _parsed_first(typed, {"Age": text.parse_digits("Age")})
     return typed.select(
         *[cleaned[c].alias(c) if c in cleaned else F.col(c) for c in typed.columns],
         text.mask_keep_first(name).alias("Name_Masked"),
@@ -60,8 +61,13 @@ def silver_attributes(bronze: DataFrame) -> DataFrame:
     )
 
 
+def _parsed_first(df: DataFrame, parsed: dict[str, Column]) -> DataFrame:
+    """Columns replaced in a projection of their own: later expressions name a value several times, it is parsed once."""
+    return df.select(*[parsed[c].alias(c) if c in parsed else F.col(f"`{c}`") for c in df.columns])
+
+
 def financial_expressions(bronze: DataFrame, real: str = "float") -> dict[str, Column]:
-    """Cleaning expression per financial column; ``real`` is the floating type used."""
+    """Cleaning expression per financial column, dirty integers parsed before; ``real`` is the floating type used."""
     cleaned: dict[str, Column] = {
         c: lenient_cast(bronze, c, real if t == "float" else t)
         for c, t in fixed.FINANCIAL_TYPES.items()
@@ -69,8 +75,6 @@ def financial_expressions(bronze: DataFrame, real: str = "float") -> dict[str, C
     }
     for c in fixed.DIRTY_FLOATS:
         cleaned[c] = text.parse_dirty_number(c).cast(real)
-    for c in fixed.DIRTY_INTS:
-        cleaned[c] = text.parse_dirty_number(c, "int")
     for c, (low, high, kind) in fixed.FINANCIAL_RANGES.items():
         value = cleaned.get(c, lenient_cast(bronze, c, "double"))
         bounded = text.null_out_of_range(value, low, high)
@@ -86,12 +90,13 @@ def financial_expressions(bronze: DataFrame, real: str = "float") -> dict[str, C
 
 def silver_financials(bronze: DataFrame, real: str = "float") -> DataFrame:
     """All financial columns cleaned; the behaviour text is split in two categories."""
-    cleaned = financial_expressions(bronze, real)
+    parsed = _parsed_first(bronze, {c: text.parse_dirty_number(c, "int") for c in fixed.DIRTY_INTS})
+    cleaned = financial_expressions(parsed, real)
     expect_columns(bronze, [*(c for c in cleaned if c not in fixed.FINANCIAL_TYPES), "Payment_Behaviour"])
-    return bronze.select(
+    return parsed.select(
         *[
             cleaned[c].alias(c) if c in cleaned else F.col(c)
-            for c in bronze.columns
+            for c in parsed.columns
             if c != "Payment_Behaviour"
         ],
         text.regex_category("Payment_Behaviour", fixed.SPENT_PATTERNS).alias("Payment_Behaviour_Spent"),
