@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from featuremart.llm.common import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _settled(current: DataFrame) -> bool:
+    """Whether every node of the distinct links (u, v) is either a root or has one link, to a root."""
+    ends = current.select(F.col("u").alias("node"), F.lit(1).alias("links")).union(
+        current.select("v", F.lit(0)))
+    return ends.groupBy("node").agg(F.sum("links").alias("links"), F.min("links").alias("least")).where(
+        "links > 1 OR links = 1 AND least = 0").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -23,16 +27,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     ends = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     current = written(ends.where("u > v").distinct(), "links")
-    before = None
-    while before != (now := _state(current)):
-        before = now
+    while not _settled(current):
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
             F.col("u").alias("v"), F.least("u", "m").alias("m"))
         large = current.join(least, "v").select("u", F.col("m").alias("v")).distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(small, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = written(
-            hung.union(small.select("u", F.col("m").alias("v"))).where("u > v").distinct(), "links")
+        # the link to the smallest neighbour itself stays, every other hangs its end on that neighbour
+        hung = F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u"))
+        current = written(large.join(small, "u").select(hung.alias("u"), F.col("m").alias("v")).distinct(), "links")
     nodes = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

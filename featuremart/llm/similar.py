@@ -356,7 +356,9 @@ def apart(sets: DataFrame, groups: DataFrame, similarity: float = SIMILARITY, bl
     shared = long.join(counts, "shingle").groupBy("sig").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("rare"))
     rare = sets.select("sig", "root", size.alias("size"), kept.alias("kept")).join(shared, "sig")
     first = F.greatest(F.lit(0), F.col("kept") - (F.col("size") - F.size("rare"))).cast("int")
-    rare = rare.select("sig", "root", F.explode(F.slice("rare", F.lit(1), first)).alias("s")).select("sig", "root", "s.shingle")
+    # two steps read them: written, neither counts and sorts the shingles again
+    rare = written(rare.select("sig", "root", F.explode(F.slice("rare", F.lit(1), first)).alias("s")).select(
+        "sig", "root", "s.shingle"), "rare")
     split = rare.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most")).where(
         "least < most").select("shingle")
     members = written(groups.join(rare.join(split, "shingle", "left_semi").select("sig").distinct(), "sig"), "members")
@@ -397,7 +399,7 @@ def near_copy_roots(docs: DataFrame, sets: DataFrame, key: list, text: str, cut:
     if open_.isEmpty():
         return roots
     root_of = open_.select("sig", "root").distinct()
-    linked = apart(texts.join(root_of, "sig"), open_.select("first", "sig"), similarity)
+    linked = apart(written(texts.join(root_of, "sig"), "compared"), open_.select("first", "sig"), similarity)
     of = [root_of.select(F.col("sig").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b")]
     over = connected_components(linked.join(of[0], "a").join(of[1], "b").select(
         F.col("root_a").alias("a"), F.col("root_b").alias("b"))).select(
