@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from featuremart.functions.text import WHITESPACE, _col
-from featuremart.operators.ordered import column_stats, exact_quantiles
+from featuremart.operators.ordered import column_stats, exact_quantiles, medians_of_counters, unpivot_numbers
 from featuremart.session import materialise
 
 
@@ -262,3 +262,47 @@ class Preprocessor:
                 ready = encoder.transform(ready)
                 parts.append(f"{name}_v")
         return VectorAssembler(inputCols=parts, outputCol="features").transform(ready).select(*keep, "features")
+
+
+def fit_without(
+    steps: Preprocessor, df: DataFrame, slot: str, folds: int
+) -> tuple[list[Preprocessor], list[dict[str, int]]]:
+    """``steps`` for the rows outside of each of ``folds`` slots, and for all rows last: medians, modes and vocabularies.
+
+    Slot ``folds`` is in no fold's way, later slots count for all rows only.  Values are
+    counted once for all: a counter a target.  Also per target the number of known values
+    of each numeric column.  Moments are left to a pass over the stored rows.
+    """
+    counters = [f"_n{t}" for t in range(folds + 1)]
+    used = [*[(F.col(slot) != k) & (F.col(slot) <= folds) for k in range(folds)], F.lit(True)]
+    counted = df.select("*", *[u.cast("bigint").alias(n) for u, n in zip(used, counters, strict=True)])
+    fitted = [replace(steps) for _ in counters]
+    known: list[dict[str, int]] = [{} for _ in counters]
+    for own in fitted:
+        own.medians_, own.modes_ = {}, {}
+        own.categories_, own.tokens_ = {c: [] for c in steps.categorical}, {c: [] for c in steps.multi_value}
+    if steps.numeric:
+        for row in medians_of_counters(unpivot_numbers(counted, steps.numeric, counters), counters, ["column"]).collect():
+            for own, some, (median, n) in zip(fitted, known, (row[c] for c in counters), strict=True):
+                some[row["column"]] = n
+                if median is not None:
+                    own.medians_[row["column"]] = median
+    for some in known:
+        for c in steps.numeric:
+            some.setdefault(c, 0)
+    if steps.categorical:
+        long = counted.select(*counters, *[F.col(c).cast("string").alias(c) for c in steps.categorical]).unpivot(
+            counters, list(steps.categorical), "column", "value")
+        rows = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(*[F.sum(n).alias(n) for n in counters]).collect()
+        for own, n in zip(fitted, counters, strict=True):
+            for c in steps.categorical:
+                sizes = {r["value"]: r[n] for r in rows if r["column"] == c and r[n]}
+                own.categories_[c] = sorted(sizes)
+                if sizes:
+                    own.modes_[c] = min(sizes, key=lambda v: (-sizes[v], v))
+    for c in steps.multi_value:
+        found = counted.select(F.explode(split_tokens(c, steps.separator)).alias("value"), *counters)
+        rows = found.groupBy("value").agg(*[F.sum(n).alias(n) for n in counters]).collect()
+        for own, n in zip(fitted, counters, strict=True):
+            own.tokens_[c] = sorted(r["value"] for r in rows if r[n])
+    return fitted, known

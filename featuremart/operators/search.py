@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from featuremart import fixed_values as fixed
 from featuremart.operators import metrics
+from featuremart.operators.folds import FoldTable, fold_table
 from featuremart.operators.modelling import LOGREG_SEARCH, TUNING_FOLDS, TUNING_TRIALS, Search, draw_parameters, with_class_weights
 from featuremart.operators.passes import few_tasks, summed, vectors
 from featuremart.operators.prep import Preprocessor
@@ -116,8 +117,11 @@ class Fit:
     penalise_intercept: bool = False
 
 
-def minimise(size: int, tolerance: float, limit: int, memory: int = 10) -> Generator:
-    """Limited-memory BFGS as a coroutine: yields points, is sent their value and gradient, returns the least."""
+def minimise(size: int, tolerance: float, limit: int, memory: int = 10, inverse: np.ndarray | None = None) -> Generator:
+    """Limited-memory BFGS as a coroutine: yields points, is sent their value and gradient, returns the least.
+
+    ``inverse`` is an estimate of the inverse second derivatives, by which steps are scaled.
+    """
     point = np.zeros(size)
     value, slope = yield point
     steps: list[tuple[np.ndarray, np.ndarray]] = []
@@ -128,13 +132,15 @@ def minimise(size: int, tolerance: float, limit: int, memory: int = 10) -> Gener
         for s, y in reversed(steps):
             factors.append((s @ way) / (s @ y))
             way -= factors[-1] * y
-        if steps:
+        if inverse is not None:
+            way = inverse @ way
+        elif steps:
             s, y = steps[-1]
             way *= (s @ y) / (y @ y)
         for (s, y), a in zip(steps, reversed(factors), strict=True):
             way += (a - (y @ way) / (s @ y)) * s
         down = slope @ way
-        length = 1.0 if steps else min(1.0, 1.0 / np.abs(slope).max())
+        length = 1.0 if steps or inverse is not None else min(1.0, 1.0 / np.abs(slope).max())
         for _ in range(40):
             new_value, new_slope = yield point - length * way
             if new_value <= value - 1e-4 * length * down + 1e-15 * abs(value):
@@ -160,15 +166,27 @@ def fit_many(rows: DataFrame, fits: Sequence[Fit], tolerance: float = 1e-10) ->
     """
     known = {r["group"]: (r["size"], r["weight"]) for r in rows.groupBy("group").agg(
         F.max(F.size("features")).alias("size"), F.sum("weight").alias("weight")).collect()}
+    few = few_tasks(rows)
+    return _solve(fits, known, lambda points: summed(rows, _losses(points), few), tolerance)
+
+
+def _solve(
+    fits: Sequence[Fit], known: Mapping[int, tuple[int, float]],
+    evaluate: Callable[[Mapping[int, tuple[int, np.ndarray]]], Mapping[int, np.ndarray]], tolerance: float,
+    inverse: Callable[[Fit], np.ndarray] | None = None,
+) -> list[np.ndarray]:
+    """All fits side by side; ``known`` are the number of features and total weight of each group with rows.
+
+    ``evaluate`` sums the losses and slopes of points (group, coefficients) in one pass.
+    """
     results: list[np.ndarray] = [np.empty(0) for _ in fits]
     running, points = {}, {}
     for i, fit in enumerate(fits):
         if fit.group in known:
-            running[i] = minimise(known[fit.group][0] + 1, tolerance, fit.limit)
+            running[i] = minimise(known[fit.group][0] + 1, tolerance, fit.limit, inverse=inverse(fit) if inverse else None)
             points[i] = next(running[i])
-    few = few_tasks(rows)
     while points:
-        sums = summed(rows, _losses({i: (fits[i].group, p) for i, p in points.items()}), few)
+        sums = evaluate({i: (fits[i].group, p) for i, p in points.items()})
         for i in list(points):
             fit, size = fits[i], known[fits[i].group][1]
             penalised = points[i].copy()
@@ -183,6 +201,21 @@ def fit_many(rows: DataFrame, fits: Sequence[Fit], tolerance: float = 1e-10) ->
     return results
 
 
+def fit_folds(table: FoldTable, fits: Sequence[Fit], tolerance: float) -> list[np.ndarray]:
+    """The same for groups that are targets of ``table``: folds, and all rows last; steps are scaled by curvature."""
+    few = few_tasks(table.rows)
+    # class weights add up to the number of rows
+    known = {t: (m.shape[1] - 1, float(n)) for t, (m, n) in enumerate(zip(table.maps, table.totals, strict=True)) if n}
+
+    def inverse(fit: Fit) -> np.ndarray:
+        penalty = np.full(known[fit.group][0] + 1, fit.penalty)
+        if not fit.penalise_intercept:
+            penalty[-1] = 0.0
+        return table.curvature(fit.group, penalty)
+
+    return _solve(fits, known, lambda points: table.losses(points, few), tolerance, inverse)
+
+
 def _losses(points: Mapping[int, tuple[int, np.ndarray]]):
     by_group: dict[int, list[int]] = {}
     for i, (group, _) in points.items():
@@ -230,6 +263,25 @@ class FoldMatrix:
     held: DataFrame
     sizes: dict[int, int]
 
+    def held_out(self, models: Mapping[int, Sequence[tuple[int, np.ndarray]]]) -> DataFrame:
+        """``group, draw, label, default_proba`` of the held-out rows of each group by its models (draw, coefficients)."""
+
+        def run(batches):
+            for batch in batches:
+                groups = np.asarray(batch.column("group"))
+                for group, found in models.items():
+                    part = batch.filter(pa.array(groups == group))
+                    if not part.num_rows:
+                        continue
+                    x, label = vectors(part.column("features")), part.column("label")
+                    for i, values in found:
+                        z = x @ values[:-1] + values[-1]
+                        yield pa.RecordBatch.from_pydict({
+                            "group": part.column("group"), "draw": pa.array([i] * len(z), pa.int32()), "label": label,
+                            "default_proba": pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))})
+
+        return self.held.mapInArrow(run, "group int, draw int, label int, default_proba double")
+
 
 def fold_matrix(steps: Preprocessor, df: DataFrame, label: str = "label", fold: str = "fold",
                 folds: int = TUNING_FOLDS) -> FoldMatrix:
@@ -255,29 +307,15 @@ def fits_of(draw: Mapping, groups: Mapping[int, int]) -> list[Fit]:
     return [Fit(g, 1.0 / (draw["C"] * n), int(draw["maxIter"]), draw.get("solver") == "liblinear") for g, n in sorted(groups.items())]
 
 
-def held_out_auc(matrix: FoldMatrix, draws: Sequence[Mapping], tolerance: float = 1e-5) -> list[float]:
+def held_out_auc(matrix: FoldMatrix | FoldTable, draws: Sequence[Mapping], tolerance: float = 1e-5) -> list[float]:
     """Mean AUC of each draw over the folds; a pass over the training rows is an iteration of all fits."""
     fits = [(i, fit) for i, draw in enumerate(draws) for fit in fits_of(draw, matrix.sizes)]
-    solved = fit_many(matrix.train, [fit for _, fit in fits], tolerance)
+    wanted = [fit for _, fit in fits]
+    solved = fit_folds(matrix, wanted, tolerance) if isinstance(matrix, FoldTable) else fit_many(matrix.train, wanted, tolerance)
     by_group: dict[int, list[tuple[int, np.ndarray]]] = {}
     for (i, fit), values in zip(fits, solved, strict=True):
         by_group.setdefault(fit.group, []).append((i, values))
-
-    def run(batches):
-        for batch in batches:
-            groups = np.asarray(batch.column("group"))
-            for group, models in by_group.items():
-                part = batch.filter(pa.array(groups == group))
-                if not part.num_rows:
-                    continue
-                x, label = vectors(part.column("features")), part.column("label")
-                for i, values in models:
-                    z = x @ values[:-1] + values[-1]
-                    yield pa.RecordBatch.from_pydict({
-                        "group": part.column("group"), "draw": pa.array([i] * len(z), pa.int32()), "label": label,
-                        "default_proba": pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))})
-
-    scored = matrix.held.mapInArrow(run, "group int, draw int, label int, default_proba double")
+    scored = matrix.held_out(by_group)
     found = metrics.roc_auc(scored, groups=["group", "draw"]).collect()
     totals = [0.0] * len(draws)
     for row in sorted(found, key=lambda r: (r["draw"], r["group"])):
@@ -293,13 +331,18 @@ def tune_logistic(steps: Preprocessor, df: DataFrame, space: Space = SOLVER_SEAR
     The folds' rows are prepared and written once; every iteration of all fits of a batch
     of draws is one pass over them.
     """
-    matrix = fold_matrix(steps, df, label, fold, folds)
+    table = fold_table(steps, df, label, fold, folds)
+    matrix = fold_matrix(steps, df, label, fold, folds) if table is None else table
     done = search(lambda draws: held_out_auc(matrix, draws), space, trials, batch, seed)
     best = dict(max(done, key=lambda t: t[1])[0])
-    fitted = replace(steps).fit(df)
-    rows = materialise(with_class_weights(fitted.assemble(df, [label]), label).select(
-        F.lit(0).alias("group"), vector_to_array("features").alias("features"), F.col(label).cast("int").alias("label"),
-        F.col("weight").cast("double")), "features")
-    values = fit_many(rows, fits_of(best, {0: rows.count()}), 1e-7)[0]
+    if table is None:
+        fitted = replace(steps).fit(df)
+        rows = materialise(with_class_weights(fitted.assemble(df, [label]), label).select(
+            F.lit(0).alias("group"), vector_to_array("features").alias("features"), F.col(label).cast("int").alias("label"),
+            F.col("weight").cast("double")), "features")
+        values = fit_many(rows, fits_of(best, {0: rows.count()}), 1e-7)[0]
+    else:
+        fitted = table.steps[-1]
+        values = fit_folds(table, fits_of(best, {folds: table.totals[-1]}), 1e-7)[0]
     return Search([dict(d) for d, _ in done], [v for _, v in done], best, fitted,
                   LinearModel([float(v) for v in values[:-1]], float(values[-1])))
