@@ -63,6 +63,20 @@ def test_a_batch_of_draws_in_all_folds_takes_few_passes(table, monkeypatch):
     assert len(passes) <= 15
 
 
+def test_draws_of_the_logistic_learner_share_their_passes(rows, table, monkeypatch):
+    """Before, each draw was fitted on its own in each fold: here that is not done before the search has ended."""
+    passes = []
+    real = folds.summed
+    monkeypatch.setattr(folds, "summed", lambda *a: passes.append(1) or real(*a))
+    alone = []
+    single = modelling.logistic_regression
+    monkeypatch.setattr(modelling, "logistic_regression", lambda **p: alone.append(1) or single(**p))
+    draws = modelling.draw_parameters(modelling.LOGREG_SEARCH, 15)
+    found = modelling.tune(modelling.logistic_trial, STEPS, rows, draws, folds=3)
+    assert len(passes) <= 20 and len(found.mean_auc) == 15 and len(alone) == 1
+    assert found.mean_auc == pytest.approx(search.held_out_auc(table, draws, 1e-6), abs=1e-9)
+
+
 def test_wide_vocabularies_stay_sparse(rows, monkeypatch):
     monkeypatch.setattr(folds, "WIDEST", 8)
     assert folds.fold_table(STEPS, rows, "label", "fold", 3) is None
