@@ -55,3 +55,23 @@ def test_a_datamart_asks_for_no_shuffle_of_silver_and_gold(spark, tmp_path, monk
     mart.build_silver()
     mart.build_gold()
     assert asked == {"silver": False, "gold": False}
+
+
+def test_bronze_months_are_written_without_a_shuffle_or_sort(spark, tmp_path):
+    """Before, every text row was shuffled by its month."""
+    days = [datetime.date(2024, m, 1) for m in range(1, 7)]
+    rows = spark.range(600).select(
+        F.col("id").cast("string").alias("Customer_ID"),
+        F.element_at(F.array(*[F.lit(d) for d in days]), (F.col("id") % 6 + 1).cast("int")).alias("snapshot_date"))
+    rows.repartition(3).write.option("header", True).csv(str(tmp_path / "raw"))
+    mart = Datamart(spark, str(tmp_path))
+    assert set(stages_of(spark, lambda: mart.build_bronze({"clickstream": str(tmp_path / "raw")}))) == {1}
+    assert sorted(map(tuple, mart.read("bronze", "clickstream").select(*rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_more_partitions_than_open_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "OPEN_FILES", 3)
+    rows = spark.range(500).select("id", F.date_add(F.lit(datetime.date(2024, 1, 1)), (F.col("id") % 50).cast("int")).alias("snapshot_date"))
+    path = tables.write_snapshot(rows, str(tmp_path / "t"), rebalance=False)
+    assert sorted(map(tuple, tables.read_table(spark, path).select("id", "snapshot_date").collect())) == sorted(map(tuple, rows.collect()))
